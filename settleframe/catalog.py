@@ -315,8 +315,18 @@ inst_copies AS (SELECT *, row_number() OVER (PARTITION BY InstrumentID ORDER BY
 silver_instruments AS (SELECT * EXCLUDE (rn) FROM inst_copies WHERE rn = 1)"""
 
 
-def _sql(body: str) -> str:
-    return f"WITH {_BASE}\n{body}"
+def _sql(body: str, extra: str = "") -> str:
+    return f"WITH {_BASE}{extra}\n{body}"
+
+
+# A file-based run stamps one ingestion time per run, so copies of a trade
+# are resolved by the business-column tie-breakers alone.
+_RUN_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in TRADE_BUSINESS_COLUMNS[1:])
+_RUN = f""",
+run_copies AS (SELECT *, row_number() OVER (PARTITION BY TradeID ORDER BY {_RUN_ORDER}) AS rn FROM normalized),
+run_valid AS (SELECT * EXCLUDE (rn), CAST(TradeDate AS DATE) AS TradeDateYYYYMMDD FROM run_copies WHERE rn = 1),
+run_groups AS (SELECT Counterparty, TradeDateYYYYMMDD, sum(Notional) AS DailyNotional FROM run_valid
+  GROUP BY Counterparty, TradeDateYYYYMMDD)"""
 
 
 _cols = ", ".join
@@ -413,9 +423,9 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'silver', 'silver_trades', 'rows_rejected', 0 "
         "UNION ALL SELECT 'silver', 'silver_instruments', 'rows_written', count(*) FROM silver_instruments "
         "UNION ALL SELECT 'silver', 'silver_trades', 'duplicates_removed', (SELECT count(*) FROM normalized) - count(*) FROM silver "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups', count(*) FROM groups "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups_without_notional', count(*) FILTER (WHERE DailyNotional IS NULL) FROM groups "
-        "UNION ALL SELECT 'gold', 'gold_counterparty_summary', 'rows_written', count(*) FROM totals "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'rows_written', count(*) FROM daily"),
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups', count(*) FROM run_groups "
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups_without_notional', count(*) FILTER (WHERE DailyNotional IS NULL) FROM run_groups "
+        "UNION ALL SELECT 'gold', 'gold_counterparty_summary', 'rows_written', count(*) FROM (SELECT DISTINCT Counterparty FROM run_valid) "
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'rows_written', count(*) FILTER (WHERE DailyNotional IS NOT NULL) FROM run_groups", _RUN),
     "gold_partition_pruned_read": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear = {PRUNED_YEAR}"),
 }
