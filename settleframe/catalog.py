@@ -411,10 +411,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM (VALUES ('x', 'x', 'x', 0)) AS t(layer, table_name, metric, value) WHERE false "
         "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_read', count(*) FROM trades "
         "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_malformed', 0 "
+        "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_with_type_errors', 0 "
         f"UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_missing_required', count(*) FILTER (WHERE NOT ({_REQUIRED_OK})) FROM trades "
         "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_accepted', count(*) FROM bronze "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_read', count(*) FROM instruments "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_malformed', 0 "
+        "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_with_type_errors', 0 "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_missing_required', count(*) FILTER (WHERE InstrumentID IS NULL) FROM instruments "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_accepted', count(*) FILTER (WHERE InstrumentID IS NOT NULL) FROM instruments "
         "UNION ALL SELECT 'silver', 'silver_trades', 'rows_read', count(*) FROM normalized "

@@ -48,17 +48,24 @@ def _missing_list(required: Iterable[str]) -> Column:
 
 
 def classify_records(df: DataFrame, required: Iterable[str]) -> DataFrame:
-    """Add ``record_status`` (ACCEPTED / MALFORMED / MISSING_REQUIRED) and
-    ``reject_reason``. Malformed lines are those the reader could not parse
-    (text kept in ``_corrupt_record``)."""
+    """Add ``record_status`` and ``reject_reason``.
+
+    * MALFORMED: the reader kept raw text in ``_corrupt_record`` and the row
+      lacks a required field (typically an unparseable line).
+    * MISSING_REQUIRED: a parsed row with a null required field.
+    * ACCEPTED: every required field present. A field whose value did not fit
+      its type is null, as in a plain PERMISSIVE read; the raw text stays in
+      ``_corrupt_record`` for audit.
+    """
     required = list(required)
     missing = _missing_list(required)
     corrupt = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in df.columns else F.lit(False)
-    status = (F.when(corrupt, F.lit(MALFORMED))
-              .when(missing != "", F.lit(MISSING_REQUIRED))
+    incomplete = missing != ""
+    status = (F.when(incomplete & corrupt, F.lit(MALFORMED))
+              .when(incomplete, F.lit(MISSING_REQUIRED))
               .otherwise(F.lit(ACCEPTED)))
-    reason = (F.when(corrupt, F.lit("unparseable record"))
-              .when(missing != "", F.concat(F.lit("null required field(s): "), missing)))
+    reason = (F.when(incomplete & corrupt, F.lit("unparseable record"))
+              .when(incomplete, F.concat(F.lit("null required field(s): "), missing)))
     return df.withColumns({"record_status": status, "reject_reason": reason})
 
 

@@ -77,6 +77,7 @@ def _status_metrics() -> dict[str, Column]:
         "rows_malformed": F.count_if(status == MALFORMED),
         "rows_missing_required": F.count_if(status == MISSING_REQUIRED),
         "rows_accepted": F.count_if(status == ACCEPTED),
+        "rows_with_type_errors": F.count_if((status == ACCEPTED) & F.col(CORRUPT_COLUMN).isNotNull()),
     }
 
 

@@ -1,0 +1,83 @@
+"""Edge cases for the scalar functions and aggregates."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from settleframe.functions.columns import money_avg, money_sum, normalize_currency, volume_category
+
+
+@pytest.mark.parametrize("raw, expected", [
+    ("usd", "USD"), (" eur ", "EUR"), ("GBP", "GBP"),
+    ("us", None), ("US D", None), ("", None), ("\tUSD", None), ("USD\n", None), ("ußd", None), (None, None),
+    ("USDX", None), ("U5D", None),
+])
+def test_currency_strict_pattern(spark, raw, expected):
+    df = spark.createDataFrame([(raw,)], "c string")
+    assert df.select(normalize_currency("c").alias("x")).first().x == expected
+
+
+@pytest.mark.parametrize("amount, expected", [
+    (-1.0, "SMALL"), (0.0, "SMALL"), (999999.99, "SMALL"), (1000000.0, "MEDIUM"), (9999999.99, "MEDIUM"),
+    (1e7, "LARGE"), (float("nan"), "LARGE"), (float("inf"), "LARGE"),
+])
+def test_volume_category_bounds(spark, amount, expected):
+    df = spark.createDataFrame([(amount,)], "a double")
+    assert df.select(volume_category("a").alias("x")).first().x == expected
+
+
+def _agg(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    return df.agg(money_sum("v").alias("s"), money_avg("v").alias("a")).first()
+
+
+def test_money_sum_exact_and_order_free(spark):
+    r = _agg(spark, [0.1] * 10 + [0.2] * 5)
+    assert r.s == 2.0 and r.a == 2.0 / 15
+
+
+def test_money_sum_nulls(spark):
+    r = _agg(spark, [None, None])
+    assert r.s is None and r.a is None
+    r = _agg(spark, [None, 4.0])
+    assert r.s == 4.0 and r.a == 4.0
+
+
+def test_money_sum_non_finite(spark):
+    assert math.isnan(_agg(spark, [1.0, float("nan")]).s)
+    assert _agg(spark, [1.0, float("inf")]).s == float("inf")
+    big = _agg(spark, [1e17, 1.0]).s
+    assert big == 1e17 + 1.0
+
+
+def test_json_edge_rows(spark, tmp_path):
+    """PERMISSIVE JSON read with the trade schema; classification of each row."""
+    from settleframe.plans.bronze import ingest_trades
+
+    lines = [
+        "{bad",
+        '{"TradeID":"T2","InstrumentID":"I","Notional":"abc","Currency":"EUR","TradeDate":"nope"}',
+        '{"TradeID":"T3","InstrumentID":"I","Notional":"100.5","Currency":7,"TradeDate":"2023-01-15"}',
+        '{"tradeid":"T5","InstrumentID":"I","Currency":"GBP"}',
+        "",
+        '{"TradeID":"T6","InstrumentID":"I","Notional":12.5,"Currency":"usd","Extra":1}',
+    ]
+    path = tmp_path / "trades.json"
+    path.write_text("\n".join(lines) + "\n")
+    rows = ingest_trades(spark, str(path), "json", batch_id="b1").orderBy(F.col("TradeID").asc_nulls_first()).collect()
+    assert len(rows) == 5  # the blank line is skipped
+    by_id = {r.TradeID: r for r in rows}
+    malformed = [r for r in rows if r.record_status == "MALFORMED"]
+    assert len(malformed) == 1 and malformed[0]._corrupt_record == "{bad"
+    t2 = by_id["T2"]
+    assert (t2.Notional, t2.Currency, t2.TradeDate, t2.record_status) == (None, "EUR", None, "ACCEPTED")
+    assert t2._corrupt_record is not None
+    t3 = by_id["T3"]
+    assert t3.Notional is None and t3.Currency == "7" and t3.TradeDate.hour == 0
+    missing = [r for r in rows if r.record_status == "MISSING_REQUIRED"]
+    assert len(missing) == 1 and missing[0].reject_reason == "null required field(s): TradeID"
+    t6 = by_id["T6"]
+    assert t6.record_status == "ACCEPTED" and t6._corrupt_record is None and t6.Notional == 12.5
+    assert {r.processing_batch_id for r in rows} == {"b1"}
+    assert {r.ingestion_source for r in rows} == {"landing_zone_json"}
