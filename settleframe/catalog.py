@@ -230,7 +230,7 @@ def q_layer_row_counts(spark, sf):
 
 def q_gold_partition_pruned_read(spark, sf):
     path = scratch_path(spark, "gold-daily")
-    write_table(_daily(spark, sf), path, partition_cols=["TradeYear", "TradeMonth"])
+    write_table(_daily(spark, sf), path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
     return read_table(spark, path).filter(F.col("TradeYear") == PRUNED_YEAR).select(*GOLD_COLUMNS)
 
 

@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleframe.functions.columns import money_avg, money_sum, time_dimensions, volume_category
+from settleframe.functions.columns import money_sum, time_dimensions, volume_category
+
+
+_PRICED = "__priced"  # trades with a notional
+
+DAILY_OUTPUT = ["Counterparty", "TradeDateYYYYMMDD", "DailyNotional", "TradeCount", "AverageTradeSize",
+                "LargestTradeSize", "SmallestTradeSize", "UniqueInstruments", "UniqueCurrencies", "NotionalUSD"]
+SUMMARY_OUTPUT = ["Counterparty", "TotalTrades", "TotalNotional", "AverageTradeSize", "FirstTradeDate",
+                  "LastTradeDate", "UniqueInstrumentsTraded", "CurrenciesTraded"]
+
+
+def _with_average(df: DataFrame, total: str) -> DataFrame:
+    """Average trade size = exact total / trades with a notional (null if none),
+    computed after the aggregate so the sum is aggregated once."""
+    return df.withColumn("AverageTradeSize", F.when(F.col(_PRICED) > 0, F.col(total) / F.col(_PRICED)))
 
 
 def daily_metrics(df: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -24,13 +38,14 @@ def daily_metrics(df: DataFrame, keep_empty: bool = False) -> DataFrame:
     out = df.groupBy("Counterparty", "TradeDateYYYYMMDD").agg(
         money_sum(n).alias("DailyNotional"),
         F.count("TradeID").alias("TradeCount"),
-        money_avg(n).alias("AverageTradeSize"),
+        F.count(n).alias(_PRICED),
         F.max(n).alias("LargestTradeSize"),
         F.min(n).alias("SmallestTradeSize"),
         F.count_distinct("InstrumentID").alias("UniqueInstruments"),
         F.count_distinct("Currency").alias("UniqueCurrencies"),
         money_sum(F.when(F.col("Currency") == "USD", n)).alias("NotionalUSD"),
     )
+    out = _with_average(out, "DailyNotional").select(*DAILY_OUTPUT)
     if not keep_empty:
         out = out.filter(F.col("DailyNotional").isNotNull())
     return out
@@ -48,12 +63,13 @@ def with_time_dimensions(df: DataFrame, date_col: str = "TradeDateYYYYMMDD") ->
 def counterparty_totals(df: DataFrame) -> DataFrame:
     """One row per counterparty (null counterparty included)."""
     n = F.col("Notional")
-    return df.groupBy("Counterparty").agg(
+    out = df.groupBy("Counterparty").agg(
         F.count("TradeID").alias("TotalTrades"),
         money_sum(n).alias("TotalNotional"),
-        money_avg(n).alias("AverageTradeSize"),
+        F.count(n).alias(_PRICED),
         F.min("TradeDateYYYYMMDD").alias("FirstTradeDate"),
         F.max("TradeDateYYYYMMDD").alias("LastTradeDate"),
         F.count_distinct("InstrumentID").alias("UniqueInstrumentsTraded"),
         F.count_distinct("Currency").alias("CurrenciesTraded"),
     )
+    return _with_average(out, "TotalNotional").select(*SUMMARY_OUTPUT)

@@ -59,7 +59,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> None:
                          groups_without_notional=F.count_if(F.col("DailyNotional").isNull()))
     daily = finish_daily(groups.filter(F.col("DailyNotional").isNotNull()))
     write_table(daily, cfg.table_path("gold", table), cfg.table_format,
-                partition_cols=["TradeYear", "TradeMonth"])
+                partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
 
     summary = counterparty_summary(silver)
     summary = log.observe(summary, "gold", "gold_counterparty_summary", rows_written=count_rows())

@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_cols: Sequence[str] | None = None, salt_files: int = 0,
-                max_records_per_file: int | None = None) -> None:
+                partition_cols: Sequence[str] | None = None, rebalance: bool = False,
+                salt_files: int = 0, max_records_per_file: int | None = None) -> None:
     """Write ``df`` to ``path``.
 
     With ``partition_cols`` the table gets a hive-style layout (readers get
-    partition pruning). Rows are first rebalanced on the partition columns
-    (AQE splits an oversized partition value over several tasks and merges
-    small ones), or, with ``salt_files > 0``, hash-spread over
-    ``partition cols + salt`` so one value lands in at most ``salt_files``
-    files.
+    partition pruning). By default every task writes its own rows (no
+    shuffle; right when the partition values are few, as for record status).
+    ``rebalance=True`` first regroups rows on the partition columns, so each
+    directory gets few files; AQE splits an oversized value over several
+    tasks and merges small ones. ``salt_files > 0`` instead hash-spreads
+    rows over ``partition cols + salt``: at most ``salt_files`` files per
+    value.
     """
     writer_df = df
     if partition_cols:
@@ -31,7 +33,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         if salt_files > 0:
             salt = F.pmod(F.xxhash64(*df.columns), F.lit(salt_files))
             writer_df = df.repartition(*[F.col(c) for c in cols], salt)
-        else:
+        elif rebalance:
             writer_df = df.hint("rebalance", *cols)
     writer = writer_df.write.format(fmt).mode(mode)
     if max_records_per_file:
