@@ -38,7 +38,7 @@ from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, finish_daily, trade_aggregates, valid_trades
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
-from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_REQUIRED
+from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
 from settleframe.session import scratch_path
 from settleframe.sources import testbed
 from settleframe.sources.readers import read_table
@@ -52,6 +52,10 @@ DEMO_USD_RATES = [("USD", 1.0), ("EUR", 1.0842), ("GBP", 1.2716), ("JPY", 0.0067
 TOP_COUNTERPARTIES = 3
 PRUNED_YEAR = 1998
 QUERY_BATCH_ID = "batch-query"
+# The landing files written from the test tables carry zone-less wall-clock
+# times, so their schema declares them timestamp_ntz (no session-zone
+# reinterpretation, no DST gaps).
+LANDING_TRADES_SCHEMA = {name: ("timestamp_ntz" if typ == "timestamp" else typ) for name, typ in TRADE_FIELDS}
 
 DAILY_COLUMNS = ["Counterparty", "TradeDateYYYYMMDD", "DailyNotional", "TradeCount", "AverageTradeSize",
                  "LargestTradeSize", "SmallestTradeSize", "UniqueInstruments", "UniqueCurrencies"]
@@ -74,10 +78,6 @@ def _daily(spark: SparkSession, sf: str) -> DataFrame:
     return trade_aggregates(_silver(spark, sf), stamp=False)
 
 
-def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
-
-
 def q_gold_trade_aggregates(spark, sf):
     return _daily(spark, sf).select(*GOLD_COLUMNS)
 
@@ -154,9 +154,8 @@ def q_bronze_quarantine(spark, sf):
 def q_bronze_trades_json(spark, sf):
     landing = scratch_path(spark, "landing-trades-json")
     testbed.trades(spark, sf, with_ingestion_time=False).write.mode("overwrite").json(landing)
-    bronze = accepted(ingest_trades(spark, landing, "json", batch_id=QUERY_BATCH_ID))
-    return _ntz(bronze, "TradeDate", "SettlementDate") \
-        .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source", "processing_batch_id")
+    bronze = accepted(ingest_trades(spark, landing, "json", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID))
+    return bronze.select(*TRADE_BUSINESS_COLUMNS, "ingestion_source", "processing_batch_id")
 
 
 def q_bronze_instruments_csv(spark, sf):
@@ -219,6 +218,7 @@ def _landing_config(spark: SparkSession, sf: str) -> PipelineConfig:
         instruments=SourceSpec("csv", f"{root}/landing/instruments", "bronze_instruments",
                                "silver_instruments"),
         bronze_path=f"{root}/bronze", silver_path=f"{root}/silver", gold_path=f"{root}/gold",
+        trades_schema=LANDING_TRADES_SCHEMA,
     )
 
 

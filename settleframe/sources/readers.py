@@ -59,3 +59,14 @@ def read_instruments(spark: SparkSession, path: str, fmt: str = "csv",
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A layer table by path (parquet by default; any installed format)."""
     return spark.read.format(fmt).load(path)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
+    default parallelism) only when its scan splits into fewer partitions,
+    e.g. a single-row-group file. Inputs that already split wider (every
+    large table) are returned unchanged: no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

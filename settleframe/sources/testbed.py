@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from settleframe.sources.readers import ensure_parallelism
+
 # The lineitem -> trade mapping (keys, modulus choices and
 # currency spellings), the same in both engines.
 TRADES_SQL = """SELECT concat(CAST(l_orderkey AS STRING),'-',CAST(l_linenumber AS STRING)) AS TradeID,
@@ -33,7 +35,7 @@ _CURRENCY_SPELLINGS = ["usd", " EUR ", "gbp", "USD", "US", None, "jpy", "US1"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def trades(spark: SparkSession, sf_dir: str, with_ingestion_time: bool = True) -> DataFrame:
