@@ -35,18 +35,18 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descendin
                 partitions: int | None = None) -> DataFrame:
     """``rank() OVER (ORDER BY order_col [DESC] NULLS LAST)`` without a
     single-partition window. Checkpoints to ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
-    work_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    work_dir(df.sparkSession)
     key, n, part = "__key", "__n", "__part"
     order = _order(key, descending)
 
     # The input is read twice (values, then the join back): materialize it once.
     base = df.checkpoint(eager=True)
-    values = (base.groupBy(F.col(order_col).alias(key)).agg(F.count(F.lit(1)).alias(n))
-              .repartitionByRange(parts, order)
-              .withColumn(part, F.spark_partition_id())
-              .checkpoint(eager=True))
+    distinct_values = base.groupBy(F.col(order_col).alias(key)).agg(F.count(F.lit(1)).alias(n))
+    # Without an explicit count AQE may merge adjacent range partitions, which
+    # keeps partition ids in value order; the checkpoint pins them.
+    ranged = (distinct_values.repartitionByRange(partitions, order) if partitions
+              else distinct_values.repartitionByRange(order))
+    values = ranged.withColumn(part, F.spark_partition_id()).checkpoint(eager=True)
     before_part = (values.groupBy(part).agg(F.sum(n).alias("__cnt"))
                    .withColumn("__before", F.coalesce(
                        F.sum("__cnt").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)),

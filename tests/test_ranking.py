@@ -52,3 +52,28 @@ def test_top_ranked_keeps_ties(spark, n):
     expected = sorted((i, r) for i, r in enumerate(ranks) if r <= n)
     got = sorted((r.id, r.rank) for r in top_ranked(df, "v", n).collect())
     assert got == expected
+
+
+def test_global_rank_hot_value(spark):
+    """A third of the rows share one value (and nulls are many): ranks stay exact."""
+    df = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit(50.0))
+         .when(F.col("id") % 10 == 1, F.lit(None).cast("double"))
+         .otherwise((F.col("id") % 97).cast("double")).alias("v"))
+    values = {r.id: r.v for r in df.collect()}
+    ordered = [values[i] for i in range(3000)]
+    expected = _brute_rank(ordered)
+    got = {r.id: r.rank for r in global_rank(df, "v").collect()}
+    assert [got[i] for i in range(3000)] == expected
+
+
+def test_global_rank_keeps_value_order_across_partitions(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 37 % 1009).cast("double").alias("v"))
+    ranked = global_rank(df, "v", partitions=7).collect()
+    by_value = {}
+    for r in ranked:
+        by_value.setdefault(r.v, set()).add(r.rank)
+    assert all(len(ranks) == 1 for ranks in by_value.values())
+    ordered = sorted(by_value, reverse=True)
+    assert [min(by_value[v]) for v in ordered] == sorted(min(by_value[v]) for v in ordered)

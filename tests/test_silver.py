@@ -92,3 +92,19 @@ def test_strict_quality_marks_rule_failures(spark):
     assert out["T3"].failed_rules == ["required:Notional"]
     assert out["T4"].failed_rules == ["currency_length"]
     assert {out[k].data_quality_status for k in ["T2", "T3", "T4"]} == {"REJECTED"}
+
+
+def test_dedup_hot_trade_id(spark):
+    """One TradeID holds a third of all rows: exactly one survivor, the latest."""
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("T"), F.col("id").cast("string")))
+         .alias("TradeID"),
+        F.lit("I1").alias("InstrumentID"), F.lit("A").alias("Counterparty"),
+        F.col("id").cast("double").alias("Notional"), F.lit("USD").alias("Currency"),
+        F.timestamp_seconds(F.col("id")).alias("ingestion_timestamp"),
+    ).repartition(6)
+    out = latest_trades(df)
+    assert out.count() == 1 + n - n // 3
+    hot = out.filter(F.col("TradeID") == "HOT").collect()
+    assert len(hot) == 1 and hot[0].Notional == float(n - 3)  # the largest id with id % 3 == 0
