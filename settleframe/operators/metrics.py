@@ -37,12 +37,11 @@ class MetricsLog:
 
     def collect(self) -> None:
         """Read finished observations (call after the write that ran them)."""
-        still = []
         for layer, table, obs in self._pending:
             values = obs.get  # blocks until the action that carries it finished
             for name, value in values.items():
                 self.add(layer, table, name, 0 if value is None else value)
-        self._pending = still
+        self._pending = []
 
     def value(self, layer: str, table: str, metric: str) -> int:
         for row in self.rows:

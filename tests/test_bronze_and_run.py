@@ -133,3 +133,14 @@ def test_incremental_bronze_stream(spark, tmp_path):
     df = read_table(spark, table)
     assert df.count() == 7
     assert df.filter(F.col("TradeID") == "T9").select("processing_batch_id").first()[0] == "stream-2"
+
+
+def test_bronze_write_parses_landing_once(spark, tmp_path):
+    """Accepted and quarantined rows come from one scan of the landing files, with no shuffle."""
+    from settleframe.plans.bronze import ingest_trades
+
+    cfg = PipelineConfig.from_mapping(_write_landing(tmp_path, extra_lines=["{bad"]))
+    df = ingest_trades(spark, cfg.trades.source_path, "json", batch_id="b")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1
+    assert "Exchange" not in plan
