@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from settleframe.schemas import CORRUPT_COLUMN, schema_from_mapping, trades_schema
@@ -69,4 +70,6 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    # Hash on every column: deterministic on retry without the local sort a
+    # round-robin repartition needs.
+    return df.repartition(target, *[F.col(c) for c in df.columns])
