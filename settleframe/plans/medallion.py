@@ -23,12 +23,28 @@ from settleframe.sources.sinks import write_table
 METRICS_TABLE = "pipeline_metrics"
 
 
+LAYERS = ("bronze", "silver", "gold")
+
+
 def run_medallion(spark: SparkSession, config: PipelineConfig | Mapping[str, Any], batch_id: str,
-                  ingested_at: Column | None = None) -> MetricsLog:
+                  ingested_at: Column | None = None, layers: tuple[str, ...] = LAYERS) -> MetricsLog:
+    """Run ``layers`` in order (default: all three).
+
+    To recover from a failed run, pass the layers from the one that failed
+    onwards (e.g. ``("silver", "gold")``): they start from the tables the
+    earlier layers already wrote. Metrics of the layers run are written to
+    ``pipeline_metrics`` in the gold path.
+    """
+    unknown = [x for x in layers if x not in LAYERS]
+    if unknown:
+        raise ValueError(f"unknown layer(s) {unknown}; expected some of {LAYERS}")
     cfg = config if isinstance(config, PipelineConfig) else PipelineConfig.from_mapping(config)
     log = MetricsLog()
-    run_bronze(spark, cfg, batch_id, log, ingested_at)
-    run_silver(spark, cfg, log)
-    run_gold(spark, cfg, log)
+    if "bronze" in layers:
+        run_bronze(spark, cfg, batch_id, log, ingested_at)
+    if "silver" in layers:
+        run_silver(spark, cfg, log)
+    if "gold" in layers:
+        run_gold(spark, cfg, log)
     write_table(log.to_frame(spark).coalesce(1), cfg.table_path("gold", METRICS_TABLE), cfg.table_format)
     return log

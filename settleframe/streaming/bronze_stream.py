@@ -9,6 +9,9 @@ suits a scheduled job; ``processing_time`` keeps the query running.
 
 Each micro-batch gets its own ``ingestion_timestamp`` (the batch time), so
 silver's latest-copy rule picks the copy from the most recent file batch.
+
+Give a streamed bronze table its own path: the batch bronze run overwrites
+its table, which would invalidate the stream sink's commit log.
 """
 
 from __future__ import annotations

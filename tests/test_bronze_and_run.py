@@ -144,3 +144,17 @@ def test_bronze_write_parses_landing_once(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan json") == 1
     assert "Exchange" not in plan
+
+
+def test_resume_from_stored_layer(spark, tmp_path):
+    """A run resumed at silver reads the stored bronze table and gives the same gold."""
+    cfg = _write_landing(tmp_path)
+    run_medallion(spark, cfg, batch_id="b1", layers=("bronze",))
+    log = run_medallion(spark, cfg, batch_id="b1", layers=("silver", "gold"))
+    assert {r[0] for r in log.rows} == {"silver", "gold"}
+    cfgo = PipelineConfig.from_mapping(cfg)
+    gold = read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates"))
+    assert sorted((r.Counterparty, r.DailyNotional) for r in gold.collect()) == [
+        ("BankA", 1750000.0), ("BankB", 1500000.0), ("BankB", 2500000.0), ("BankC", 5000000.0)]
+    with pytest.raises(ValueError):
+        run_medallion(spark, cfg, batch_id="b1", layers=("platinum",))
