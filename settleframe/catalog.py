@@ -25,7 +25,6 @@ from settleframe.operators import (
     daily_usd_notional,
     drop_missing,
     enrich_trades,
-    global_rank,
     latest_instruments,
     orphan_trades,
     period_rollup,
@@ -35,7 +34,7 @@ from settleframe.operators import (
 )
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
-from settleframe.plans.gold import counterparty_summary, finish_daily, trade_aggregates, valid_trades
+from settleframe.plans.gold import counterparty_summary, trade_aggregates, valid_trades
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
