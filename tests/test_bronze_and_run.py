@@ -158,3 +158,14 @@ def test_resume_from_stored_layer(spark, tmp_path):
         ("BankA", 1750000.0), ("BankB", 1500000.0), ("BankB", 2500000.0), ("BankC", 5000000.0)]
     with pytest.raises(ValueError):
         run_medallion(spark, cfg, batch_id="b1", layers=("platinum",))
+
+
+def test_silver_reads_only_accepted_bronze_files(spark, tmp_path):
+    from settleframe.plans.bronze import read_bronze
+
+    cfg = _write_landing(tmp_path, extra_lines=["{bad"])
+    run_medallion(spark, cfg, batch_id="b", layers=("bronze",))
+    df = read_bronze(spark, PipelineConfig.from_mapping(cfg), "bronze_trades")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(record_status" in plan and "(record_status = ACCEPTED)" in plan
+    assert df.count() == 6
