@@ -14,6 +14,7 @@ from settleframe.operators.aggregates import (
 )
 from settleframe.operators.metrics import MetricsLog, count_rows
 from settleframe.operators.ranking import global_rank
+from settleframe.operators.rollups import period_rollup, running_total, trade_counts_cube
 from settleframe.operators.validation import CLEANSED
 from settleframe.sources.readers import read_table
 from settleframe.sources.sinks import write_table
@@ -67,3 +68,29 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> None:
     log.collect()
     log.add("gold", table, "rows_written",
             log.value("gold", table, "groups") - log.value("gold", table, "groups_without_notional"))
+
+
+REPORT_TABLES = ("gold_period_rollup", "gold_running_notional", "gold_trade_counts")
+
+
+def top_counterparties(spark: SparkSession, cfg: PipelineConfig, n: int) -> DataFrame:
+    """Counterparties ranked ``<= n`` (ties kept), from the stored ranked
+    summary: a pruned read, no shuffle."""
+    summary = read_table(spark, cfg.table_path("gold", "gold_counterparty_summary"), cfg.table_format)
+    return summary.filter(F.col("NotionalRank") <= n)
+
+
+def run_gold_reports(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> None:
+    """Optional trend tables from stored silver / gold: monthly, quarterly and
+    yearly totals per counterparty; running notional per counterparty; trade
+    counts by currency and status (with subtotals)."""
+    silver = valid_trades(read_table(spark, cfg.table_path("silver", cfg.trades.silver_table), cfg.table_format))
+    reports = {
+        "gold_period_rollup": period_rollup(silver),
+        "gold_running_notional": running_total(daily_metrics(silver, keep_empty=True)),
+        "gold_trade_counts": trade_counts_cube(silver),
+    }
+    for name, df in reports.items():
+        write_table(log.observe(df, "gold", name, rows_written=count_rows()),
+                    cfg.table_path("gold", name), cfg.table_format)
+    log.collect()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, SparkSession
 from settleframe.config import PipelineConfig
 from settleframe.operators.metrics import MetricsLog
 from settleframe.plans.bronze import run_bronze
-from settleframe.plans.gold import run_gold
+from settleframe.plans.gold import run_gold, run_gold_reports
 from settleframe.plans.silver import run_silver
 from settleframe.sources.sinks import write_table
 
@@ -27,13 +27,15 @@ LAYERS = ("bronze", "silver", "gold")
 
 
 def run_medallion(spark: SparkSession, config: PipelineConfig | Mapping[str, Any], batch_id: str,
-                  ingested_at: Column | None = None, layers: tuple[str, ...] = LAYERS) -> MetricsLog:
+                  ingested_at: Column | None = None, layers: tuple[str, ...] = LAYERS,
+                  reports: bool = False) -> MetricsLog:
     """Run ``layers`` in order (default: all three).
 
     To recover from a failed run, pass the layers from the one that failed
     onwards (e.g. ``("silver", "gold")``): they start from the tables the
-    earlier layers already wrote. Metrics of the layers run are written to
-    ``pipeline_metrics`` in the gold path.
+    earlier layers already wrote. ``reports=True`` adds the trend tables
+    (period rollup, running notional, trade counts). Metrics of the layers
+    run are written to ``pipeline_metrics`` in the gold path.
     """
     unknown = [x for x in layers if x not in LAYERS]
     if unknown:
@@ -46,5 +48,7 @@ def run_medallion(spark: SparkSession, config: PipelineConfig | Mapping[str, Any
         run_silver(spark, cfg, log)
     if "gold" in layers:
         run_gold(spark, cfg, log)
+        if reports:
+            run_gold_reports(spark, cfg, log)
     write_table(log.to_frame(spark).coalesce(1), cfg.table_path("gold", METRICS_TABLE), cfg.table_format)
     return log

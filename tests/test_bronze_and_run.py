@@ -174,3 +174,19 @@ def test_silver_reads_only_accepted_bronze_files(spark, tmp_path):
     scan = [line for line in out.getvalue().splitlines() if line.startswith("PartitionFilters")]
     assert scan and "record_status" in scan[0] and "ACCEPTED" in scan[0]
     assert df.count() == 6
+
+
+def test_gold_reports_and_top_counterparties(spark, tmp_path):
+    from settleframe.plans.gold import REPORT_TABLES, top_counterparties
+
+    cfg = _write_landing(tmp_path)
+    log = run_medallion(spark, cfg, batch_id="b", reports=True)
+    m = {(r[1], r[2]): r[3] for r in log.rows if r[0] == "gold"}
+    assert m[("gold_period_rollup", "rows_written")] == 9
+    assert m[("gold_running_notional", "rows_written")] == 4
+    assert m[("gold_trade_counts", "rows_written")] == 11  # 5 cells + 3 currency + 2 status subtotals + total
+    cfgo = PipelineConfig.from_mapping(cfg)
+    for name in REPORT_TABLES:
+        assert read_table(spark, cfgo.table_path("gold", name)).count() == m[(name, "rows_written")]
+    top = top_counterparties(spark, cfgo, 2).collect()
+    assert sorted((r.Counterparty, r.NotionalRank) for r in top) == [("BankB", 2), ("BankC", 1)]
