@@ -216,3 +216,19 @@ def test_trades_landing_as_csv(spark, tmp_path):
     assert rows["T1"].Notional == 10.5 and rows["T1"].record_status == "ACCEPTED"
     assert rows["T2"].Notional is None and rows["T2"].record_status == "ACCEPTED"
     assert rows[None].record_status == "MISSING_REQUIRED"
+
+
+def test_instruments_inference_opt_in_and_fixed_stamp(spark, tmp_path):
+    """inferSchema stays available (and shows why it is off: 001 becomes 1);
+    a caller-supplied ingestion stamp replaces current_timestamp()."""
+    import datetime as dt
+
+    d = tmp_path / "numeric_ids"
+    d.mkdir()
+    (d / "i.csv").write_text("InstrumentID,InstrumentType\n001,Bond\n002,Equity\n")
+    stamp = F.to_timestamp(F.lit("2024-06-30 18:00:00"))
+    inferred = accepted(ingest_instruments(spark, str(d), infer_schema=True, ingested_at=stamp)).collect()
+    assert sorted(r.InstrumentID for r in inferred) == ["1", "2"]
+    assert {r.ingestion_timestamp for r in inferred} == {dt.datetime(2024, 6, 30, 18, 0)}
+    as_text = accepted(ingest_instruments(spark, str(d))).collect()
+    assert sorted(r.InstrumentID for r in as_text) == ["001", "002"]
