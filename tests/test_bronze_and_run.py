@@ -232,3 +232,21 @@ def test_instruments_inference_opt_in_and_fixed_stamp(spark, tmp_path):
     assert {r.ingestion_timestamp for r in inferred} == {dt.datetime(2024, 6, 30, 18, 0)}
     as_text = accepted(ingest_instruments(spark, str(d))).collect()
     assert sorted(r.InstrumentID for r in as_text) == ["001", "002"]
+
+
+def test_latest_copy_across_streamed_batches(spark, tmp_path):
+    """Two landing batches carry the same trade; silver keeps the copy from the later batch."""
+    from settleframe.plans.bronze import read_bronze
+    from settleframe.plans.silver import cleanse_trades
+
+    cfg = PipelineConfig.from_mapping(_write_landing(tmp_path))
+    ckpt = str(tmp_path / "ckpt")
+    start_trades_stream(spark, cfg, ckpt, batch_id="day-1").awaitTermination()
+    correction = {"TradeID": "T002", "InstrumentID": "INST002", "Counterparty": "BankB", "Notional": 2600000.0,
+                  "Currency": "EUR", "TradeDate": "2023-01-15 10:15:00", "Status": "SETTLED"}
+    (tmp_path / "landing" / "trades" / "part-2.json").write_text(json.dumps(correction) + "\n")
+    start_trades_stream(spark, cfg, ckpt, batch_id="day-2").awaitTermination()
+    silver = {r.TradeID: r for r in cleanse_trades(read_bronze(spark, cfg, "bronze_trades")).collect()}
+    assert len(silver) == 5
+    assert (silver["T002"].Notional, silver["T002"].Status, silver["T002"].processing_batch_id) == (
+        2600000.0, "SETTLED", "day-2")
