@@ -40,8 +40,17 @@ INSTRUMENT_ROWS = [
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, 4, app_name="settleframe-tests")
+def event_log_dir(tmp_path_factory):
+    return tmp_path_factory.mktemp("eventlog")
+
+
+@pytest.fixture(scope="session")
+def spark(event_log_dir):
+    session = local_session(4, 4, app_name="settleframe-tests", extra={
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": str(event_log_dir),
+        "spark.eventLog.compress": "false",
+    })
     yield session
     session.stop()
 
