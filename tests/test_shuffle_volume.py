@@ -80,3 +80,51 @@ def test_hot_counterparty_summary_combines_map_side(spark, event_log_dir):
     combos_per_task = 101 * 50 + 101 + 101
     assert written <= tasks * combos_per_task * 2
     assert written < n
+
+
+def _max_task_records_read(spark, event_log_dir, group):
+    """Largest 'Total Records Read' (shuffle) of any single task in ``group``'s jobs."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages, per_task = set(), []
+    for root, _, names in os.walk(event_log_dir):
+        for f in names:
+            if not (f.startswith("events_") or f.startswith("local-")):
+                continue
+            with open(os.path.join(root, f)) as fh:
+                for line in fh:
+                    ev = json.loads(line)
+                    if ev.get("Event") == "SparkListenerJobStart" and \
+                            ev.get("Properties", {}).get("spark.jobGroup.id") == group:
+                        stages.update(ev["Stage IDs"])
+                    elif ev.get("Event") == "SparkListenerTaskEnd":
+                        r = ev.get("Task Metrics", {}).get("Shuffle Read Metrics", {})
+                        per_task.append((ev["Stage ID"], r.get("Total Records Read", 0)))
+    return max((n for s, n in per_task if s in stages), default=0)
+
+
+def test_global_rank_has_no_single_task_funnel(spark, event_log_dir):
+    from pyspark.sql import Window
+
+    from settleframe.operators.ranking import global_rank
+
+    n = 50000
+    df = spark.range(0, n, 1, 8).select("id", (F.col("id") * 7919 % n).cast("double").alias("v"))
+    sc = spark.sparkContext
+    # At this size AQE would merge every shuffle into one partition, which it
+    # never does with large data; switch that off to see the plan's own shape.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    for group, build in [("rank-distributed", lambda: global_rank(df, "v", partitions=8)),
+                         ("rank-window", lambda: df.withColumn("rank", F.rank().over(
+                             Window.orderBy(F.col("v").desc_nulls_last()))))]:
+        sc.setJobGroup(group, group)
+        try:
+            build().write.format("noop").mode("overwrite").save()
+        finally:
+            sc.setJobGroup("", "")
+    spark.conf.set(key, before)
+    funnel = _max_task_records_read(spark, str(event_log_dir), "rank-window")
+    spread = _max_task_records_read(spark, str(event_log_dir), "rank-distributed")
+    assert funnel == n            # one task reads every row
+    assert spread <= n // 2       # every task of the distributed rank reads a share
