@@ -10,7 +10,8 @@ nulls last) without that funnel:
    value's partition id;
 3. rows before each partition: a running sum over one row per partition
    (bounded by the partition count, so broadcasting it is safe);
-4. within a partition: running sum of the counts of better values;
+4. within a partition (one range part per task): running sum of the counts
+   of better values;
 5. join ranks back to the rows on the value (null-safe). AQE turns this into
    a broadcast only when the runtime size allows it, and splits a hot value's
    partition with its skew-join handling.
@@ -53,7 +54,12 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descendin
                        F.lit(0)))
                    .select(part, "__before"))
     better_in_part = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (values.join(F.broadcast(before_part), part)
+    # One range part per task: every checkpoint partition holds a single part
+    # id, so a range exchange on the id maps parts one-to-one onto tasks (a
+    # hash exchange could put several parts in one task). It also satisfies
+    # the window's clustering, so no second exchange is planned.
+    by_part = values.repartitionByRange(values.rdd.getNumPartitions(), part)
+    ranks = (by_part.join(F.broadcast(before_part), part)
              .select(key, (F.lit(1) + F.col("__before") + F.coalesce(F.sum(n).over(better_in_part), F.lit(0)))
                      .cast("int").alias(rank_col)))
     return base.join(ranks, base[order_col].eqNullSafe(ranks[key])).drop(key)

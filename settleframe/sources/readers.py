@@ -62,14 +62,17 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
-    default parallelism) only when its scan splits into fewer partitions,
-    e.g. a single-row-group file. Inputs that already split wider (every
-    large table) are returned unchanged: no shuffle is added at scale."""
+def ensure_parallelism(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread ``df`` on ``keys`` over ``min_partitions`` (default: the
+    cluster's default parallelism) only when its scan splits into fewer
+    partitions, e.g. a single-row-group file. Inputs that already split wider
+    (every large table) are returned unchanged: no shuffle is added at scale.
+
+    Hashing on a few key columns keeps the spread deterministic on retry (no
+    local sort, unlike round-robin) and lets column pruning pass through: the
+    scan still reads only the columns the query uses.
+    """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    # Hash on every column: deterministic on retry without the local sort a
-    # round-robin repartition needs.
-    return df.repartition(target, *[F.col(c) for c in df.columns])
+    return df.repartition(target, *[F.col(c) for c in keys])

@@ -34,8 +34,12 @@ FROM part"""
 _CURRENCY_SPELLINGS = ["usd", " EUR ", "gbp", "USD", "US", None, "jpy", "US1"]
 
 
+# Row keys of the source tables, used to spread single-row-group test files.
+_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "part": ["p_partkey"]}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), _KEYS[name])
 
 
 def trades(spark: SparkSession, sf_dir: str, with_ingestion_time: bool = True) -> DataFrame:
