@@ -8,6 +8,7 @@ are read in full (layer inputs) or written (layer outputs).
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 METRICS_SCHEMA = "layer string, table_name string, metric string, value bigint"
 
+# Observation names must not repeat within a plan; keep them unique per process.
+_OBSERVATION_IDS = itertools.count()
+
 
 def count_rows() -> Column:
     return F.count(F.lit(1))
@@ -28,7 +32,7 @@ class MetricsLog:
     _pending: list[tuple[str, str, Observation]] = field(default_factory=list)
 
     def observe(self, df: DataFrame, layer: str, table: str, **metrics: Column) -> DataFrame:
-        obs = Observation(f"{layer}.{table}.{len(self._pending)}")
+        obs = Observation(f"{layer}.{table}.{next(_OBSERVATION_IDS)}")
         self._pending.append((layer, table, obs))
         return df.observe(obs, *[expr.alias(name) for name, expr in metrics.items()])
 
