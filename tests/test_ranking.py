@@ -77,3 +77,23 @@ def test_global_rank_keeps_value_order_across_partitions(spark):
     assert all(len(ranks) == 1 for ranks in by_value.values())
     ordered = sorted(by_value, reverse=True)
     assert [min(by_value[v]) for v in ordered] == sorted(min(by_value[v]) for v in ordered)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_global_rank_non_numeric_keys(spark, descending):
+    """String keys take the range-partition path; same ranks as brute force."""
+    rnd = random.Random(7)
+    values = [rnd.choice([None, "a", "b", "bb", "c", "zz", "m" * rnd.randint(1, 3)]) for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v string")
+    got = {r.id: r.rank for r in global_rank(df, "v", descending=descending, partitions=4).collect()}
+    assert [got[i] for i in range(len(values))] == _brute_rank(values, descending)
+
+
+def test_global_rank_nan_and_decimal_keys(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, nan), (1, 3.0), (2, nan), (3, None), (4, -1.0)], "id long, v double")
+    assert {r.id: r.rank for r in global_rank(df, "v").collect()} == {0: 1, 2: 1, 1: 3, 4: 4, 3: 5}
+    dec = spark.range(100).select("id", (F.col("id") % 17).cast("decimal(10,2)").alias("v"))
+    ref = dec.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+    mine = global_rank(dec, "v", "r", partitions=5)
+    assert sorted(mine.select("id", "r").collect()) == sorted(ref.select("id", "r").collect())
