@@ -100,3 +100,9 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig, batch_id: str, log: Met
 
 def read_bronze(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
     return accepted(read_table(spark, cfg.table_path("bronze", table), cfg.table_format))
+
+
+def read_quarantine(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    """Rejected rows of a bronze table with their status, reason and raw text
+    (a partition-pruned read of the non-ACCEPTED directories)."""
+    return quarantined(read_table(spark, cfg.table_path("bronze", table), cfg.table_format))

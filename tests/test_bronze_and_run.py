@@ -90,6 +90,10 @@ def test_full_run_through_storage(spark, tmp_path):
     assert {r.Counterparty: r.NotionalRank for r in summary.collect()} == {"BankC": 1, "BankB": 2, "BankA": 3}
     metrics = read_table(spark, cfgo.table_path("gold", "pipeline_metrics"))
     assert metrics.count() == len(log.rows)
+    from settleframe.plans.bronze import read_quarantine
+    rejected = {r.record_status: r for r in read_quarantine(spark, cfgo, "bronze_trades").collect()}
+    assert rejected["MALFORMED"]._corrupt_record == "{bad json"
+    assert rejected["MISSING_REQUIRED"].reject_reason == "null required field(s): InstrumentID"
 
 
 def test_partition_pruning_and_pushdown(spark, tmp_path, trades):
