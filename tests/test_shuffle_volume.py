@@ -115,7 +115,7 @@ def test_global_rank_has_no_single_task_funnel(spark, event_log_dir):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
-    for group, build in [("rank-distributed", lambda: global_rank(df, "v", partitions=8)),
+    for group, build in [("rank-distributed", lambda: global_rank(df, "v", partitions=8, single_task_max_rows=0)),
                          ("rank-window", lambda: df.withColumn("rank", F.rank().over(
                              Window.orderBy(F.col("v").desc_nulls_last()))))]:
         sc.setJobGroup(group, group)
