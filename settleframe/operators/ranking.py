@@ -36,20 +36,23 @@ SINGLE_TASK_MAX_ROWS = 1_000_000
 
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descending: bool = True,
-                partitions: int | None = None, single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+                partitions: int | None = None, single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
+                materialize: bool = True) -> DataFrame:
     """``rank() OVER (ORDER BY order_col [DESC] NULLS LAST)``.
 
-    The input is checkpointed to ``spark.checkpoint.dir`` and counted (cheap
-    on the checkpoint). Up to ``single_task_max_rows`` rows, one ordered
-    window task ranks them: a checked bound. Beyond it, the distributed plan
-    described above runs; no task then holds more than its range part.
+    The input is read more than once, so by default it is checkpointed to
+    ``spark.checkpoint.dir`` (right for computed inputs such as a per-entity
+    summary); pass ``materialize=False`` for a stored table that is cheaper
+    to re-read than to copy. It is then counted: up to
+    ``single_task_max_rows`` rows, one ordered window task ranks them (a
+    checked bound). Beyond it, the distributed plan described above runs; no
+    task then holds more than its range part.
     """
     work_dir(df.sparkSession)
     key, n, part = "__key", "__n", "__part"
     order = _order(key, descending)
 
-    # The input is read twice (values, then the join back): materialize it once.
-    base = df.checkpoint(eager=True)
+    base = df.checkpoint(eager=True) if materialize else df
     if base.count() <= single_task_max_rows:
         return base.withColumn(rank_col, F.rank().over(Window.orderBy(_order(order_col, descending))))
     distinct_values = base.groupBy(F.col(order_col).alias(key)).agg(F.count(F.lit(1)).alias(n))
@@ -81,7 +84,9 @@ def top_ranked(df: DataFrame, order_col: str, n: int, rank_col: str = "rank",
 
     Only the ``n`` best values travel to one task (``TakeOrderedAndProject``
     keeps ``n`` per map task). Every row strictly better than a value in that
-    head is in the head, so ranks computed there are the global ranks.
+    head is in the head, so ranks computed there are the global ranks. The
+    input is read twice (head, then the join): pass a stored table, or
+    checkpoint an expensive computed input first.
     """
     if n < 1:
         raise ValueError("n must be >= 1")

@@ -110,3 +110,13 @@ def test_single_task_path_behind_size_check(spark, descending):
     assert sorted(small.select("id", "rank").collect()) == sorted(big.select("id", "rank").collect())
     assert "__part" not in small._jdf.queryExecution().optimizedPlan().toString()
     assert "__part" in big._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_global_rank_without_materializing(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(3000).select("id", (F.col("id") * 13 % 101).cast("double").alias("v")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for limit in (0, 10 ** 6):
+        a = global_rank(stored, "v", materialize=False, single_task_max_rows=limit)
+        b = stored.withColumn("rank", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+        assert sorted(a.select("id", "rank").collect()) == sorted(b.select("id", "rank").collect())
