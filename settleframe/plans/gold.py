@@ -81,9 +81,9 @@ def top_counterparties(spark: SparkSession, cfg: PipelineConfig, n: int) -> Data
 
 
 def run_gold_reports(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> None:
-    """Optional trend tables from stored silver / gold: monthly, quarterly and
-    yearly totals per counterparty; running notional per counterparty; trade
-    counts by currency and status (with subtotals)."""
+    """Optional trend tables from the stored silver table: monthly, quarterly
+    and yearly totals per counterparty; running notional per counterparty;
+    trade counts by currency and status (with subtotals)."""
     silver = valid_trades(read_table(spark, cfg.table_path("silver", cfg.trades.silver_table), cfg.table_format))
     reports = {
         "gold_period_rollup": period_rollup(silver),
