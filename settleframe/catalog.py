@@ -38,7 +38,7 @@ from settleframe.plans.gold import counterparty_summary, trade_aggregates, valid
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
-from settleframe.session import scratch_path
+from settleframe.session import scratch_path, work_dir
 from settleframe.sources import testbed
 from settleframe.sources.readers import read_table
 from settleframe.sources.sinks import write_table
@@ -106,7 +106,9 @@ def q_gold_counterparty_rank(spark, sf):
 
 
 def q_gold_top_counterparties(spark, sf):
-    totals = counterparty_totals(valid_trades(_silver(spark, sf)))
+    # top_ranked reads its input twice: materialize the (small) summary once.
+    work_dir(spark)
+    totals = counterparty_totals(valid_trades(_silver(spark, sf))).checkpoint(eager=True)
     return top_ranked(totals, "TotalNotional", TOP_COUNTERPARTIES, "NotionalRank") \
         .select("Counterparty", "TotalTrades", "TotalNotional", "NotionalRank")
 
