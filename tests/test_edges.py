@@ -81,3 +81,30 @@ def test_json_edge_rows(spark, tmp_path):
     assert t6.record_status == "ACCEPTED" and t6._corrupt_record is None and t6.Notional == 12.5
     assert {r.processing_batch_id for r in rows} == {"b1"}
     assert {r.ingestion_source for r in rows} == {"landing_zone_json"}
+
+
+def test_currency_rule_matches_plain_model(spark):
+    """Property check: normalize_currency == strip spaces, upper-case, keep
+    exactly three letters A-Z (else null), over generated strings."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("abcxyzABCXYZ019 \t\n-"))
+    samples = []
+
+    @settings(max_examples=300, database=None, derandomize=True)
+    @given(st.text(alphabet, max_size=6) | st.none())
+    def collect(s):
+        samples.append(s)
+
+    collect()
+
+    def model(s):
+        if s is None:
+            return None
+        v = s.strip(" ").upper()
+        return v if len(v) == 3 and all("A" <= c <= "Z" for c in v) else None
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r.i: r.x for r in df.select("i", normalize_currency("s").alias("x")).collect()}
+    assert [got[i] for i in range(len(samples))] == [model(s) for s in samples]
