@@ -108,3 +108,27 @@ def test_currency_rule_matches_plain_model(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
     got = {r.i: r.x for r in df.select("i", normalize_currency("s").alias("x")).collect()}
     assert [got[i] for i in range(len(samples))] == [model(s) for s in samples]
+
+
+def test_money_sum_matches_decimal_model_any_order(spark):
+    """Per group: exact cent sum (half-up per value), independent of row order."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rnd = random.Random(5)
+    rows = []
+    for g in range(40):
+        for _ in range(rnd.randint(1, 60)):
+            v = rnd.choice([round(rnd.uniform(-1e6, 1e7), 2), round(rnd.uniform(0, 1000), 3), 0.1, 0.2, None])
+            rows.append((g, v))
+
+    def model(values):
+        vals = [Decimal(repr(v)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) for v in values if v is not None]
+        return float(sum(vals)) if vals else None
+
+    expected = {g: model([v for k, v in rows if k == g]) for g in range(40)}
+    df = spark.createDataFrame(rows, "g int, v double")
+    for seed in (1, 2):
+        shuffled = df.orderBy(F.rand(seed)).repartition(7)
+        got = {r.g: r.s for r in shuffled.groupBy("g").agg(money_sum("v").alias("s")).collect()}
+        assert got == expected
