@@ -108,3 +108,36 @@ def test_dedup_hot_trade_id(spark):
     assert out.count() == 1 + n - n // 3
     hot = out.filter(F.col("TradeID") == "HOT").collect()
     assert len(hot) == 1 and hot[0].Notional == float(n - 3)  # the largest id with id % 3 == 0
+
+
+def test_dedup_matches_plain_model(spark):
+    """Random copies with ties and nulls: survivor = max by (stamp, business
+    columns), each descending with nulls last; same on any partitioning."""
+    import random
+
+    rnd = random.Random(3)
+    stamps = [None, dt.datetime(2023, 1, 1), dt.datetime(2023, 1, 2)]
+    rows = []
+    for t in range(60):
+        for _ in range(rnd.randint(1, 5)):
+            rows.append((f"T{t}", rnd.choice(["I1", "I2", None]), rnd.choice(["A", "B", None]),
+                         rnd.choice([1.0, 2.0, None]), rnd.choice(["USD", "EUR", None]),
+                         rnd.choice(stamps)))
+    schema = ("TradeID string, InstrumentID string, Counterparty string, Notional double, Currency string, "
+              "ingestion_timestamp timestamp")
+
+    def sort_key(r):
+        # descending, nulls last == ascending on (is_not_null, value) reversed
+        order = [r[5], r[1], r[2], r[3], r[4]]
+        return tuple((v is not None, v if v is not None else 0) for v in order)
+
+    expected = {}
+    for r in rows:
+        if r[0] not in expected or sort_key(r) > sort_key(expected[r[0]]):
+            expected[r[0]] = r
+    df = spark.createDataFrame(rows, schema)
+    for seed in (1, 2):
+        out = latest_trades(df.orderBy(F.rand(seed)).repartition(5))
+        got = {r.TradeID: (r.TradeID, r.InstrumentID, r.Counterparty, r.Notional, r.Currency, r.ingestion_timestamp)
+               for r in out.collect()}
+        assert got == expected
