@@ -254,3 +254,20 @@ def test_latest_copy_across_streamed_batches(spark, tmp_path):
     assert len(silver) == 5
     assert (silver["T002"].Notional, silver["T002"].Status, silver["T002"].processing_batch_id) == (
         2600000.0, "SETTLED", "day-2")
+
+
+def test_strict_quality_run_excludes_rejected_from_gold(spark, tmp_path):
+    negative = {"TradeID": "T8", "InstrumentID": "INST001", "Counterparty": "BankA", "Notional": -5.0,
+                "Currency": "USD", "TradeDate": "2023-01-15 12:00:00", "Status": "SETTLED"}
+    cfg = _write_landing(tmp_path, extra_lines=[json.dumps(negative)])
+    cfg["strict_quality"] = True
+    log = run_medallion(spark, cfg, batch_id="b")
+    m = {(r[0], r[1], r[2]): r[3] for r in log.rows}
+    assert m[("silver", "silver_trades", "rows_written")] == 6
+    assert m[("silver", "silver_trades", "rows_rejected")] == 1
+    cfgo = PipelineConfig.from_mapping(cfg)
+    silver = {r.TradeID: r for r in read_table(spark, cfgo.table_path("silver", "silver_trades")).collect()}
+    assert silver["T8"].data_quality_status == "REJECTED" and silver["T8"].failed_rules == ["notional_min"]
+    gold = {(r.Counterparty, str(r.TradeDateYYYYMMDD)): r.DailyNotional
+            for r in read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates")).collect()}
+    assert gold[("BankA", "2023-01-15")] == 1750000.0  # the rejected trade is not counted
