@@ -271,3 +271,10 @@ def test_strict_quality_run_excludes_rejected_from_gold(spark, tmp_path):
     gold = {(r.Counterparty, str(r.TradeDateYYYYMMDD)): r.DailyNotional
             for r in read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates")).collect()}
     assert gold[("BankA", "2023-01-15")] == 1750000.0  # the rejected trade is not counted
+
+
+def test_max_records_per_file(spark, tmp_path):
+    path = tmp_path / "capped"
+    write_table(spark.range(1000).coalesce(1), str(path), max_records_per_file=300)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 4 and read_table(spark, str(path)).count() == 1000

@@ -95,3 +95,12 @@ def test_latest_instruments_deterministic(spark):
                                      "Ticker string, Exchange string, ingestion_timestamp timestamp")
     got = [tuple(r) for r in latest_instruments(df).collect()]
     assert got == [("I1", "Option", "C", "Z", "E")]
+
+
+def test_convert_non_finite_falls_back_to_double(spark):
+    df = spark.createDataFrame([("T1", float("nan"), "EUR"), ("T2", float("inf"), "EUR"), ("T3", None, "EUR")],
+                               "TradeID string, Notional double, Currency string")
+    rates = spark.createDataFrame([("EUR", 2.0)], "Currency string, Rate double")
+    got = {r.TradeID: r.NotionalUSD for r in convert_to_usd(df, rates).collect()}
+    assert got["T1"] != got["T1"]  # NaN stays NaN
+    assert got["T2"] == float("inf") and got["T3"] is None
