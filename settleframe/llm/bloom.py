@@ -90,7 +90,7 @@ class BloomFilter:
 
     def __init__(self, spark: SparkSession, bits: int, seen: np.ndarray, again: np.ndarray):
         self.bits = bits
-        self._seen, self._again = spark.sparkContext.broadcast(seen), spark.sparkContext.broadcast(again)
+        self.seen, self.again = spark.sparkContext.broadcast(seen), spark.sparkContext.broadcast(again)
 
     @classmethod
     def build(cls, hashes: DataFrame, column: str, rows: int, max_bits: int = MAX_BITS) -> BloomFilter:
@@ -127,8 +127,8 @@ class BloomFilter:
 
     def repeated(self, column: Column) -> Column:
         """May the hash occur more than once? Never false for one that does."""
-        return self._test(self._again, column)
+        return self._test(self.again, column)
 
     def member(self, column: Column) -> Column:
         """May the hash be among those added? Never false for one that is."""
-        return self._test(self._seen, column)
+        return self._test(self.seen, column)
