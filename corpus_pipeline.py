@@ -1,11 +1,19 @@
-"""Corpus pipeline over ``documents``: the stages in order, each written as
-Parquet and read back as the next one's input."""
+"""Corpus pipeline over ``documents``: five stages in order, each written as
+Parquet and read back as the next one's input.
+
+Every stage works on all rows its predecessor kept and applies its decisions:
+quality rules drop what they reject, exact dedup keeps one row of equal texts, the
+Jaccard join one document of each group of near copies, mixing repeats or leaves
+out documents until the sources meet their targets, packing cuts the documents'
+tokens into sequences. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settleframe.llm import quality_rules
+from settleframe.llm import exact_dedup, jaccard_join, mixing, packing, quality_rules
+from settleframe.llm.catalog import tokenizer_path
 from settleframe.session import scratch_path
 
 
@@ -14,8 +22,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.filter_documents(docs)
 
 
+def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.deduplicate(docs)
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, 0.85)."""
+    return jaccard_join.drop_near_duplicates(docs, shingle=5)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens in sequences of power-of-two lengths."""
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("exact_dedup", exact_dedup_stage),
+    ("jaccard_join", jaccard_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 # The last stage needs a tokenizer, which SQL cannot express.

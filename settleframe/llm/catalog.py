@@ -6,7 +6,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settleframe.llm import exact_dedup, license_scan, mixing, packing, quality_rules, sharding, warc
+from settleframe.llm import (
+    byte_cnn,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    lm_trie,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +35,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return byte_cnn.score(docs, byte_cnn.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -34,6 +50,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.document_components(_table(spark, sf_dir, "documents"))
+
+
+def op6_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_trie.train_and_score(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.measure(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "shards")
@@ -55,8 +79,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_byte_cnn": op2_byte_cnn,
     "op3_warc": op3_warc,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_lm_trie": op6_lm_trie,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
