@@ -166,5 +166,11 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: st
 
 
 def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """The documents that pass every rule, with exactly the input's columns."""
-    return quality_columns(docs, text_col).filter(verdict(rules)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents that pass every rule, with exactly the input's columns.
+
+    The verdict is a generator (one row or none) and not a filter: a filter would
+    be pushed below the projections, each measure written out again in it.
+    """
+    measured = quality_columns(docs, text_col)
+    one = F.when(verdict(rules), F.array(F.lit(True))).otherwise(F.expr("cast(array() as array<boolean>)"))
+    return measured.withColumn(f"{PREFIX}pass", F.explode(one)).select(*(F.col(f"`{c}`") for c in docs.columns))
