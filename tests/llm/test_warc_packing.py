@@ -1,0 +1,145 @@
+"""WARC round trips and packing against plain versions."""
+
+import hashlib
+import io
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from llm_plain import SF
+from settleframe.llm import packing, warc
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def plain_pages(rows):
+    payloads = [(p, (h or "").encode()) for p, h in rows]
+    first = {}
+    for p, b in payloads:
+        if len(b) >= 100 and p is not None:
+            first[b] = min(first.get(b, p), p)
+    out = Counter()
+    for p, b in payloads:
+        to = first.get(b)
+        to = None if to == p else to
+        out[p, len(b), hashlib.sha256(b).hexdigest(), "response" if to is None else "revisit", to] += 1
+    return out
+
+
+def check_pages(df):
+    got = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(df).collect())
+    assert got == plain_pages([(r.page_id, r.html) for r in df.select("page_id", "html").collect()])
+
+
+def test_warc_round_trip(spark):
+    check_pages(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+def test_warc_odd_pages(spark):
+    same, rng = "é" * 60, random.Random(1)
+    rows = [(1, "http://a/\r\nX: y", None), (2, None, ""), (None, "u", same), (3, "u", same), (4, "u", same), (4, "u", same),
+            (5, "u", "short"), (6, "u", "short"), (7, "u", "\r\n\r\nWARC/1.1\r\n" * 30), (None, None, None),
+            (8, "ü", "".join(chr(rng.randrange(32, 2000)) for _ in range(300_000))), (9, "u", "x" * 100), (10, "u", "x" * 100)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as digest", "'y' as first")
+    check_pages(df)
+    check_pages(df.repartition(4))
+    check_pages(df.limit(0))
+
+
+def test_warc_many_archives_and_manifest(spark, tmp_path):
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    manifest = warc.write_archives(df, str(tmp_path / "w"), archive_bytes=5000)
+    assert manifest.count() > 3
+    back = warc.read_archives(spark, str(tmp_path / "w"), manifest)
+    assert back.count() == df.count()
+
+
+def member(payload=b"hello", page=1, **options):
+    return warc.record_bytes(page, "http://a", payload, **options)
+
+
+def test_reader_frames_and_offsets():
+    parts = [member(b"a" * n, page=n) for n in (0, 1, 70_000, 5)] + [member(b"a" * 70_000, page=9, refers_to=70_000)]
+    records = list(warc.read_records(io.BytesIO(b"".join(parts))))
+    assert [r.page("warc-record-id") for r in records] == [0, 1, 70_000, 5, 9]
+    assert [r.payload_bytes for r in records] == [0, 1, 70_000, 5, 70_000]
+    assert [r.offset for r in records] == [0, *np.cumsum([len(p) for p in parts])[:-1]]
+    assert records[-1].type == "revisit" and records[-1].page("warc-refers-to") == 70_000
+
+
+@pytest.mark.parametrize("damage", [
+    lambda b: b[:-10],                                        # cut short
+    lambda b: zlib.compress(b"not a record\r\n\r\n", wbits=31) if False else b"junk" + b,
+    lambda b: recompress(b, b"hello", b"hallo"),              # other payload
+    lambda b: recompress(b, b"Content-Length: 5\r\n", b"Content-Length: 6\r\n"),
+    lambda b: recompress(b, b"WARC/1.1", b"HTTP/1.1", 1),
+])
+def test_reader_refuses_damage(damage):
+    with pytest.raises(warc.WarcError):
+        list(warc.read_records(io.BytesIO(damage(member()))))
+
+
+def recompress(data, old, new, times=-1):
+    raw = zlib.decompress(data, 31)
+    assert old in raw
+    packer = zlib.compressobj(wbits=31)
+    return packer.compress(raw.replace(old, new, times)) + packer.flush()
+
+
+@pytest.fixture(scope="module")
+def reference_tokenizer():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return t
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def check_packing(df, tokenizer):
+    rows = packing.pack(df, PATH, keep_ids=True).collect()
+    texts = Counter()
+    for r in df.select("doc_id", "text").collect():
+        texts[r.doc_id, tuple(ids_of(tokenizer, r.text))] += 1
+    assert all(r.length & (r.length - 1) == 0 and 0 < r.length <= 1024 and r.offset == 0 for r in rows)
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    found, at = Counter(), []
+    for r in sorted(rows, key=lambda r: r.sequence_id):       # a document's pieces follow each other
+        assert r.start == sum(len(x) for x in at)
+        at.append(np.frombuffer(r.ids, "<u4").tolist())
+        if r.start + r.length == r.doc_tokens:
+            found[r.doc_id, tuple(i for x in at for i in x)] += 1
+            at = []
+    assert not at and found == texts
+
+
+def test_packing(odd, docs, no_docs, reference_tokenizer):
+    check_packing(odd, reference_tokenizer)
+    check_packing(docs, reference_tokenizer)
+    assert packing.pack(no_docs, PATH).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("abZ é'sdtlv019.,!\n\t  　日ß\x00<|>")), max_size=40))
+def test_same_ids_as_the_tokenizers_library(text):
+    t = Tokenizer.from_file(PATH) if not hasattr(test_same_ids_as_the_tokenizers_library, "t") else test_same_ids_as_the_tokenizers_library.t
+    t.encode_special_tokens = True
+    test_same_ids_as_the_tokenizers_library.t = t
+    own = np.frombuffer(packing.tokenizer(PATH).encode(text), "<u4").tolist()
+    assert own == t.encode(text, add_special_tokens=False).ids
+
+
+@given(st.integers(1, 10**6))
+def test_piece_lengths(n):
+    pieces = packing.piece_lengths(n)
+    assert sum(pieces) == n and pieces == sorted(pieces, reverse=True)
+    assert all(p & (p - 1) == 0 and p <= 1024 for p in pieces) and len(set(pieces) - {1024}) == len([p for p in pieces if p != 1024])
