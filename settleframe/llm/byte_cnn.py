@@ -9,10 +9,10 @@ chunks go through one hidden layer to one probability.
 Training: the driver fits the network (Adam, logistic loss) on a bounded sample
 of labelled documents, ``TRAIN_ROWS`` at most, half per label as far as there
 are enough, each of at most ``TRAIN_BYTES`` bytes, chosen by a hash of the id.
-The network sees bytes only. The sampled classes are balanced, so the output bias
-is shifted to the share of labels among all training rows. Scoring runs on
-Spark over every whole text, in bounded memory: chunks are pooled a few hundred
-at a time.
+The network sees bytes only. Both labels weigh the same in the loss, and the
+output bias is shifted afterwards to the share of labels among all training rows.
+Scoring runs on Spark over every whole text, in bounded memory: chunks are pooled
+a few hundred at a time.
 
 Defined results: null text counts as empty; an empty text is one chunk of zero
 bytes and has a score like any other. Labels that are null or contradict each
@@ -41,7 +41,7 @@ FILTERS = 24
 HIDDEN = 16
 TRAIN_ROWS = 3000
 TRAIN_BYTES = 1 << 16
-EPOCHS = 10
+STEPS = 900        # whatever the number of rows
 BATCH = 32
 SEED = 5
 _POOL = 128        # chunks convolved at once
@@ -125,8 +125,9 @@ def probabilities(net: Network, raw: np.ndarray, offsets: np.ndarray) -> np.ndar
     return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
 
 
-def train(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Fit on whole texts; ``share`` is that of label 1 among all training rows."""
+def train(texts: list[bytes], labels: np.ndarray, share: float, steps: int = STEPS, seed: int = SEED) -> Network:
+    """Fit on whole texts; ``share`` is that of label 1 among all training rows.
+    Both labels weigh the same in the loss."""
     rng = np.random.default_rng(seed)
     net = Network.fresh(rng)
     if not len(labels) or labels.min() == labels.max():
@@ -134,8 +135,9 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EP
         return net
     params = net.parameters()
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step, total = 0, epochs * -(-len(texts) // BATCH)
-    for _ in range(epochs):
+    weight = np.where(labels > 0.5, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
+    step = 0
+    while step < steps:
         order = rng.permutation(len(texts))
         for a in range(0, len(order), BATCH):
             rows = order[a:a + BATCH]
@@ -147,7 +149,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EP
             first = np.searchsorted(text, np.arange(len(rows)))
             vec = combine(pooled, first)
             hidden, logit = net.head(vec)
-            d = ((1 / (1 + np.exp(-logit)) - labels[rows]) / len(rows)).astype(np.float32)
+            d = ((1 / (1 + np.exp(-logit)) - labels[rows]) * weight[rows] / len(rows)).astype(np.float32)
             dh = d[:, None] * net.w2 * (1 - hidden ** 2)
             dv = dh @ net.w1.T
             mean, low, high = np.split(dv, 3, axis=1)
@@ -162,13 +164,12 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EP
                              .reshape(256, FILTERS) for t in range(TAPS)])
             grads = [taps, dz.sum(axis=0), vec.T @ dh, dh.sum(axis=0), hidden.T @ d, d.sum(keepdims=True)]
             step += 1
-            rate = 0.01 * (1 - 0.9 * step / total)
+            rate = 0.01 * max(0.1, 1 - step / steps)
             for p, g, mm, vv in zip(params, grads, m, v, strict=True):
                 mm += 0.1 * (g - mm)
                 vv += 0.001 * (g * g - vv)
                 p -= (rate * (mm / (1 - 0.9 ** step) / (np.sqrt(vv / (1 - 0.999 ** step)) + 1e-8))).astype(np.float32)
-    sampled = float(labels.mean())
-    net.b2 += np.float32(np.log(share / (1 - share)) - np.log(sampled / (1 - sampled)))
+    net.b2 += np.float32(np.log(share / (1 - share)))
     return net
 
 

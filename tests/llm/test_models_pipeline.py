@@ -131,7 +131,7 @@ def test_network_learns_and_generalises():
                          " ".join(f"{w}###" for w in prose(rng, rng.randrange(30, 300)).split())).encode()
     y = np.array([i % 4 > 0 for i in range(400)], np.float32)
     texts = [make(v) for v in y]
-    net = byte_cnn.train(texts[:300], y[:300], float(y.mean()), epochs=4)
+    net = byte_cnn.train(texts[:300], y[:300], float(y.mean()), steps=60)
     raw, offsets = np.frombuffer(b"".join(texts[300:]), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts[300:]])))
     p = byte_cnn.probabilities(net, raw, offsets)
     assert ((p >= 0.5) == y[300:]).mean() > 0.97
