@@ -44,7 +44,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -351,6 +350,10 @@ def _count_ngrams(model, level: int, min_count: int, batches: Iterator[pa.Record
         yield from flush()
 
 
+def _ngram_counter(model, level: int, min_count: int):
+    return lambda batches: _count_ngrams(model, level, min_count, batches)
+
+
 def _merged(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = zip(*(_read_block(k, c, n) for k, c, n in zip(rows["keys"], rows["counts"], rows["n"], strict=True)), strict=True)
     return _sum_by_key(np.concatenate(keys), np.concatenate(counts))
@@ -397,6 +400,10 @@ def _write_level(folder: str, level: int, min_count: int, model, rows: pd.DataFr
     return _file_row(level, rows, _write(folder, data), len(keys), 0, _planes(sums.astype("<f8")), _planes(parent[first].astype("<u4")))
 
 
+def _level_writer(folder: str, level: int, min_count: int, model):
+    return lambda rows: _write_level(folder, level, min_count, model, rows)
+
+
 def _context_counts(model: Model, level: int, nodes: np.ndarray) -> np.ndarray:
     """Training counts of nodes, from the files of their level."""
     entries = sorted((base, key) for key, (base, _) in model.levels[level - 1].items())
@@ -450,15 +457,16 @@ def train(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, text_
         model.sizes.append(at)
         return files
 
-    level_files(texts.mapInArrow(partial(_count_words, bits), _BLOCKS), partial(_write_words, folder, bits), 1)
+    level_files(texts.mapInArrow(lambda batches: _count_words(bits, batches), _BLOCKS),
+                lambda rows: _write_words(folder, bits, rows), 1)
     model.words = model.sizes[0]
     for level in range(2, order + 1):
         shared = spark.sparkContext.broadcast(model)   # names of files only
-        files = level_files(texts.mapInArrow(partial(_count_ngrams, shared, level, min_count), _BLOCKS),
-                            partial(_write_level, folder, level, min_count, shared), level)
+        files = level_files(
+            texts.mapInArrow(_ngram_counter(shared, level, min_count), _BLOCKS), _level_writer(folder, level, min_count, shared), level)
         path = f"{folder}/back-{level - 1}"
         (files.filter("n > 0").select("segment", "sums", "parents", _plane_rows("parents").alias("parents_n"))
-         .groupBy("segment").applyInPandas(partial(_write_back, folder), "segment int, path string").write.parquet(path))
+         .groupBy("segment").applyInPandas(lambda rows: _write_back(folder, rows), "segment int, path string").write.parquet(path))
         model.backs.append({r.segment: r.path for r in spark.read.schema("segment int, path string").parquet(path).collect()})
     return model
 
