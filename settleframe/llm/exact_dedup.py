@@ -58,6 +58,10 @@ def decide(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_
                .agg(F.max(F.struct("points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("rank"))).alias("w"),
                     F.count(F.lit(1)).alias("group_size"))
                .select("text_sha256", (-F.col("w.rank")).alias("keep_id"), F.col("w.points").alias("keep_points"), "group_size"))
+    # Stored, so that both sides of the join below are plain exchanges.
+    winners_path = scratch_path(spark, "exact-dedup-winners")
+    winners.write.parquet(winners_path)
+    winners = spark.read.schema("text_sha256 string, keep_id long, keep_points long, group_size long").parquet(winners_path)
     # Repeated rows (same id and text) are numbered on their own key, before the
     # join, so that the join stays free of grouping above it and can be split.
     again = Window.partitionBy("text_sha256", "doc_id", "points").orderBy("points")
