@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settleframe.functions.columns import MONEY, money_sum, normalize_currency
+from settleframe.functions.columns import money_sum, normalize_currency
 from settleframe.operators.dedup import keep_latest
 from settleframe.schemas import INSTRUMENT_FIELDS
 
-RATE = T.DecimalType(18, 6)
+# One conversion is a decimal product: 9 places of the notional, 12 of the rate.
+AMOUNT, RATE = T.DecimalType(25, 9), T.DecimalType(18, 12)
 
 
 def latest_instruments(bronze_instruments: DataFrame) -> DataFrame:
@@ -39,29 +40,33 @@ def orphan_trades(trades: DataFrame, instruments: DataFrame) -> DataFrame:
 
 def fx_rates(rates: DataFrame, currency: str = "Currency", rate: str = "Rate") -> DataFrame:
     """Clean a caller-supplied ``(Currency, Rate)`` table: codes normalized,
-    invalid codes dropped, one row per code (the largest rate if a code is
-    listed twice).
+    invalid codes dropped, one row per code. A code listed with two different
+    rates is an error raised when the rates are read: pick an as-of date first.
 
     Size bound: at most 26^3 = 17,576 three-letter codes, so this side is
     always safe to broadcast.
     """
+    conflict = F.concat(F.lit("two different FX rates for "), F.col("Currency"))
     return (rates.select(normalize_currency(currency).alias("Currency"), F.col(rate).cast("double").alias("Rate"))
             .filter(F.col("Currency").isNotNull() & F.col("Rate").isNotNull())
-            .groupBy("Currency").agg(F.max("Rate").alias("Rate")))
+            .groupBy("Currency").agg(F.min("Rate").alias("Rate"), F.max("Rate").alias("__top"))
+            .withColumn("Rate", F.when(F.col("Rate") == F.col("__top"), F.col("Rate"))
+                        .otherwise(F.raise_error(conflict).cast("double")))
+            .drop("__top"))
 
 
 def convert_to_usd(trades: DataFrame, rates: DataFrame, out: str = "NotionalUSD") -> DataFrame:
-    """Add ``out`` = Notional x rate to USD, rounded to the cent in decimal
-    arithmetic (exact, so totals do not depend on task order). Unknown
-    currency or missing rate -> null; no rate is invented. Non-finite or
-    out-of-range notionals fall back to a double product.
+    """Add ``out`` = Notional x rate to USD, rounded half-up to the cent. The
+    product is one of decimals; non-finite values and magnitudes that the decimals
+    do not hold (notional from 1e16, rate from 1e6) use the double product. Each
+    row is converted by itself, so results do not depend on row order. Unknown
+    currency or missing rate -> null; no rate is invented.
     """
     r = F.broadcast(fx_rates(rates).withColumnRenamed("Rate", "__rate"))
-    n = F.col("Notional")
-    exact = n.isNotNull() & ~F.isnan(n) & (F.abs(n) < 1e16)
-    cents = F.round(n.cast(MONEY) * F.col("__rate").cast(RATE), 2).cast("double")
-    amount = F.when(exact, cents).otherwise(n * F.col("__rate"))
-    return trades.join(r, "Currency", "left").withColumn(out, amount).drop("__rate")
+    n, rate = F.col("Notional"), F.col("__rate")
+    fits = (F.abs(n) < 1e16) & (F.abs(rate) < 1e6)
+    cents = F.round(n.cast(AMOUNT) * rate.cast(RATE), 2).cast("double")
+    return trades.join(r, "Currency", "left").withColumn(out, F.when(fits, cents).otherwise(n * rate)).drop("__rate")
 
 
 def daily_usd_notional(converted: DataFrame, amount: str = "NotionalUSD") -> DataFrame:

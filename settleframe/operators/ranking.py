@@ -2,7 +2,7 @@
 
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task.
 ``global_rank`` computes the same ``rank()`` (ties share a rank, gaps follow,
-nulls last) with that funnel only behind a size check, and otherwise:
+nulls last) without that funnel:
 
 1. collapse equal values: ``groupBy(value).count()`` (map-side combine, so a
    value shared by a third of the rows becomes one row);
@@ -16,8 +16,7 @@ nulls last) with that funnel only behind a size check, and otherwise:
    a broadcast only when the runtime size allows it, and splits a hot value's
    partition with its skew-join handling.
 
-``top_ranked`` is the top-k report: ``rank <= n`` with ties kept, computed
-from the ``n`` best rows only (bounded by ``n``).
+``top_ranked`` is the top-k report: the rows of that rank up to ``n``, ties kept.
 """
 
 from __future__ import annotations
@@ -32,29 +31,20 @@ def _order(col: str, descending: bool) -> Column:
     return F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
 
 
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
 def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descending: bool = True,
-                partitions: int | None = None, single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
-                materialize: bool = True) -> DataFrame:
+                partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """``rank() OVER (ORDER BY order_col [DESC] NULLS LAST)``.
 
     The input is read more than once, so by default it is checkpointed to
     ``spark.checkpoint.dir`` (right for computed inputs such as a per-entity
     summary); pass ``materialize=False`` for a stored table that is cheaper
-    to re-read than to copy. It is then counted: up to
-    ``single_task_max_rows`` rows, one ordered window task ranks them (a
-    checked bound). Beyond it, the distributed plan described above runs; no
-    task then holds more than its range part.
+    to re-read than to copy. No task holds more than its range part.
     """
     work_dir(df.sparkSession)
     key, n, part = "__key", "__n", "__part"
     order = _order(key, descending)
 
     base = df.checkpoint(eager=True) if materialize else df
-    if base.count() <= single_task_max_rows:
-        return base.withColumn(rank_col, F.rank().over(Window.orderBy(_order(order_col, descending))))
     distinct_values = base.groupBy(F.col(order_col).alias(key)).agg(F.count(F.lit(1)).alias(n))
     # Without an explicit count AQE may merge adjacent range partitions, which
     # keeps partition ids in value order; the checkpoint pins them.
@@ -79,20 +69,8 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descendin
 
 
 def top_ranked(df: DataFrame, order_col: str, n: int, rank_col: str = "rank",
-               descending: bool = True) -> DataFrame:
-    """Rows whose ``rank()`` is at most ``n``; ties at the boundary are kept.
-
-    Only the ``n`` best values travel to one task (``TakeOrderedAndProject``
-    keeps ``n`` per map task). Every row strictly better than a value in that
-    head is in the head, so ranks computed there are the global ranks. The
-    input is read twice (head, then the join): pass a stored table, or
-    checkpoint an expensive computed input first.
-    """
+               descending: bool = True, **options) -> DataFrame:
+    """Rows whose ``rank()`` is at most ``n``; ties at the boundary are kept."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    key = "__key"
-    order = _order(key, descending)
-    head = df.select(F.col(order_col).alias(key)).orderBy(order).limit(n)
-    head_ranks = (head.withColumn(rank_col, F.rank().over(Window.orderBy(order)))
-                  .groupBy(key).agg(F.min(rank_col).cast("int").alias(rank_col)))
-    return df.join(F.broadcast(head_ranks), df[order_col].eqNullSafe(head_ranks[key])).drop(key)
+    return global_rank(df, order_col, rank_col, descending, **options).filter(F.col(rank_col) <= n)

@@ -1,39 +1,42 @@
 """Period rollups, running totals and multi-dimensional trade counts.
 
-All three are single aggregation plans: GROUPING SETS / CUBE run as one
-Expand + partial aggregate + one shuffle, not one job per level.
+GROUPING SETS / CUBE run as one Expand + partial aggregate + one shuffle, not one
+job per level; the period rollup first sums per day, so only one row per
+counterparty and day goes through the Expand.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from settleframe.functions.columns import MONEY, money_avg, money_sum, time_dimensions
+from settleframe.functions.columns import money_parts, money_sum, money_total, time_dimensions
 
 # Period level labels.
 YEAR, QUARTER, MONTH = "YEAR", "QUARTER", "MONTH"
 
 
 def period_rollup(trades: DataFrame, date_col: str = "TradeDateYYYYMMDD") -> DataFrame:
-    """Per counterparty: yearly, quarterly and monthly totals in one pass
-    (``GROUPING SETS ((cp, y), (cp, y, q), (cp, y, m))``)."""
+    """Per counterparty: yearly, quarterly and monthly totals
+    (``GROUPING SETS ((cp, y), (cp, y, q), (cp, y, m))``) from daily sums that
+    are still decimals, so no digit is lost on the way up."""
+    parts = money_parts("Notional")
+    daily = trades.groupBy("Counterparty", date_col).agg(
+        F.count("TradeID").alias("__trades"), F.count("Notional").alias("__priced"),
+        *(F.sum(x).alias(f"__{k}") for k, x in parts.items()))
     dims = time_dimensions(date_col)
-    src = trades.select("Counterparty", "TradeID", "Notional",
-                        dims["TradeYear"].alias("TradeYear"),
-                        dims["TradeQuarter"].alias("TradeQuarter"),
-                        dims["TradeMonth"].alias("TradeMonth"))
-    n = F.col("Notional")
+    src = daily.select("Counterparty", "__trades", "__priced", *(f"__{k}" for k in parts),
+                       *(dims[c].alias(c) for c in ("TradeYear", "TradeQuarter", "TradeMonth")))
+    priced, total = F.sum("__priced"), money_total({k: F.sum(f"__{k}") for k in parts})
     out = src.groupingSets(
         [["Counterparty", "TradeYear"],
          ["Counterparty", "TradeYear", "TradeQuarter"],
          ["Counterparty", "TradeYear", "TradeMonth"]],
         "Counterparty", "TradeYear", "TradeQuarter", "TradeMonth",
     ).agg(
-        F.count("TradeID").alias("TradeCount"),
-        money_sum(n).alias("TotalNotional"),
-        money_avg(n).alias("AverageTradeSize"),
+        F.sum("__trades").alias("TradeCount"),
+        total.alias("TotalNotional"),
+        F.when(priced > 0, total / priced).alias("AverageTradeSize"),
         F.grouping("TradeQuarter").alias("__gq"),
         F.grouping("TradeMonth").alias("__gm"),
     )
@@ -43,14 +46,6 @@ def period_rollup(trades: DataFrame, date_col: str = "TradeDateYYYYMMDD") -> Dat
     return out.withColumn("PeriodLevel", level).drop("__gq", "__gm")
 
 
-def _exact_running_sum(c: str, w: Window) -> Column:
-    v = F.col(c)
-    exact = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e16)
-    exact_sum = F.sum(F.when(exact, v.cast(MONEY))).over(w).cast(T.DoubleType())
-    wide_sum = F.sum(F.when(~exact, v)).over(w)
-    return F.when(wide_sum.isNull(), exact_sum).otherwise(wide_sum + F.coalesce(exact_sum, F.lit(0.0)))
-
-
 def running_total(daily: DataFrame, amount: str = "DailyNotional", key: str = "Counterparty",
                   order_col: str = "TradeDateYYYYMMDD", out: str = "RunningNotional") -> DataFrame:
     """Cumulative ``amount`` per ``key`` in ``order_col`` order.
@@ -61,7 +56,7 @@ def running_total(daily: DataFrame, amount: str = "DailyNotional", key: str = "C
     """
     w = (Window.partitionBy(key).orderBy(F.col(order_col).asc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return daily.withColumn(out, _exact_running_sum(amount, w))
+    return daily.withColumn(out, money_total({k: F.sum(x).over(w) for k, x in money_parts(amount).items()}))
 
 
 def trade_counts_cube(trades: DataFrame, dims: tuple[str, ...] = ("Currency", "Status")) -> DataFrame:
