@@ -40,7 +40,6 @@ class PipelineConfig:
     trades_schema: Mapping[str, str] = field(default_factory=lambda: dict(TRADE_FIELDS))
     validation_rules: Mapping[str, Any] = field(default_factory=lambda: dict(DEFAULT_RULES))
     strict_quality: bool = False
-    files_per_gold_partition: int = 4
 
     @staticmethod
     def from_mapping(cfg: Mapping[str, Any]) -> "PipelineConfig":
@@ -69,7 +68,6 @@ class PipelineConfig:
             trades_schema=dict(dq.get("trades_schema", dict(TRADE_FIELDS))),
             validation_rules=dict(dq.get("validation_rules", DEFAULT_RULES)),
             strict_quality=bool(cfg.get("strict_quality", False)),
-            files_per_gold_partition=int(cfg.get("files_per_gold_partition", 4)),
         )
 
     def table_path(self, layer: str, table: str) -> str:

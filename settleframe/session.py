@@ -69,7 +69,23 @@ def work_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: dict[str, set[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never-reused path under the shared work folder."""
-    base = work_dir(spark).rstrip("/")
-    return f"{base}/settleframe/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused path under the shared work folder. What is written
+    there stays until ``clean_scratch``: lazy results may still read it."""
+    path = f"{work_dir(spark).rstrip('/')}/settleframe/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made in the running application,
+    once their results are no longer read. Returns how many."""
+    from settleframe.sources.files import delete
+
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, set())
+    for path in paths:
+        delete(spark, path)
+    return len(paths)

@@ -7,13 +7,48 @@ turning into all-null rows that vanish downstream.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settleframe.schemas import CORRUPT_COLUMN, schema_from_mapping, trades_schema
+from settleframe.schemas import CORRUPT_COLUMN, instruments_schema, schema_from_mapping, trades_schema
+from settleframe.sources.files import first_line
+from settleframe.sources.sinks import current_version
+
+
+def _csv_by_name(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame | None:
+    """CSV files with header rows, columns matched by name.
+
+    Only the header line of each file is read here. Files are grouped by header
+    and each group is read under its own column order (Spark applies a declared
+    schema by position), then the groups are united by name. Columns that are not
+    declared are text; None when there are no files.
+    """
+    files = spark.read.text(path).inputFiles()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        header = tuple(next(csv.reader([first_line(spark, f)]), []))
+        if header:
+            groups.setdefault(header, []).append(f)
+    kinds = {f.name: f.dataType for f in declared.fields if f.name != CORRUPT_COLUMN}
+    parts = []
+    for header, own in sorted(groups.items()):
+        schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header]
+                              + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+        parts.append(spark.read.schema(schema).option("mode", "PERMISSIVE").option("header", True)
+                     .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path if len(groups) == 1 else own))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
+def _with_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Declared columns in order and type, missing ones null (also the corrupt
+    text, which only text formats have)."""
+    return df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in declared.fields))
 
 
 def read_trades(spark: SparkSession, path: str, fmt: str = "json",
@@ -22,57 +57,60 @@ def read_trades(spark: SparkSession, path: str, fmt: str = "json",
 
     Unknown fields are ignored, missing ones are null, a field whose value
     does not fit its type is null, and an unparseable line keeps its text in
-    ``_corrupt_record``. Field names are case-sensitive.
+    ``_corrupt_record``. Field names are case-sensitive. CSV columns go by their
+    header names, file by file. Any other format Spark reads (Parquet, ORC, ...)
+    brings its own types, cast to the declared ones.
     """
     if schema is None:
         schema = trades_schema(corrupt_column=True)
     elif isinstance(schema, Mapping):
         schema = schema_from_mapping(schema, corrupt_column=True)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if fmt == "json":
-        return reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(path)
+        return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(path))
     if fmt == "csv":
-        return reader.option("header", True).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path)
-    return spark.read.format(fmt).load(path)
+        df = _csv_by_name(spark, path, schema)
+        return spark.createDataFrame([], schema) if df is None else _with_declared(df, schema)
+    return _with_declared(spark.read.format(fmt).load(path), schema)
 
 
 def read_instruments(spark: SparkSession, path: str, fmt: str = "csv",
                      infer_schema: bool = False) -> DataFrame:
     """Instrument reference data (CSV with a header row), PERMISSIVE.
 
-    By default every column is read as text under the file's own header
-    names (``InstrumentID`` or ``instrument_id``), taken from the header
-    only; short rows are padded with null. ``infer_schema=True`` runs
-    Spark's type inference (an extra pass, and it turns ``001`` into 1).
+    By default every column is read as text under each file's own header
+    names; files may differ in column order and call the id ``InstrumentID`` or
+    ``instrument_id`` (united as ``InstrumentID``; both in one file is an error).
+    Short rows are padded with null. ``infer_schema=True`` runs Spark's type
+    inference (an extra pass, and it turns ``001`` into 1).
     """
     if fmt != "csv":
-        return spark.read.format(fmt).load(path)
-    base = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if infer_schema:
-        return base.option("inferSchema", True).csv(path)
-    # Header-only read (no data pass) to learn the column names, then a
-    # declared all-string schema under those names.
-    header = spark.read.option("header", True).csv(path).columns
-    schema = schema_from_mapping({c: "string" for c in header}, corrupt_column=True)
-    return base.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path)
+        df = spark.read.format(fmt).load(path)
+    elif infer_schema:
+        df = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", True).csv(path)
+    else:
+        df = _csv_by_name(spark, path, instruments_schema())
+        if df is None:
+            return spark.createDataFrame([], instruments_schema())
+        if {"InstrumentID", "instrument_id"} <= set(df.columns):
+            df = _one_id(spark, path, df)
+    return df if CORRUPT_COLUMN in df.columns else df.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+
+
+def _one_id(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    for f in spark.read.text(path).inputFiles():
+        header = next(csv.reader([first_line(spark, f)]), [])
+        if {"InstrumentID", "instrument_id"} <= set(header):
+            raise ValueError(f"both 'instrument_id' and 'InstrumentID' are present in {f}")
+    return df.withColumn("InstrumentID", F.coalesce("InstrumentID", "instrument_id")).drop("instrument_id")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A layer table by path (parquet by default; any installed format)."""
-    return spark.read.format(fmt).load(path)
-
-
-def ensure_parallelism(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread ``df`` on ``keys`` over ``min_partitions`` (default: the
-    cluster's default parallelism) only when its scan splits into fewer
-    partitions, e.g. a single-row-group file. Inputs that already split wider
-    (every large table) are returned unchanged: no shuffle is added at scale.
-
-    Hashing on a few key columns keeps the spread deterministic on retry (no
-    local sort, unlike round-robin) and lets column pruning pass through: the
-    scan still reads only the columns the query uses.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *[F.col(c) for c in keys])
+    """A layer table by path (parquet by default; any installed format): its
+    current version under the schema it was written with, so an empty table reads
+    like any other. A plain folder without versions is read as it is."""
+    version = current_version(spark, path, fmt)
+    if version is None:
+        return spark.read.format(fmt).load(path)
+    data, schema = version
+    return spark.read.schema(schema).format(fmt).load(data)

@@ -1,21 +1,40 @@
 """Layer-table writers. Each call runs exactly one Spark action.
 
-Overwrites replace the table (and its schema). A plain Parquet overwrite
-deletes before it writes, so never overwrite a path that the same plan reads;
-the pipeline writes every layer to its own path.
+A table path holds versions: every overwrite writes a folder of its own and then
+moves a small pointer file (which also keeps the schema), so readers see the old
+table or the new one and a failed write leaves the old one in place. The version
+before the current one is kept for readers that still use it, older ones are
+deleted. Transactional formats (Delta and the like) do this themselves and are
+written plainly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from settleframe.sources.files import delete, read_json, replace_json
+
+POINTER = "_current.json"
+TRANSACTIONAL = ("delta", "iceberg", "hudi")
+
+
+def current_version(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[str, T.StructType] | None:
+    """(data folder, schema) of a table's current version; None for plain folders."""
+    if fmt in TRANSACTIONAL:
+        return None
+    base = path.rstrip("/")
+    pointer = read_json(spark, f"{base}/{POINTER}")
+    return None if pointer is None else (f"{base}/{pointer['version']}", T.StructType.fromJson(pointer["schema"]))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_cols: Sequence[str] | None = None, rebalance: bool = False,
-                salt_files: int = 0, max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None,
+                finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write ``df`` to ``path``.
 
     With ``partition_cols`` the table gets a hive-style layout (readers get
@@ -23,29 +42,51 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     shuffle; right when the partition values are few, as for record status).
     ``rebalance=True`` first regroups rows on the partition columns, so each
     directory gets few files; AQE splits an oversized value over several
-    tasks and merges small ones. ``salt_files > 0`` instead hash-spreads
-    rows over ``partition cols + salt``: at most ``salt_files`` files per
-    value.
+    tasks and merges small ones. ``finish`` is applied behind that exchange, in
+    the stage that writes (for observations, which a repeated map stage would
+    count twice). An overwrite replaces the whole table, whatever the session's
+    partition overwrite mode; ``append`` adds to the current version.
     """
-    writer_df = df
-    if partition_cols:
-        cols = list(partition_cols)
-        if salt_files > 0:
-            salt = F.pmod(F.xxhash64(*df.columns), F.lit(salt_files))
-            writer_df = df.repartition(*[F.col(c) for c in cols], salt)
-        elif rebalance:
-            writer_df = df.hint("rebalance", *cols)
-    writer = writer_df.write.format(fmt).mode(mode)
+    spark, base = df.sparkSession, path.rstrip("/")
+    cols = list(partition_cols or [])
+    if cols and rebalance:
+        df = df.hint("rebalance", *cols)
+    if finish is not None:
+        df = finish(df)
+    writer = df.write.format(fmt).option("partitionOverwriteMode", "static")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.save(path)
+    if cols:
+        writer = writer.partitionBy(*cols)
+    if fmt in TRANSACTIONAL:
+        writer.mode(mode).option("overwriteSchema" if mode == "overwrite" else "mergeSchema", True).save(base)
+        return
+    pointer = read_json(spark, f"{base}/{POINTER}")
+    if mode == "append" and pointer is not None:
+        writer.mode("append").save(f"{base}/{pointer['version']}")
+        return
+    version = f"version-{uuid.uuid4().hex[:12]}"
+    writer.mode("errorifexists").save(f"{base}/{version}")
+    # Readers get partition columns behind the others, as a hive-style layout has them.
+    fields = [f for f in df.schema.fields if f.name not in cols] + [df.schema[c] for c in cols]
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    replace_json(spark, f"{base}/{POINTER}", {"version": version, "before": (pointer or {}).get("version"),
+                                             "schema": nullable.jsonValue()})
+    if pointer and pointer.get("before"):
+        delete(spark, f"{base}/{pointer['before']}")
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Catalog entry over a written path (``CREATE TABLE IF NOT EXISTS ...``)."""
-    if not name.replace("_", "").isalnum():
+    """Catalog entry over a table's current version, its partitions included.
+    Call it again after an overwrite to move the entry to the new version."""
+    if not name.replace("_", "").replace(".", "").isalnum():
         raise ValueError(f"bad table name {name!r}")
-    location = path.replace("'", "\\'")
+    version = current_version(spark, path, fmt)
+    location = (version[0] if version else path).replace("'", "\\'")
+    known = spark.catalog.tableExists(name)
+    if known and version is not None:
+        spark.sql(f"DROP TABLE {name}")  # external: only the entry goes
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
