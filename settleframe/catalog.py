@@ -34,20 +34,20 @@ from settleframe.operators import (
 )
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
-from settleframe.plans.gold import counterparty_summary, trade_aggregates, valid_trades
+from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
-from settleframe.session import scratch_path, work_dir
+from settleframe.session import scratch_path
 from settleframe.sources import testbed
 from settleframe.sources.readers import read_table
-from settleframe.sources.sinks import write_table
+from settleframe.sources.sinks import register_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Demonstration FX rates to USD (a caller-supplied parameter
 # table; currencies without a row stay unconverted).
-DEMO_USD_RATES = [("USD", 1.0), ("EUR", 1.0842), ("GBP", 1.2716), ("JPY", 0.0067)]
+DEMO_USD_RATES = [("USD", 1.0), ("EUR", 1.0842), ("GBP", 1.271634875), ("JPY", 0.0000671345)]
 TOP_COUNTERPARTIES = 3
 PRUNED_YEAR = 1998
 QUERY_BATCH_ID = "batch-query"
@@ -106,13 +106,15 @@ def q_gold_counterparty_rank(spark, sf):
 
 
 def q_gold_top_counterparties(spark, sf):
-    # top_ranked reads its input twice: materialize the (small) summary once.
-    work_dir(spark)
-    totals = counterparty_totals(valid_trades(_silver(spark, sf))).checkpoint(eager=True)
+    totals = counterparty_totals(valid_trades(_silver(spark, sf)))
     return top_ranked(totals, "TotalNotional", TOP_COUNTERPARTIES, "NotionalRank") \
         .select("Counterparty", "TotalTrades", "TotalNotional", "NotionalRank")
 
 
+def q_gold_summary_sorted(spark, sf):
+    return sorted_summary(counterparty_totals(valid_trades(_silver(spark, sf))))
+
+
 def q_silver_trades(spark, sf):
     return _silver(spark, sf).select(*SILVER_COLUMNS)
 
@@ -159,10 +161,36 @@ def q_bronze_trades_json(spark, sf):
     return bronze.select(*TRADE_BUSINESS_COLUMNS, "ingestion_source", "processing_batch_id")
 
 
+def _instruments_csv(spark: SparkSession, sf: str) -> str:
+    """Instruments as CSV files of two kinds: other column order, other id name."""
+    landing, inst = scratch_path(spark, "landing-instruments-csv"), testbed.instruments(spark, sf)
+    nasdaq = F.col("Exchange") == "XNAS"
+    inst.filter(nasdaq).withColumnRenamed("InstrumentID", "instrument_id").write.option("header", True).csv(landing)
+    inst.filter(~nasdaq).select("Ticker", "Exchange", "InstrumentName", "InstrumentType", "InstrumentID") \
+        .write.mode("append").option("header", True).csv(landing)
+    return landing
+
+
+def q_bronze_trades_csv(spark, sf):
+    landing, trades = scratch_path(spark, "landing-trades-csv"), testbed.trades(spark, sf, with_ingestion_time=False)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    settled = F.col("Status") == "SETTLED"
+    trades.filter(settled).write.options(**options).csv(landing)
+    trades.filter(~settled).select(*reversed(trades.columns)).write.mode("append").options(**options).csv(landing)
+    return accepted(ingest_trades(spark, landing, "csv", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID)) \
+        .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source")
+
+
+def q_bronze_instruments_validated(spark, sf):
+    """Instruments with an id, from Parquet landing files (some ids are null)."""
+    landing = scratch_path(spark, "landing-instruments-parquet")
+    testbed.instruments(spark, sf).write.parquet(landing)
+    return accepted(ingest_instruments(spark, landing, "parquet")).select(
+        "InstrumentID", "InstrumentType", "InstrumentName", "Ticker", "Exchange", "ingestion_source")
+
+
 def q_bronze_instruments_csv(spark, sf):
-    landing = scratch_path(spark, "landing-instruments-csv")
-    (testbed.instruments(spark, sf).withColumnRenamed("InstrumentID", "instrument_id")
-     .write.mode("overwrite").option("header", True).csv(landing))
+    landing = _instruments_csv(spark, sf)
     bronze = accepted(ingest_instruments(spark, landing, "csv"))
     return bronze.select("InstrumentID", "InstrumentType", "InstrumentName", "Ticker", "Exchange",
                          "ingestion_source")
@@ -208,21 +236,89 @@ def q_gold_trade_counts_cube(spark, sf):
     return trade_counts_cube(valid_trades(_silver(spark, sf)))
 
 
-def _landing_config(spark: SparkSession, sf: str) -> PipelineConfig:
-    """Write the test tables as landing files and return a config for a run."""
-    root = scratch_path(spark, "run")
-    testbed.trades(spark, sf, with_ingestion_time=False).write.json(f"{root}/landing/trades")
-    testbed.instruments(spark, sf).write.option("header", True).csv(f"{root}/landing/instruments")
+def _dirty_lines(trades: DataFrame) -> DataFrame:
+    """Landing lines of the trades (JSON) and, beside them, lines that are wrong:
+    cut off, with a text for a number, without an id."""
+    order = F.split("TradeID", "-")[0].cast("long") % 50
+    whole = F.struct(*trades.columns)
+    text = F.struct(*((F.concat(F.lit("E"), "TradeID") if c == "TradeID" else F.lit("n/a") if c == "Notional" else F.col(c)).alias(c)
+                      for c in trades.columns))
+    nameless = F.struct(*(c for c in trades.columns if c != "TradeID"))
+    lines = F.array(F.to_json(whole),
+                    F.when(order == 1, F.concat(F.lit('{"TradeID":"'), "TradeID")),
+                    F.when((order == 2) & F.col("Currency").isNotNull(), F.to_json(text)),
+                    F.when(order == 3, F.to_json(nameless)))
+    return trades.select(F.explode(F.array_compact(lines)).alias("value"))
+
+
+def _run_config(spark: SparkSession, root: str, trades: str, fmt: str) -> PipelineConfig:
     return PipelineConfig(
-        trades=SourceSpec("json", f"{root}/landing/trades", "bronze_trades", "silver_trades",
-                          "gold_trade_aggregates"),
-        instruments=SourceSpec("csv", f"{root}/landing/instruments", "bronze_instruments",
-                               "silver_instruments"),
+        trades=SourceSpec(fmt, trades, "bronze_trades", "silver_trades", "gold_trade_aggregates"),
+        instruments=SourceSpec("csv", f"{root}/landing/instruments", "bronze_instruments", "silver_instruments"),
         bronze_path=f"{root}/bronze", silver_path=f"{root}/silver", gold_path=f"{root}/gold",
         trades_schema=LANDING_TRADES_SCHEMA,
     )
 
 
+def _landing_config(spark: SparkSession, sf: str) -> PipelineConfig:
+    """Write the test tables as landing files and return a config for a run."""
+    root = scratch_path(spark, "run")
+    _dirty_lines(testbed.trades(spark, sf, with_ingestion_time=False)).write.text(f"{root}/landing/trades")
+    testbed.instruments(spark, sf).write.option("header", True).csv(f"{root}/landing/instruments")
+    return _run_config(spark, root, f"{root}/landing/trades", "json")
+
+
+# One whole run per application and data folder serves the queries that read its tables back.
+_RUNS: dict[tuple[str, str], PipelineConfig] = {}
+
+
+def _finished_run(spark: SparkSession, sf: str) -> PipelineConfig:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        cfg = _landing_config(spark, sf)
+        run_medallion(spark, cfg, QUERY_BATCH_ID, reports=True)
+        _RUNS[key] = cfg
+    return _RUNS[key]
+
+
+def _run_table(layer: str, table: str, columns: list[str] | None = None) -> Query:
+    """A query that reads a table of the whole run back."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        df = read_table(spark, _finished_run(spark, sf).table_path(layer, table))
+        return df.select(*columns) if columns else df
+    return query
+
+
+def q_run_parquet_source(spark, sf):
+    """A run from Parquet landing files; the daily table through the catalog."""
+    root = scratch_path(spark, "run-parquet")
+    testbed.trades(spark, sf, with_ingestion_time=False).write.parquet(f"{root}/landing/trades")
+    testbed.instruments(spark, sf).write.option("header", True).csv(f"{root}/landing/instruments")
+    cfg = _run_config(spark, root, f"{root}/landing/trades", "parquet")
+    run_medallion(spark, cfg, QUERY_BATCH_ID)
+    name = "settleframe_gold_" + root.rsplit("-", 1)[1]
+    register_table(spark, name, cfg.table_path("gold", cfg.trades.gold_table))
+    return spark.table(name).select(*GOLD_COLUMNS)
+
+
+def q_run_month_removed(spark, sf):
+    """The gold table after a second run whose landing lost the last year: static
+    replacement under a session with dynamic overwrites, read through the catalog."""
+    root = scratch_path(spark, "run-twice")
+    daily = _daily(spark, sf)
+    path, name = f"{root}/gold", "settleframe_twice_" + root.rsplit("-", 1)[1]
+    key, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(key, "dynamic")
+    try:
+        write_table(daily, path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
+        register_table(spark, name, path)
+        write_table(daily.filter(F.col("TradeYear") < PRUNED_YEAR), path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
+        register_table(spark, name, path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.table(name).select(*GOLD_COLUMNS)
+
+
 def q_layer_row_counts(spark, sf):
     cfg = _landing_config(spark, sf)
     log = run_medallion(spark, cfg, QUERY_BATCH_ID)
@@ -244,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "gold_counterparty_summary": q_gold_counterparty_summary,
     "gold_counterparty_rank": q_gold_counterparty_rank,
     "gold_top_counterparties": q_gold_top_counterparties,
+    "gold_summary_sorted": q_gold_summary_sorted,
     "silver_trades": q_silver_trades,
     "silver_currency": q_silver_currency,
     "silver_dedup_latest": q_silver_dedup_latest,
@@ -253,7 +350,9 @@ QUERIES: dict[str, Query] = {
     "bronze_trades_validated": q_bronze_trades_validated,
     "bronze_quarantine": q_bronze_quarantine,
     "bronze_trades_json": q_bronze_trades_json,
+    "bronze_trades_csv": q_bronze_trades_csv,
     "bronze_instruments_csv": q_bronze_instruments_csv,
+    "bronze_instruments_validated": q_bronze_instruments_validated,
     "silver_instruments": q_silver_instruments,
     "trades_enriched": q_trades_enriched,
     "trades_orphans": q_trades_orphans,
@@ -264,21 +363,33 @@ QUERIES: dict[str, Query] = {
     "gold_trade_counts_cube": q_gold_trade_counts_cube,
     "layer_row_counts": q_layer_row_counts,
     "gold_partition_pruned_read": q_gold_partition_pruned_read,
+    "run_silver_trades": _run_table("silver", "silver_trades", SILVER_COLUMNS),
+    "run_gold_daily": _run_table("gold", "gold_trade_aggregates", GOLD_COLUMNS),
+    "run_gold_summary": _run_table("gold", "gold_counterparty_summary"),
+    "run_gold_period_rollup": _run_table("gold", "gold_period_rollup"),
+    "run_gold_running_notional": _run_table("gold", "gold_running_notional", [
+        "Counterparty", "TradeDateYYYYMMDD", "DailyNotional", "RunningNotional"]),
+    "run_gold_trade_counts": _run_table("gold", "gold_trade_counts"),
+    "run_parquet_source": q_run_parquet_source,
+    "run_month_removed": q_run_month_removed,
 }
 
 
 # ------------------------------------------------------------ SQL (DuckDB)
 
-_MONEY = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+# A double as text keeps its digits; their decimals are summed, and the sum read back.
+_MONEY = "CAST(CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE)"
 _ORDER_COPIES = ", ".join(f"{c} DESC NULLS LAST" for c in ["ingestion_timestamp"] + TRADE_BUSINESS_COLUMNS[1:])
 _REQUIRED_OK = " AND ".join(f"{c} IS NOT NULL" for c in TRADE_REQUIRED)
 _NORMALIZED = ("CASE WHEN regexp_full_match(upper(trim(Currency)), '[A-Z]{3}') "
                "THEN upper(trim(Currency)) END")
 
-_BASE = f"""trades AS ({testbed.TRADES_SQL}),
+def _chain(source: str, order: str) -> str:
+    """CTEs from a trade relation to the gold tables."""
+    return f"""trades AS ({source}),
 bronze AS (SELECT * FROM trades WHERE {_REQUIRED_OK}),
 normalized AS (SELECT * REPLACE ({_NORMALIZED} AS Currency) FROM bronze),
-copies AS (SELECT *, row_number() OVER (PARTITION BY TradeID ORDER BY {_ORDER_COPIES}) AS rn FROM normalized),
+copies AS (SELECT *, row_number() OVER (PARTITION BY TradeID ORDER BY {order}) AS rn FROM normalized),
 silver AS (SELECT * EXCLUDE (rn), CAST(TradeDate AS DATE) AS TradeDateYYYYMMDD,
   CAST(SettlementDate AS DATE) AS SettlementDateYYYYMMDD, 'CLEANSED' AS data_quality_status
   FROM copies WHERE rn = 1),
@@ -316,21 +427,32 @@ inst_copies AS (SELECT *, row_number() OVER (PARTITION BY InstrumentID ORDER BY
 silver_instruments AS (SELECT * EXCLUDE (rn) FROM inst_copies WHERE rn = 1)"""
 
 
-def _sql(body: str, extra: str = "") -> str:
-    return f"WITH {_BASE}{extra}\n{body}"
+_BASE = _chain(testbed.TRADES_SQL, _ORDER_COPIES)
 
 
-# A file-based run stamps one ingestion time per run, so copies of a trade
-# are resolved by the business-column tie-breakers alone.
+def _sql(body: str) -> str:
+    return f"WITH {_BASE}\n{body}"
+
+
+# A file-based run stamps one ingestion time per run, so copies of a trade are
+# resolved by the business-column tie-breakers alone. Its landing files also hold
+# lines with a text for the notional (accepted, null) and lines without an id.
 _RUN_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in TRADE_BUSINESS_COLUMNS[1:])
-_RUN = f""",
-run_copies AS (SELECT *, row_number() OVER (PARTITION BY TradeID ORDER BY {_RUN_ORDER}) AS rn FROM normalized),
-run_valid AS (SELECT * EXCLUDE (rn), CAST(TradeDate AS DATE) AS TradeDateYYYYMMDD FROM run_copies WHERE rn = 1),
-run_groups AS (SELECT Counterparty, TradeDateYYYYMMDD, sum(Notional) AS DailyNotional FROM run_valid
-  GROUP BY Counterparty, TradeDateYYYYMMDD)"""
+_ORDER_KEY = "TRY_CAST(split_part(TradeID, '-', 1) AS BIGINT) % 50"
+_RUN_TRADES = f"""WITH plain AS ({testbed.TRADES_SQL})
+  SELECT * FROM plain
+  UNION ALL SELECT * REPLACE (concat('E', TradeID) AS TradeID, CAST(NULL AS DOUBLE) AS Notional) FROM plain
+    WHERE {_ORDER_KEY} = 2 AND Currency IS NOT NULL
+  UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS TradeID) FROM plain WHERE {_ORDER_KEY} = 3"""
+
+
+def _run_sql(body: str) -> str:
+    """Over the landing lines of a whole run."""
+    return f"WITH {_chain(_RUN_TRADES, _RUN_ORDER)}\n{body}"
 
 
 _cols = ", ".join
+_MALFORMED = f"{_ORDER_KEY} = 1"
 _MISSING = "concat_ws(',', " + ", ".join(
     f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in TRADE_REQUIRED) + ")"
 _RULES = [(f"required:{c}", f"{c} IS NULL") for c in DEFAULT_RULES["required_fields"]] + [
@@ -395,40 +517,54 @@ ORACLE_SQL: dict[str, str] = {
         "(Counterparty, TradeYear, TradeMonth))"),
     "gold_running_notional": _sql(
         "SELECT Counterparty, TradeDateYYYYMMDD, DailyNotional, "
-        "CAST(sum(CAST(DailyNotional AS DECIMAL(18,2))) OVER (PARTITION BY Counterparty "
-        "ORDER BY TradeDateYYYYMMDD ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) "
+        "CAST(CAST(sum(CAST(CAST(DailyNotional AS VARCHAR) AS DECIMAL(38,18))) OVER (PARTITION BY Counterparty "
+        "ORDER BY TradeDateYYYYMMDD ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS DOUBLE) "
         "AS RunningNotional FROM groups"),
     "gold_notional_usd_fx": _sql(
         "SELECT Counterparty, TradeDateYYYYMMDD, "
         f"{_MONEY.format(c='NotionalUSD')} AS NotionalUSD, "
         "count(*) FILTER (WHERE Notional IS NOT NULL AND NotionalUSD IS NULL) AS UnpricedTrades "
-        "FROM (SELECT v.*, CAST(round(CAST(v.Notional AS DECIMAL(18,2)) * CAST(r.Rate AS DECIMAL(18,6)), 2) "
-        f"AS DOUBLE) AS NotionalUSD FROM valid v LEFT JOIN {_RATES} ON v.Currency = r.Currency) "
+        "FROM (SELECT v.*, CAST(CAST(round(CAST(CAST(v.Notional AS VARCHAR) AS DECIMAL(24,9)) * CAST(r.Rate AS DECIMAL(14,12)), 2) "
+        f"AS VARCHAR) AS DOUBLE) AS NotionalUSD FROM valid v LEFT JOIN {_RATES} ON v.Currency = r.Currency) "
         "GROUP BY Counterparty, TradeDateYYYYMMDD"),
     "gold_trade_counts_cube": _sql(
         f"SELECT Currency, Status, count(TradeID) AS TradeCount, {_MONEY.format(c='Notional')} AS TotalNotional, "
         "CAST(GROUPING(Currency, Status) AS INTEGER) AS grouping_id FROM valid GROUP BY CUBE (Currency, Status)"),
-    "layer_row_counts": _sql(
+    "layer_row_counts": _run_sql(
         "SELECT * FROM (VALUES ('x', 'x', 'x', 0)) AS t(layer, table_name, metric, value) WHERE false "
-        "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_read', count(*) FROM trades "
-        "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_malformed', 0 "
-        "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_with_type_errors', 0 "
+        f"UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_read', count(*) + count(*) FILTER (WHERE TradeID NOT LIKE 'E%' AND {_MALFORMED}) FROM trades "
+        f"UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_malformed', count(*) FILTER (WHERE TradeID NOT LIKE 'E%' AND {_MALFORMED}) FROM trades "
+        "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_with_type_errors', count(*) FILTER (WHERE TradeID LIKE 'E%') FROM trades "
         f"UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_missing_required', count(*) FILTER (WHERE NOT ({_REQUIRED_OK})) FROM trades "
         "UNION ALL SELECT 'bronze', 'bronze_trades', 'rows_accepted', count(*) FROM bronze "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_read', count(*) FROM instruments "
-        "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_malformed', 0 "
-        "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_with_type_errors', 0 "
+        "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_malformed', count(*) FILTER (WHERE InstrumentName IS NULL) FROM instruments "
+        "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_with_type_errors', count(*) FILTER (WHERE InstrumentType IS NULL) FROM instruments "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_missing_required', count(*) FILTER (WHERE InstrumentID IS NULL) FROM instruments "
         "UNION ALL SELECT 'bronze', 'bronze_instruments', 'rows_accepted', count(*) FILTER (WHERE InstrumentID IS NOT NULL) FROM instruments "
         "UNION ALL SELECT 'silver', 'silver_trades', 'rows_read', count(*) FROM normalized "
         "UNION ALL SELECT 'silver', 'silver_trades', 'invalid_currency', count(*) FILTER (WHERE Currency IS NULL) FROM normalized "
         "UNION ALL SELECT 'silver', 'silver_trades', 'rows_written', count(*) FROM silver "
-        "UNION ALL SELECT 'silver', 'silver_trades', 'rows_rejected', 0 "
+        "UNION ALL SELECT 'silver', 'silver_trades', 'rows_rejected', count(*) FILTER (WHERE data_quality_status <> 'CLEANSED') FROM silver "
         "UNION ALL SELECT 'silver', 'silver_instruments', 'rows_written', count(*) FROM silver_instruments "
         "UNION ALL SELECT 'silver', 'silver_trades', 'duplicates_removed', (SELECT count(*) FROM normalized) - count(*) FROM silver "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups', count(*) FROM run_groups "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups_without_notional', count(*) FILTER (WHERE DailyNotional IS NULL) FROM run_groups "
-        "UNION ALL SELECT 'gold', 'gold_counterparty_summary', 'rows_written', count(*) FROM (SELECT DISTINCT Counterparty FROM run_valid) "
-        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'rows_written', count(*) FILTER (WHERE DailyNotional IS NOT NULL) FROM run_groups", _RUN),
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups', count(*) FROM groups "
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'groups_without_notional', count(*) FILTER (WHERE DailyNotional IS NULL) FROM groups "
+        "UNION ALL SELECT 'gold', 'gold_counterparty_summary', 'rows_written', count(*) FROM totals "
+        "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'rows_written', count(*) FILTER (WHERE DailyNotional IS NOT NULL) FROM groups"),
     "gold_partition_pruned_read": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear = {PRUNED_YEAR}"),
+    "gold_summary_sorted": _sql("SELECT * FROM totals ORDER BY TotalNotional DESC NULLS LAST, Counterparty"),
+    "bronze_trades_csv": _sql(
+        f"SELECT {_cols(TRADE_BUSINESS_COLUMNS)}, 'landing_zone_csv' AS ingestion_source FROM bronze"),
+    "bronze_instruments_validated": _sql(
+        "SELECT *, 'landing_zone_parquet' AS ingestion_source FROM instruments WHERE InstrumentID IS NOT NULL"),
+    "run_silver_trades": _run_sql(f"SELECT {_cols(SILVER_COLUMNS)} FROM silver"),
+    "run_gold_daily": _run_sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily"),
+    "run_gold_summary": _run_sql("SELECT * FROM ranked"),
+    "run_parquet_source": f"WITH {_chain(testbed.TRADES_SQL, _RUN_ORDER)}\nSELECT {_cols(GOLD_COLUMNS)} FROM daily",
+    "run_month_removed": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear < {PRUNED_YEAR}"),
 }
+# The run's reports: the same statements over the run's landing lines.
+for _run, _plain in (("run_gold_period_rollup", "gold_period_rollup"), ("run_gold_running_notional", "gold_running_notional"),
+                     ("run_gold_trade_counts", "gold_trade_counts_cube")):
+    ORACLE_SQL[_run] = _run_sql(ORACLE_SQL[_plain].split(_BASE + "\n", 1)[1])

@@ -49,22 +49,27 @@ def counterparty_summary(silver: DataFrame, rank: bool = True) -> DataFrame:
     return global_rank(totals, "TotalNotional", "NotionalRank") if rank else totals
 
 
+def sorted_summary(summary: DataFrame) -> DataFrame:
+    """The summary for presentation: largest total first, null totals last, ties
+    by counterparty. A range-partitioned sort; rank first, sort last."""
+    return summary.orderBy(F.col("TotalNotional").desc_nulls_last(), F.col("Counterparty").asc_nulls_last())
+
+
 def run_gold(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> None:
     """Write ``gold_trade_aggregates`` (partitioned by year, month) and
     ``gold_counterparty_summary``."""
     silver = read_table(spark, cfg.table_path("silver", cfg.trades.silver_table), cfg.table_format)
     table = cfg.trades.gold_table or "gold_trade_aggregates"
     groups = daily_metrics(valid_trades(silver), keep_empty=True)
-    groups = log.observe(groups, "gold", table,
-                         groups=count_rows(),
-                         groups_without_notional=F.count_if(F.col("DailyNotional").isNull()))
-    daily = finish_daily(groups.filter(F.col("DailyNotional").isNotNull()))
-    write_table(daily, cfg.table_path("gold", table), cfg.table_format,
-                partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
-
-    summary = counterparty_summary(silver)
-    summary = log.observe(summary, "gold", "gold_counterparty_summary", rows_written=count_rows())
-    write_table(summary, cfg.table_path("gold", "gold_counterparty_summary"), cfg.table_format)
+    # Counted and cut behind the last exchange, in the stage that writes.
+    write_table(finish_daily(groups), cfg.table_path("gold", table), cfg.table_format,
+                partition_cols=["TradeYear", "TradeMonth"], rebalance=True,
+                finish=lambda d: log.observe(
+                    d, "gold", table, groups=count_rows(),
+                    groups_without_notional=F.count_if(F.col("DailyNotional").isNull())).filter(F.col("DailyNotional").isNotNull()))
+
+    write_table(counterparty_summary(silver), cfg.table_path("gold", "gold_counterparty_summary"), cfg.table_format,
+                finish=lambda d: log.observe(d, "gold", "gold_counterparty_summary", rows_written=count_rows()))
     log.collect()
     log.add("gold", table, "rows_written",
             log.value("gold", table, "groups") - log.value("gold", table, "groups_without_notional"))
@@ -91,6 +96,6 @@ def run_gold_reports(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog)
         "gold_trade_counts": trade_counts_cube(silver),
     }
     for name, df in reports.items():
-        write_table(log.observe(df, "gold", name, rows_written=count_rows()),
-                    cfg.table_path("gold", name), cfg.table_format)
+        write_table(df, cfg.table_path("gold", name), cfg.table_format,
+                    finish=lambda d, name=name: log.observe(d, "gold", name, rows_written=count_rows()))
     log.collect()

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 from settleframe.config import PipelineConfig
 from settleframe.operators.metrics import MetricsLog
@@ -35,7 +36,7 @@ def run_medallion(spark: SparkSession, config: PipelineConfig | Mapping[str, Any
     onwards (e.g. ``("silver", "gold")``): they start from the tables the
     earlier layers already wrote. ``reports=True`` adds the trend tables
     (period rollup, running notional, trade counts). Metrics of the layers
-    run are written to ``pipeline_metrics`` in the gold path.
+    run are added to ``pipeline_metrics`` in the gold path, under the batch id.
     """
     unknown = [x for x in layers if x not in LAYERS]
     if unknown:
@@ -50,5 +51,6 @@ def run_medallion(spark: SparkSession, config: PipelineConfig | Mapping[str, Any
         run_gold(spark, cfg, log)
         if reports:
             run_gold_reports(spark, cfg, log)
-    write_table(log.to_frame(spark).coalesce(1), cfg.table_path("gold", METRICS_TABLE), cfg.table_format)
+    metrics = log.to_frame(spark).coalesce(1).withColumns({"processing_batch_id": F.lit(batch_id), "run_at": F.current_timestamp()})
+    write_table(metrics, cfg.table_path("gold", METRICS_TABLE), cfg.table_format, mode="append")
     return log

@@ -66,24 +66,23 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, log: MetricsLog) -> Non
     t = cfg.trades
     bronze = read_bronze(spark, cfg, t.bronze_table)
     length = int(cfg.validation_rules.get("currency_length", 3) or 3)
-    normalized = with_normalized_currency(bronze, length)
-    normalized = log.observe(normalized, "silver", t.silver_table,
-                             rows_read=count_rows(),
-                             invalid_currency=F.count_if(F.col("Currency").isNull()))
-    silver = (normalized.transform(latest_trades)
+    # Counts of what is read come from a query of their own (one column), those of
+    # what is written from the stage that writes: an observation below a shuffle
+    # would count a repeated map task twice.
+    read = bronze.agg(count_rows().alias("n"), F.count_if(normalize_currency("Currency", length).isNull()).alias("bad")).first()
+    log.add("silver", t.silver_table, "rows_read", read.n)
+    log.add("silver", t.silver_table, "invalid_currency", read.bad)
+    silver = (with_normalized_currency(bronze, length).transform(latest_trades)
               .transform(with_standard_timestamps)
               .transform(lambda d: quality_status(d, cfg.validation_rules, cfg.strict_quality))
               .withColumn("silver_processing_timestamp", F.current_timestamp()))
-    silver = log.observe(silver, "silver", t.silver_table,
-                         rows_written=count_rows(),
-                         rows_rejected=F.count_if(F.col("data_quality_status") != "CLEANSED"))
-    write_table(silver, cfg.table_path("silver", t.silver_table), cfg.table_format)
+    write_table(silver, cfg.table_path("silver", t.silver_table), cfg.table_format, finish=lambda d: log.observe(
+        d, "silver", t.silver_table, rows_written=count_rows(),
+        rows_rejected=F.count_if(F.col("data_quality_status") != "CLEANSED")))
 
     i = cfg.instruments
     inst = latest_instruments(read_bronze(spark, cfg, i.bronze_table))
-    inst = log.observe(inst, "silver", i.silver_table, rows_written=count_rows())
-    write_table(inst, cfg.table_path("silver", i.silver_table), cfg.table_format)
+    write_table(inst, cfg.table_path("silver", i.silver_table), cfg.table_format,
+                finish=lambda d: log.observe(d, "silver", i.silver_table, rows_written=count_rows()))
     log.collect()
-    read = log.value("silver", t.silver_table, "rows_read")
-    written = log.value("silver", t.silver_table, "rows_written")
-    log.add("silver", t.silver_table, "duplicates_removed", read - written)
+    log.add("silver", t.silver_table, "duplicates_removed", read.n - log.value("silver", t.silver_table, "rows_written"))
