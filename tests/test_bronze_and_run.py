@@ -13,7 +13,7 @@ from settleframe.config import PipelineConfig
 from settleframe.plans.bronze import accepted, ingest_instruments, quarantined
 from settleframe.plans.medallion import run_medallion
 from settleframe.sources.readers import read_table
-from settleframe.sources.sinks import register_table, write_table
+from settleframe.sources.sinks import current_version, register_table, write_table
 from settleframe.streaming import start_trades_stream
 
 from conftest import INSTRUMENT_ROWS, TRADE_ROWS
@@ -65,14 +65,14 @@ def test_full_run_through_storage(spark, tmp_path):
     cfg = _write_landing(tmp_path, extra_lines=["{bad json", '{"TradeID":"T7","Currency":"USD"}'])
     log = run_medallion(spark, cfg, batch_id="batch-1")
     m = {(r[0], r[1], r[2]): r[3] for r in log.rows}
-    assert m[("bronze", "bronze_trades", "rows_read")] == 8
+    assert m[("bronze", "bronze_trades", "rows_read")] == 9
     assert m[("bronze", "bronze_trades", "rows_malformed")] == 1
     assert m[("bronze", "bronze_trades", "rows_missing_required")] == 1
-    assert m[("bronze", "bronze_trades", "rows_accepted")] == 6
-    assert m[("silver", "silver_trades", "invalid_currency")] == 0
+    assert m[("bronze", "bronze_trades", "rows_accepted")] == 7
+    assert m[("silver", "silver_trades", "invalid_currency")] == 1
     assert m[("silver", "silver_trades", "duplicates_removed")] == 1
-    assert m[("silver", "silver_trades", "rows_written")] == 5
-    assert m[("silver", "silver_instruments", "rows_written")] == 6
+    assert m[("silver", "silver_trades", "rows_written")] == 6
+    assert m[("silver", "silver_instruments", "rows_written")] == 5
     assert m[("gold", "gold_trade_aggregates", "rows_written")] == 4
     assert m[("gold", "gold_counterparty_summary", "rows_written")] == 3
 
@@ -83,11 +83,12 @@ def test_full_run_through_storage(spark, tmp_path):
     assert bronze.filter(F.col("record_status") == "ACCEPTED").select("processing_batch_id").distinct().first()[0] \
         == "batch-1"
     gold_dir = cfgo.table_path("gold", "gold_trade_aggregates")
-    assert os.path.isdir(os.path.join(gold_dir, "TradeYear=2023", "TradeMonth=1"))
+    data, _ = current_version(spark, gold_dir)
+    assert sorted(os.listdir(os.path.join(data, "TradeYear=2024")))[:2] == ["TradeMonth=3", "TradeMonth=4"]
     gold = read_table(spark, gold_dir)
     assert gold.count() == 4
     summary = read_table(spark, cfgo.table_path("gold", "gold_counterparty_summary"))
-    assert {r.Counterparty: r.NotionalRank for r in summary.collect()} == {"BankC": 1, "BankB": 2, "BankA": 3}
+    assert {r.Counterparty: r.NotionalRank for r in summary.collect()} == {"Ostrava Bank": 1, None: 2, "Harbour Trust": 3}
     metrics = read_table(spark, cfgo.table_path("gold", "pipeline_metrics"))
     assert metrics.count() == len(log.rows)
     from settleframe.plans.bronze import read_quarantine
@@ -104,7 +105,7 @@ def test_partition_pruning_and_pushdown(spark, tmp_path, trades):
     write_table(cleanse_trades(trades), silver_path)
     gold_path = str(tmp_path / "gold")
     write_table(trade_aggregates(read_table(spark, silver_path)), gold_path, partition_cols=["TradeYear", "TradeMonth"])
-    pruned = read_table(spark, gold_path).filter((F.col("TradeYear") == 2023) & (F.col("TradeMonth") == 1))
+    pruned = read_table(spark, gold_path).filter((F.col("TradeYear") == 2024) & (F.col("TradeMonth") == 4))
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(TradeYear" in plan
     silver_plan = trade_aggregates(read_table(spark, silver_path))._jdf.queryExecution().executedPlan().toString()
@@ -122,7 +123,7 @@ def test_register_table(spark, tmp_path, trades):
     path = str(tmp_path / "t")
     write_table(trades, path)
     register_table(spark, "settleframe_fixture_trades", path)
-    assert spark.table("settleframe_fixture_trades").count() == 6
+    assert spark.table("settleframe_fixture_trades").count() == 7
     spark.sql("DROP TABLE IF EXISTS settleframe_fixture_trades")
 
 
@@ -131,13 +132,13 @@ def test_incremental_bronze_stream(spark, tmp_path):
     ckpt = str(tmp_path / "stream-ckpt")
     start_trades_stream(spark, cfg, ckpt, batch_id="stream-1").awaitTermination()
     table = cfg.table_path("bronze", "bronze_trades")
-    assert read_table(spark, table).count() == 6
+    assert read_table(spark, table).count() == 7
     # A new file arrives: only it is ingested on the next run.
     (tmp_path / "landing" / "trades" / "part-2.json").write_text(
-        json.dumps({"TradeID": "T9", "InstrumentID": "INST001", "Currency": "usd", "Notional": 1.0}) + "\n")
+        json.dumps({"TradeID": "T9", "InstrumentID": "XS-31", "Currency": "usd", "Notional": 1.0}) + "\n")
     start_trades_stream(spark, cfg, ckpt, batch_id="stream-2").awaitTermination()
     df = read_table(spark, table)
-    assert df.count() == 7
+    assert df.count() == 8
     assert df.filter(F.col("TradeID") == "T9").select("processing_batch_id").first()[0] == "stream-2"
 
 
@@ -160,8 +161,11 @@ def test_resume_from_stored_layer(spark, tmp_path):
     assert {r[0] for r in log.rows} == {"silver", "gold"}
     cfgo = PipelineConfig.from_mapping(cfg)
     gold = read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates"))
-    assert sorted((r.Counterparty, r.DailyNotional) for r in gold.collect()) == [
-        ("BankA", 1750000.0), ("BankB", 1500000.0), ("BankB", 2500000.0), ("BankC", 5000000.0)]
+    assert sorted((r.Counterparty or "-", r.DailyNotional) for r in gold.collect()) == [
+        ("-", 40000.0), ("Harbour Trust", 1625.0), ("Ostrava Bank", -1000.0), ("Ostrava Bank", 3250000.125)]
+    metrics = read_table(spark, cfgo.table_path("gold", "pipeline_metrics"))
+    assert {r.layer for r in metrics.collect()} == {"bronze", "silver", "gold"}  # added to, not replaced
+    assert {r.processing_batch_id for r in metrics.collect()} == {"b1"}
     with pytest.raises(ValueError):
         run_medallion(spark, cfg, batch_id="b1", layers=("platinum",))
 
@@ -177,7 +181,7 @@ def test_silver_reads_only_accepted_bronze_files(spark, tmp_path):
         df.explain("formatted")
     scan = [line for line in out.getvalue().splitlines() if line.startswith("PartitionFilters")]
     assert scan and "record_status" in scan[0] and "ACCEPTED" in scan[0]
-    assert df.count() == 6
+    assert df.count() == 7
 
 
 def test_gold_reports_and_top_counterparties(spark, tmp_path):
@@ -188,22 +192,108 @@ def test_gold_reports_and_top_counterparties(spark, tmp_path):
     m = {(r[1], r[2]): r[3] for r in log.rows if r[0] == "gold"}
     assert m[("gold_period_rollup", "rows_written")] == 9
     assert m[("gold_running_notional", "rows_written")] == 4
-    assert m[("gold_trade_counts", "rows_written")] == 11  # 5 cells + 3 currency + 2 status subtotals + total
+    assert m[("gold_trade_counts", "rows_written")] == 12  # 5 cells + 4 currency + 2 status subtotals + total
     cfgo = PipelineConfig.from_mapping(cfg)
     for name in REPORT_TABLES:
         assert read_table(spark, cfgo.table_path("gold", name)).count() == m[(name, "rows_written")]
     top = top_counterparties(spark, cfgo, 2).collect()
-    assert sorted((r.Counterparty, r.NotionalRank) for r in top) == [("BankB", 2), ("BankC", 1)]
+    assert sorted((r.NotionalRank, r.Counterparty) for r in top) == [(1, "Ostrava Bank"), (2, None)]
+
+
+def test_register_partitioned_table_and_new_version(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("month"))
+    path, name = str(tmp_path / "t"), "settleframe_fixture_months"
+    write_table(df, path, partition_cols=["month"])
+    register_table(spark, name, path)
+    assert spark.table(name).count() == 100
+    write_table(df.filter("month < 2"), path, partition_cols=["month"])
+    register_table(spark, name, path)
+    assert {r.month for r in spark.table(name).select("month").distinct().collect()} == {0, 1}
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_overwrite_replaces_all_partitions_in_any_session_mode(spark, tmp_path):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before, path = spark.conf.get(key), str(tmp_path / "t")
+    df = spark.range(30).select("id", (F.col("id") % 3).alias("month"))
+    spark.conf.set(key, "dynamic")
+    try:
+        write_table(df, path, partition_cols=["month"])
+        write_table(df.filter("month = 1"), path, partition_cols=["month"])
+    finally:
+        spark.conf.set(key, before)
+    assert {r.month for r in read_table(spark, path).collect()} == {1}
+
+
+def test_failed_write_leaves_the_table_in_place(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    broken = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        write_table(broken, path)
+    assert read_table(spark, path).count() == 10
+
+
+def test_old_versions_go_and_appends_stay(spark, tmp_path):
+    path = tmp_path / "t"
+    for n in (1, 2, 3, 4):
+        write_table(spark.range(n), str(path))
+    assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
+    write_table(spark.range(5), str(path), mode="append")
+    assert read_table(spark, str(path)).count() == 9
+
+
+def test_run_on_empty_landing(spark, tmp_path):
+    cfg = _write_landing(tmp_path)
+    for f in (tmp_path / "landing").rglob("*.*"):
+        f.write_text("")
+    log = run_medallion(spark, cfg, batch_id="empty", reports=True)
+    assert {r[3] for r in log.rows} == {0}
+    cfgo = PipelineConfig.from_mapping(cfg)
+    gold = read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates"))
+    assert gold.count() == 0 and "DailyNotional" in gold.columns
 
 
-def test_salted_partitioned_write_bounds_files(spark, tmp_path):
-    df = spark.range(20000).select((F.col("id") % 3).alias("month"), F.col("id"))
-    path = tmp_path / "salted"
-    write_table(df, str(path), partition_cols=["month"], salt_files=4)
-    for month in range(3):
-        files = [f for f in os.listdir(path / f"month={month}") if f.endswith(".parquet")]
-        assert 1 <= len(files) <= 4
-    assert read_table(spark, str(path)).count() == 20000
+def test_run_on_parquet_landing(spark, tmp_path, trades, instruments):
+    cfg = _write_landing(tmp_path)
+    for name, df in (("trades", trades.drop("ingestion_timestamp", "SettlementDate")), ("instruments", instruments.drop("Exchange"))):
+        path = str(tmp_path / "parquet" / name)
+        df.write.parquet(path)
+        cfg["source_to_target_mapping"][name] |= {"source_format": "parquet", "source_path": path}
+    log = run_medallion(spark, cfg, batch_id="p")
+    m = {r[:3]: r[3] for r in log.rows}
+    assert m["silver", "silver_trades", "rows_written"] == 6 and m["silver", "silver_instruments", "rows_written"] == 4
+    assert m["bronze", "bronze_trades", "rows_with_type_errors"] == 0
+
+
+def test_csv_columns_go_by_name_in_every_file(spark, tmp_path):
+    from settleframe.plans.bronze import ingest_trades
+
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_text("InstrumentID,TradeID,Currency,Notional\nI1,T1,usd,1.5\n")
+    (d / "b.csv").write_text("TradeID,Currency,Extra,InstrumentID\nT2,eur,x,I2\n")
+    rows = {r.TradeID: r for r in ingest_trades(spark, str(d), "csv", batch_id="b").collect()}
+    assert (rows["T1"].InstrumentID, rows["T1"].Notional) == ("I1", 1.5)
+    assert (rows["T2"].InstrumentID, rows["T2"].Currency, rows["T2"].Notional) == ("I2", "eur", None)
+    i = tmp_path / "inst"
+    i.mkdir()
+    (i / "a.csv").write_text("instrument_id,InstrumentType\nA1,Bond\n")
+    (i / "b.csv").write_text("InstrumentType,InstrumentID\nShare,B1\n")
+    found = {(r.InstrumentID, r.InstrumentType) for r in accepted(ingest_instruments(spark, str(i))).collect()}
+    assert found == {("A1", "Bond"), ("B1", "Share")}
+
+
+def test_scratch_folders_can_be_cleaned(spark):
+    from settleframe import session
+
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    known = session._SCRATCH.pop(spark.sparkContext.applicationId)
+    session._SCRATCH[spark.sparkContext.applicationId] = {path}   # only this one: others are still read
+    assert session.clean_scratch(spark) == 1
+    session._SCRATCH[spark.sparkContext.applicationId] = known - {path}
+    assert not os.path.exists(path.removeprefix("file:"))
 
 
 def test_trades_landing_as_csv(spark, tmp_path):
@@ -246,35 +336,35 @@ def test_latest_copy_across_streamed_batches(spark, tmp_path):
     cfg = PipelineConfig.from_mapping(_write_landing(tmp_path))
     ckpt = str(tmp_path / "ckpt")
     start_trades_stream(spark, cfg, ckpt, batch_id="day-1").awaitTermination()
-    correction = {"TradeID": "T002", "InstrumentID": "INST002", "Counterparty": "BankB", "Notional": 2600000.0,
-                  "Currency": "EUR", "TradeDate": "2023-01-15 10:15:00", "Status": "SETTLED"}
+    correction = {"TradeID": "LN-9", "InstrumentID": "XS-12", "Counterparty": "Ostrava Bank", "Notional": 77.5,
+                  "Currency": "EUR", "TradeDate": "2024-04-01 10:00:00", "Status": "SETTLED"}
     (tmp_path / "landing" / "trades" / "part-2.json").write_text(json.dumps(correction) + "\n")
     start_trades_stream(spark, cfg, ckpt, batch_id="day-2").awaitTermination()
     silver = {r.TradeID: r for r in cleanse_trades(read_bronze(spark, cfg, "bronze_trades")).collect()}
-    assert len(silver) == 5
-    assert (silver["T002"].Notional, silver["T002"].Status, silver["T002"].processing_batch_id) == (
-        2600000.0, "SETTLED", "day-2")
+    assert len(silver) == 6
+    assert (silver["LN-9"].Notional, silver["LN-9"].Status, silver["LN-9"].processing_batch_id) == (
+        77.5, "SETTLED", "day-2")
 
 
 def test_strict_quality_run_excludes_rejected_from_gold(spark, tmp_path):
-    negative = {"TradeID": "T8", "InstrumentID": "INST001", "Counterparty": "BankA", "Notional": -5.0,
-                "Currency": "USD", "TradeDate": "2023-01-15 12:00:00", "Status": "SETTLED"}
+    negative = {"TradeID": "T8", "InstrumentID": "XS-31", "Counterparty": "Harbour Trust", "Notional": -5.0,
+                "Currency": "USD", "TradeDate": "2024-03-28 12:00:00", "Status": "SETTLED"}
     cfg = _write_landing(tmp_path, extra_lines=[json.dumps(negative)])
     cfg["strict_quality"] = True
     log = run_medallion(spark, cfg, batch_id="b")
     m = {(r[0], r[1], r[2]): r[3] for r in log.rows}
-    assert m[("silver", "silver_trades", "rows_written")] == 6
-    assert m[("silver", "silver_trades", "rows_rejected")] == 1
+    assert m[("silver", "silver_trades", "rows_written")] == 7
+    assert m[("silver", "silver_trades", "rows_rejected")] == 4  # no notional, no currency, two negative
     cfgo = PipelineConfig.from_mapping(cfg)
     silver = {r.TradeID: r for r in read_table(spark, cfgo.table_path("silver", "silver_trades")).collect()}
     assert silver["T8"].data_quality_status == "REJECTED" and silver["T8"].failed_rules == ["notional_min"]
     gold = {(r.Counterparty, str(r.TradeDateYYYYMMDD)): r.DailyNotional
             for r in read_table(spark, cfgo.table_path("gold", "gold_trade_aggregates")).collect()}
-    assert gold[("BankA", "2023-01-15")] == 1750000.0  # the rejected trade is not counted
+    assert gold[("Harbour Trust", "2024-03-28")] == 812.5  # neither T8 nor LN-12 counts
 
 
 def test_max_records_per_file(spark, tmp_path):
     path = tmp_path / "capped"
     write_table(spark.range(1000).coalesce(1), str(path), max_records_per_file=300)
-    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(current_version(spark, str(path))[0]) if f.endswith(".parquet")]
     assert len(files) == 4 and read_table(spark, str(path)).count() == 1000
