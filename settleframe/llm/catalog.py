@@ -18,6 +18,7 @@ from settleframe.llm import (
     sharding,
     warc,
 )
+from settleframe.llm.oracles import ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,4 +91,4 @@ QUERIES = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
