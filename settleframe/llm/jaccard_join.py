@@ -159,81 +159,99 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     return levels
 
 
-def _indexer(k: int, seed: int, percent: int, levels: Broadcast, bits: int = 0, wanted: Broadcast | None = None):
-    """Rows (token, sid, n, at) of the first order's prefixes; with a filter only
-    tokens that may be in it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known, out = levels.value, set(), []
+def _first(tokens: np.ndarray, levels: np.ndarray, order: int, p: int) -> np.ndarray:
+    """Places of the first ``p`` tokens under an order, in that order."""
+    keys = order_keys(tokens, levels, order)
+    first = np.argpartition(keys, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
+    return first[np.argsort(keys[first])]
 
-        def flush() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "sid", "n", "at"])
 
-        held = 0
-        for _, tokens in _sets(batches, k):
-            if not len(tokens) or (sid := set_ids(tokens, seed)[0]) in known:
-                continue
+def _member(values: np.ndarray, bits: int, bitmap: np.ndarray) -> np.ndarray:
+    where = bit_positions(values, bits)
+    return ((bitmap[(where >> np.uint64(3)).astype(np.int64)] >> (where & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1).astype(bool)
+
+
+def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(set id, tokens) of the non-empty sets of a task, copies once."""
+    known = set()
+    for _, tokens in _sets(batches, k):
+        if len(tokens) and (sid := set_ids(tokens, seed)[0]) not in known:
             known.add(sid)
+            yield sid, tokens
+
+
+_INDEX = "kind int, token long, sid long, n int, at int, filters array<array<int>>"
+
+
+def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0, bits: int = 0, wanted: Broadcast | None = None):
+    """Rows of kind 0: (token, sid, n, at) of the first order's prefixes, with a
+    filter only tokens that may be in it. With ``orders``, a row of kind 1 for each
+    set that has such a token: (sid, n, 32-bit prefixes under the other orders)."""
+    names, short = ["kind", "token", "sid", "n", "at", "filters"], pa.list_(pa.list_(pa.int32()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, out, rows, held = levels.value, [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if out:
+                columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+                n = len(columns[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *map(pa.array, columns), pa.nulls(n, short)], names)
+            if rows:
+                sid, n, filters = zip(*rows, strict=True)
+                none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(rows), np.int32)), none[0], pa.array(sid, pa.int64()),
+                                                  pa.array(n, pa.int32()), none[1], pa.array(filters, short)], names)
+            out.clear()
+            rows.clear()
+
+        for sid, tokens in _distinct_sets(batches, k, seed):
             p = prefix_length(len(tokens), percent)
-            keys = order_keys(tokens, table, 0)
-            first = np.argpartition(keys, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
-            first = first[np.argsort(keys[first])]
-            prefix, at = tokens[first], np.arange(p, dtype=np.int32)
+            prefix, at = tokens[_first(tokens, table, 0, p)], np.arange(p, dtype=np.int32)
             if wanted is not None:
-                where = bit_positions(prefix, bits)
-                hit = ((wanted.value[(where >> np.uint64(3)).astype(np.int64)] >> (where & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+                hit = _member(prefix, bits, wanted.value)
                 prefix, at = prefix[hit], at[hit]
-            if len(prefix):
-                out.append((prefix.view(np.int64), np.full(len(prefix), sid, np.int64), np.full(len(prefix), len(tokens), np.int32), at))
-                held += len(prefix)
-                if held > 200_000:
-                    yield flush()
-                    held = 0
-        if out:
-            yield flush()
+            if not len(prefix):
+                continue
+            out.append((prefix.view(np.int64), np.full(len(prefix), sid, np.int64), np.full(len(prefix), len(tokens), np.int32), at))
+            if orders:
+                rows.append((sid, len(tokens), [np.sort((tokens[_first(tokens, table, o, p)] >> np.uint64(8)).astype(np.uint32).view(np.int32))
+                                                for o in range(1, orders)]))
+            held += p * max(1, orders)
+            if held > 200_000:
+                yield from flush()
+                held = 0
+        yield from flush()
     return run
 
 
-def _set_rows(k: int, seed: int, percent: int, orders: int, levels: Broadcast, bits: int, wanted: Broadcast):
-    """Rows (sid, n, tokens, filters): whole sets that may be in a filter of set
-    ids, with 32-bit prefixes under the orders after the first."""
+def _set_rows(k: int, seed: int, bits: int, wanted: Broadcast):
+    """Rows (sid, n, tokens): whole sets that may be in a filter of set ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known, out, held = levels.value, set(), [], 0
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32()))]
+        out, held = [], 0
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            sid, n, tokens = zip(*out, strict=True)
             out.clear()
-            return pa.RecordBatch.from_arrays(columns, ["sid", "n", "tokens", "filters"])
-
-        for _, tokens in _sets(batches, k):
-            if not len(tokens) or (sid := set_ids(tokens, seed)[0]) in known:
-                continue
-            known.add(sid)
-            where = bit_positions(np.array([sid], np.int64).view(np.uint64), bits)
-            if not ((wanted.value[(where >> np.uint64(3)).astype(np.int64)] >> (where & np.uint64(7)).astype(np.uint8)) & 1).all():
-                continue
-            p = prefix_length(len(tokens), percent)
-            filters = []
-            for o in range(1, orders):
-                keys = order_keys(tokens, table, o)
-                first = np.argpartition(keys, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
-                filters.append(np.sort((tokens[first] >> np.uint64(8)).astype(np.uint32).view(np.int32)))
-            out.append((sid, len(tokens), tokens.view(np.int64), filters))
-            held += len(tokens)
-            if held > 100_000:
-                yield flush()
-                held = 0
+            return pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
+                                              ["sid", "n", "tokens"])
+
+        for sid, tokens in _distinct_sets(batches, k, seed):
+            if _member(np.array([sid], np.int64).view(np.uint64), bits, wanted.value)[0]:
+                out.append((sid, len(tokens), tokens.view(np.int64)))
+                held += len(tokens)
+                if held > 100_000:
+                    yield flush()
+                    held = 0
         if out:
             yield flush()
     return run
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def _stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{label}")
     schema = df.schema
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -266,19 +284,27 @@ class JaccardJoin:
         return named.join(ids, "component").select("sid", "component", "first", "rows")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs (x, y): sizes, then the other orders'
-    prefixes, then the sets."""
-    short = sets.select("sid", "n", "filters")
-    side = lambda df, c: df.select(F.col("sid").alias(c), *(F.col(f).alias(f"{c}_{f}") for f in df.columns if f != "sid"))
-    found = (pairs.join(side(short, "y"), "y").join(side(short, "x"), "x")
-             .filter(_enough(F.least("x_n", "y_n"), F.col("x_n"), F.col("y_n"), percent))
-             .filter(F.forall(F.arrays_zip(F.col("x_filters").alias("a"), F.col("y_filters").alias("b")),
-                              lambda z: F.arrays_overlap(z["a"], z["b"])))
-             .select("x", "y"))
-    found = _stored(found, "candidates")
-    whole = sets.select("sid", "n", "tokens")
-    return (found.join(side(whole, "y"), "y").join(side(whole, "x"), "x")
+def _side(df: DataFrame, c: str) -> DataFrame:
+    return df.select(F.col("sid").alias(c), *(F.col(f).alias(f"{c}_{f}") for f in df.columns if f != "sid"))
+
+
+def _candidates(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) that can reach the threshold by their sizes and share prefix
+    tokens under every other order."""
+    return (pairs.join(_side(short, "y"), "y").join(_side(short, "x"), "x")
+            .filter(_enough(F.least("x_n", "y_n"), F.col("x_n"), F.col("y_n"), percent))
+            .filter(F.forall(F.arrays_zip(F.col("x_filters").alias("a"), F.col("y_filters").alias("b")),
+                             lambda z: F.arrays_overlap(z["a"], z["b"])))
+            .select("x", "y"))
+
+
+def _verified(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among stored candidate pairs, by the sets themselves. A Bloom filter
+    of the candidates keeps all other sets from being shuffled."""
+    ids = found.select(F.explode(F.array("x", "y")).alias("sid"))
+    bloom = BloomFilter.build(ids, "sid", 2 * found.count())
+    needed = sets.filter(bloom.member(F.col("sid")))
+    return (found.join(_side(needed, "y"), "y").join(_side(needed, "x"), "x")
             .filter(_enough(F.size(F.array_intersect("x_tokens", "y_tokens")), F.col("x_n"), F.col("y_n"), percent))
             .select(F.col("x").alias("u"), F.col("y").alias("v")))
 
@@ -305,28 +331,27 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     levels = spark.sparkContext.broadcast(_levels(sketch))
 
     # Tokens of the first order's prefixes that two sets have.
-    schema = "token long, sid long, n int, at int"
-    shared = (slim.mapInArrow(_indexer(shingle, seed, percent, levels), schema)
+    shared = (slim.mapInArrow(_indexer(shingle, seed, percent, levels), _INDEX)
               .groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo != hi").select("token"))
     shared = _stored(shared, "shared")
     bloom = BloomFilter.build(shared, "token", shared.count())
-    index = slim.mapInArrow(_indexer(shingle, seed, percent, levels, bloom.bits, bloom.seen), schema)
-    index = _stored(index.join(shared, "token", "left_semi").distinct(), "index")
-    ids = _stored(index.select("sid").distinct(), "ids")
-    bloom = BloomFilter.build(ids, "sid", ids.count())
-    sets = slim.mapInArrow(_set_rows(shingle, seed, percent, orders, levels, bloom.bits, bloom.seen),
-                           "sid long, n int, tokens array<long>, filters array<array<int>>")
-    sets = _stored(sets.join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+    both = _stored(slim.mapInArrow(_indexer(shingle, seed, percent, levels, orders, bloom.bits, bloom.seen), _INDEX), "both", ["kind"])
+    index = (both.filter("kind = 0").select("token", "sid", "n", "at")
+             .join(shared, "token", "left_semi").distinct())
+    index = _stored(index, "index")
+    short = _stored(both.filter("kind = 1").select("sid", "n", "filters").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("filters").alias("filters")), "short")   # equal for equal ids
 
     labels = spark.createDataFrame([], "u long, v long")
-    links = labels
+    links = sets = None
     for r in range(rounds + 1):
         # Groups still in several components.
         state = index.join(labels, index["sid"] == labels["u"], "left").select(
             "token", "sid", "n", "at", F.coalesce("v", "sid").alias("component"))
         leader = F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), "sid", "component"))
-        open_groups = (state.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"))
-                       .filter("lo != hi").select("token", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_component")))
+        open_groups = (state.groupBy("token").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"), F.count(F.lit(1)).alias("members"))
+            .filter("lo != hi").select("token", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_component"), "members"))
         open_groups = _stored(open_groups, "open")
         if open_groups.isEmpty():
             break
@@ -341,8 +366,17 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                             & (F.col("a.component") != F.col("b.component"))
                             & _enough(bound, F.col("a.n"), F.col("b.n"), percent))
                      .select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")))
-        new = _stored(_verify(_stored(pairs.distinct(), "pairs"), sets, percent), "links")
-        links = new if r == 0 else links.unionByName(new)
+        found = _stored(_candidates(pairs.distinct(), short, percent), "candidates")
+        if sets is None:
+            # Whole sets of those that may still be compared: candidates of the first
+            # round, and members of groups that hold more than the one pair it tests.
+            more = state.join(open_groups.filter("members > 2"), "token", "left_semi").select("sid") if rounds else state.select("sid")
+            ids = _stored(found.select(F.explode(F.array("x", "y")).alias("sid")).unionByName(more).distinct(), "ids")
+            bloom = BloomFilter.build(ids, "sid", ids.count())
+            sets = slim.mapInArrow(_set_rows(shingle, seed, bloom.bits, bloom.seen), "sid long, n int, tokens array<long>")
+            sets = _stored(sets.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "sets")
+        new = _stored(_verified(found, sets, percent), "links")
+        links = new if links is None else links.unionByName(new)
         labels = components(links)
     return JaccardJoin(documents, labels)
 

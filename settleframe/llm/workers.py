@@ -1,4 +1,5 @@
-"""Making this package importable in Spark's Python workers."""
+"""Making this package importable in Spark's Python workers, and bounding what
+reaches them at once."""
 
 from __future__ import annotations
 
@@ -11,9 +12,19 @@ from pyspark.sql import SparkSession
 import settleframe
 
 
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Hand the package to the executors once per Spark context, as a zip that
-    Spark itself serves from the driver (what ``--py-files`` does)."""
+    Spark itself serves from the driver (what ``--py-files`` does).
+
+    Unless the session says otherwise, Arrow batches end at 4 MB: the default of
+    10,000 rows is tens of megabytes of whole texts, in the JVM and in Python.
+    """
+    if spark.conf.get(_BATCH_KEY, None) is None:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_settleframe_shipped", False):
         return
