@@ -108,20 +108,22 @@ def _template_facts(spark: SparkSession, templates: tuple[Template, ...]) -> Dat
 
 def rolling_grams(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """One row per text and rolling k-gram: row, doc_id, n_words, pos, gram. Every
-    text also has one row with pos -1 and no gram, which carries its counts."""
+    text also has one row with pos -1 and no gram, which carries its counts.
+
+    Positions are generated, and each picks its words from the text's list: the
+    list is neither copied per position nor built up a second time as k-grams.
+    """
     text = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     words = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
                         F.array_remove(F.split(text, SEPARATORS, -1), "").alias("words"))
-    empty = F.expr("cast(array() as array<struct<pos:int,gram:string>>)")
-
-    def grams(k: int):
-        starts = F.when(F.size("words") >= k, F.sequence(F.lit(0), F.size("words") - k)).otherwise(F.expr("cast(array() as array<int>)"))
-        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("words", i + 1, k), " ").alias("gram")))
-
-    head = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("gram")))
-    return (words.select("row", "doc_id", F.size("words").cast("long").alias("n_words"),
-                         F.explode(F.concat(head, grams(PHRASE_K), grams(NOTICE_K), empty)).alias("g"))
-            .select("row", "doc_id", "n_words", "g.pos", "g.gram"))
+    pos, k = F.col("pos"), F.col("k")
+    placed = (words.withColumn("n_words", F.size("words"))
+              .withColumn("pos", F.explode(F.sequence(F.lit(-1), F.col("n_words") - 1)))
+              .withColumn("k", F.explode(F.array(F.lit(PHRASE_K), F.lit(NOTICE_K))))
+              .filter(((pos >= 0) & (pos + k <= F.col("n_words"))) | ((pos < 0) & (k == PHRASE_K))))
+    gram = lambda n: F.concat_ws(" ", *(F.get("words", pos + j) for j in range(n)))
+    return placed.select("row", "doc_id", F.col("n_words").cast("long").alias("n_words"), "pos",
+                         F.when(pos < 0, None).when(k == PHRASE_K, gram(PHRASE_K)).otherwise(gram(NOTICE_K)).alias("gram"))
 
 
 def spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text_col: str = "text", id_col: str = "doc_id",
@@ -131,8 +133,8 @@ def spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text_col
     row without a template, so that documents without spans stay visible."""
     spark = docs.sparkSession
     votes = (rolling_grams(docs, text_col, id_col).withColumn("h", F.xxhash64("gram"))
-             .join(F.broadcast(template_positions(spark, templates)), ["h", "gram"], "left")
-             .filter(F.col("template").isNotNull() | (F.col("pos") < 0))
+             .join(F.broadcast(template_positions(spark, templates).withColumnRenamed("gram", "template_gram")), "h", "left")
+             .filter((F.col("gram") == F.col("template_gram")) | (F.col("pos") < 0))
              .withColumn("diagonal", F.col("pos") - F.col("at"))
              .groupBy("row", "doc_id", "n_words", "template", "diagonal")
              .agg(F.count("at").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
