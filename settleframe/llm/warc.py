@@ -216,6 +216,10 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT
     # The first page of each payload that occurs again; map-side combined.
     first = (rows.filter(F.col("size") >= min_revisit).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    # Stored, so that its true size is known to the join: a small one is broadcast
+    # and no page is shuffled.
+    first.write.parquet(f"{folder}/first")
+    first = spark.read.schema("digest string, first long").parquet(f"{folder}/first")
     # The equi-join stays free of grouping above it: AQE broadcasts a small side and splits a hot digest.
     dealt = rows.join(first, "digest", "left").select(
         "page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
