@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from settleframe.catalog import QUERIES  # noqa: E402
 from settleframe.session import local_session  # noqa: E402
 
 
@@ -45,11 +45,9 @@ def main(argv) -> int:
              f"Physical plans of the registered queries (`tools/plans.py`, {os.path.basename(sf_dir)}, "
              "AQE initial plan; AQE may still coalesce partitions or turn a sort-merge join into a "
              "broadcast at run time).", "",
-             "`SinglePartition` exchanges appear only in one-row global aggregates and in "
-             "`gold_counterparty_rank`, whose input (one row per counterparty) is under the checked "
-             "`single_task_max_rows` bound; above it `global_rank` runs its distributed plan "
-             "(tests/test_ranking.py, tests/test_shuffle_volume.py).", ""]
-    for name, build in queries().items():
+             "`SinglePartition` exchanges appear only in one-row global aggregates and over one row "
+             "per range part in `global_rank`.", ""]
+    for name, build in QUERIES.items():
         parts += [f"## {name}", "", "```", tree(build(spark, sf_dir)), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(parts))
