@@ -28,8 +28,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.85)."""
-    return jaccard_join.drop_near_duplicates(docs, shingle=5)
+    """One document of each group of near copies (five-word shingles, 0.8 or more)."""
+    return jaccard_join.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

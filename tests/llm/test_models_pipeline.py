@@ -192,3 +192,26 @@ def test_pipeline_empty(spark, no_docs):
         out = stage(spark, at, SF)
         assert out.count() == 0
         at = spark.createDataFrame([], out.schema)
+
+
+def test_pipeline_drops_near_copies_from_four_fifths(spark):
+    from llm_plain import DOCS_DDL
+
+    base = [f"w{i}" for i in range(100)]
+    changed = lambda at: " ".join("changed" if i in at else w for i, w in enumerate(base))
+    texts = {1: " ".join(base), 2: changed({30, 60}),                              # 86 of 106 five-word shingles: 0.81
+             3: " ".join(f"v{i}" for i in range(100)),
+             4: " ".join("changed" if i in {20, 45, 70} else f"v{i}" for i in range(100))}   # 81 of 111: 0.73
+    df = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in texts.items()], DOCS_DDL)
+    stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
+    assert sorted(r.doc_id for r in stage(spark, df, SF).collect()) == [1, 3, 4]
+
+
+def test_pipeline_jaccard_stage_against_plain_sets(spark, docs):
+    from test_dedup_jaccard import plain_components
+
+    stages = dict(corpus_pipeline.STAGES)
+    before = stages["exact_dedup"](spark, stages["quality_rules"](spark, docs, SF), SF).collect()
+    kept = stages["jaccard_join"](spark, spark.createDataFrame(before, docs.schema), SF)
+    groups = plain_components([(r.doc_id, r.text) for r in before], k=5, percent=80)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter({c for (_, n, c) in groups if n} | {d for (d, n, _) in groups if not n})
