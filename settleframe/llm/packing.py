@@ -47,8 +47,9 @@ def _byte_characters() -> dict[str, int]:
 
 class ByteTokenizer:
     """Ids of a byte-level BPE file in the ``tokenizers`` format, as packed
-    little-endian 32-bit ids. The vocabulary of the file is handed to the faster
-    ``tiktoken`` encoder; the tests hold its ids against ``tokenizers``."""
+    little-endian 32-bit ids. The vocabulary and the added tokens of the file are
+    handed to the faster ``tiktoken`` encoder; a text that holds an added token
+    literally gets its id, as in ``tokenizers``. The tests hold the ids against it."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -56,15 +57,16 @@ class ByteTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, before = spec["model"], spec["pre_tokenizer"]
-        special = {t["id"] for t in spec["added_tokens"] if t["special"]}
-        if model["type"] != "BPE" or spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"]:
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        bound = any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
+        if model["type"] != "BPE" or spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or bound:
             raise ValueError(f"{path} is not a plain byte-level BPE file")
         chars = _byte_characters()
-        ranks = {bytes(chars[c] for c in token): i for token, i in model["vocab"].items() if i not in special}
-        self._encoding = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(chars[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+        self._encoding = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> bytes:
-        ids = self._encoding.encode_ordinary(text)
+        ids = self._encoding.encode(text, allowed_special="all")
         return struct.pack(f"<{len(ids)}I", *ids)
 
 

@@ -143,3 +143,16 @@ def test_piece_lengths(n):
     pieces = packing.piece_lengths(n)
     assert sum(pieces) == n and pieces == sorted(pieces, reverse=True)
     assert all(p & (p - 1) == 0 and p <= 1024 for p in pieces) and len(set(pieces) - {1024}) == len([p for p in pieces if p != 1024])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n\n", "  ", "end of one", "é", "'s", "1"]), max_size=12).map("".join))
+def test_same_ids_for_added_tokens(text):
+    plain = test_same_ids_for_added_tokens.__dict__.setdefault("t", Tokenizer.from_file(PATH))
+    assert np.frombuffer(packing.tokenizer(PATH).encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_text_with_added_token(spark):
+    df = spark.createDataFrame([(1, "end of one <|endoftext|> start"), (2, "<|endoftext|>"), (3, None)], "doc_id long, text string")
+    check_packing(df, Tokenizer.from_file(PATH))
+    assert packing.pack(df, PATH).filter("doc_id = 1").first().doc_tokens == 7
