@@ -15,8 +15,12 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+_BLANK = "".join(map(chr, range(33)))   # what Spark's CSV reader trims to tell a blank line
+
+
 def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file ('' if empty), decompressed by its extension."""
+    """First line of a text file that is not blank ('' if there is none),
+    decompressed by its extension."""
     jvm = spark._jvm
     p, fs = _fs(spark, path)
     stream = fs.open(p)
@@ -25,7 +29,9 @@ def first_line(spark: SparkSession, path: str) -> str:
             spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
         source = codec.createInputStream(stream) if codec is not None else stream
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        return reader.readLine() or ""
+        while (line := reader.readLine()) is not None and not line.strip(_BLANK):
+            pass
+        return line or ""
     finally:
         stream.close()
 

@@ -23,10 +23,11 @@ from settleframe.sources.sinks import current_version
 def _csv_by_name(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame | None:
     """CSV files with header rows, columns matched by name.
 
-    Only the header line of each file is read here. Files are grouped by header
-    and each group is read under its own column order (Spark applies a declared
-    schema by position), then the groups are united by name. Columns that are not
-    declared are text; None when there are no files.
+    Only the header line of each file, its first line that is not blank, is read
+    here; files without one hold no rows. Files are grouped by header and each group
+    is read under its own column order (Spark applies a declared schema by position),
+    then the groups are united by name. Columns that are not declared are text; None
+    when no file has a header.
     """
     files = spark.read.text(path).inputFiles()
     groups: dict[tuple[str, ...], list[str]] = {}

@@ -368,3 +368,22 @@ def test_max_records_per_file(spark, tmp_path):
     write_table(spark.range(1000).coalesce(1), str(path), max_records_per_file=300)
     files = [f for f in os.listdir(current_version(spark, str(path))[0]) if f.endswith(".parquet")]
     assert len(files) == 4 and read_table(spark, str(path)).count() == 1000
+
+
+def test_csv_files_that_begin_with_blank_lines(spark, tmp_path):
+    from settleframe.sources.readers import read_instruments, read_trades
+
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_text("\nTradeID,Currency\nT1,usd\n")
+    (d / "b.csv").write_text("TradeID,Currency\nT2,eur\n")
+    (d / "c.csv").write_text("Currency,TradeID\ngbp,T3\n")
+    (d / "d.csv").write_text(" \t\r\n\nCurrency,InstrumentID,TradeID\nchf,I4,T4\n")
+    (d / "e.csv").write_text("\n \n")
+    got = {r.TradeID: r.Currency for r in read_trades(spark, str(d), "csv").collect()}
+    assert got == {"T1": "usd", "T2": "eur", "T3": "gbp", "T4": "chf"}
+    i = tmp_path / "all_blank_first"
+    i.mkdir()
+    (i / "a.csv").write_text("\nInstrumentID,InstrumentType\nA1,Bond\n")
+    (i / "b.csv").write_text("\n\nInstrumentType,instrument_id\nShare,B1\n")
+    assert {(r.InstrumentID, r.InstrumentType) for r in read_instruments(spark, str(i)).collect()} == {("A1", "Bond"), ("B1", "Share")}
