@@ -56,7 +56,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_trie.train_and_score(_table(spark, sf_dir, "documents"))
+    return lm_trie.train_and_score(_table(spark, sf_dir, "documents"), min_count=1)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

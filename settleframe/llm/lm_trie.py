@@ -5,8 +5,8 @@ The model interpolates orders 1 to ``ORDER`` with absolute discounting:
     p1(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
     pk(w | h) = max(c(h w) - D, 0) / c(h) + back(h) * p(k-1)(w | shorter h)
 
-over the n-grams seen at least ``MIN_COUNT`` times in training (orders 2 and up;
-all words are kept). ``back(h)`` is what the kept n-grams leave over, so the
+over the n-grams seen at least ``min_count`` times in training (orders 2 and up;
+all words are kept; the registered query keeps all n-grams, ``min_count=1``). ``back(h)`` is what the kept n-grams leave over, so the
 distribution sums to at most one, also after rounding to 8-bit codes.
 
 The trie is built level by level. Tasks count the n-grams of their documents and

@@ -215,3 +215,13 @@ def test_pipeline_jaccard_stage_against_plain_sets(spark, docs):
     kept = stages["jaccard_join"](spark, spark.createDataFrame(before, docs.schema), SF)
     groups = plain_components([(r.doc_id, r.text) for r in before], k=5, percent=80)
     assert Counter(r.doc_id for r in kept.collect()) == Counter({c for (_, n, c) in groups if n} | {d for (d, n, _) in groups if not n})
+
+
+def test_registered_lm_keeps_every_ngram(spark, docs):
+    from settleframe.llm.catalog import op6_lm_trie
+
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = {r[0]: r[1:] for r in plain_lm(rows, least=1)}
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in op6_lm_trie(spark, SF).collect()}
+    assert got.keys() == want.keys() and len(got) == len(rows)
+    assert all(g[:3] == want[d][:3] and np.allclose(g[3:], want[d][3:], rtol=1e-7, atol=1e-7) for d, g in got.items())
