@@ -12,6 +12,7 @@ from settleframe.llm import (
     jaccard_join,
     license_scan,
     lm_trie,
+    merkle,
     mixing,
     packing,
     quality_rules,
@@ -78,6 +79,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_test(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_cnn": op2_byte_cnn,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -65,9 +65,55 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed_rules = '' AS kept, failed_rules FROM judged"""
 
+# A tree's nodes of level k are the runs of eight of level k - 1, as long as there are several.
+_LEAF_LEVELS, _LANG_LEVELS = 8, 4   # enough for 8**8 rows of a language and 8**4 languages
+
+
+def _tree(prefix: str, source: str, key: str, depth: int) -> str:
+    """CTEs {prefix}0..depth (key, pos, h): the levels; {prefix}_path: the digests
+    before and after each node of level 0, level by level."""
+    ctes = [f"{prefix}0 AS ({source})"]
+    for k in range(1, depth + 1):
+        ctes.append(f"""{prefix}{k} AS (SELECT {key}, pos // 8 AS pos, CASE WHEN max(size) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE max(h) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS size FROM {prefix}{k - 1}) GROUP BY {key}, pos // 8)""")
+    steps = " UNION ALL ".join(
+        f"SELECT o.{key}, o.pos, {k} AS level, "
+        f"coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (WHERE n.pos < o.pos // {8 ** k}), '') AS b, "
+        f"coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (WHERE n.pos > o.pos // {8 ** k}), '') AS a "
+        f"FROM {prefix}0 o JOIN {prefix}{k} n ON o.{key} = n.{key} AND n.pos // 8 = o.pos // {8 ** (k + 1)} "
+        f"WHERE (SELECT count(*) FROM {prefix}{k} x WHERE x.{key} = o.{key}) > 1 GROUP BY o.{key}, o.pos" for k in range(depth))
+    ctes.append(f"{prefix}_path AS (SELECT {key}, pos, list({{'b': b, 'a': a}} ORDER BY level) AS path FROM ({steps}) GROUP BY {key}, pos)")
+    return ",\n".join(ctes)
+
+
+def _counted(c: str) -> str:
+    return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+
+
+_CRC32 = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]),
+    lambda a, i: xor(a >> 1, 3988292384::UBIGINT * (a & 1))))"""
+
+OP13 = f"""
+WITH rows_ AS (SELECT *, coalesce('=' || lang, '') AS tree, sha256({" || ".join(map(_counted, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+  CASE WHEN xor({_CRC32}, 4294967295::UBIGINT) % 3 = 0 AND text IS NOT NULL
+    THEN sha256({" || ".join(map(_counted, ("doc_id", "source", "lang", "n_chars")))} || {_counted(_LOWER.replace("coalesce(text, '')", "text"))}) END AS other FROM documents),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows_),
+{_tree("t", "SELECT tree, pos, leaf AS h FROM ranked", "tree", _LEAF_LEVELS)},
+subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM t{_LEAF_LEVELS}),
+{_tree("r", "SELECT 0 AS k, pos, h FROM subroots", "k", _LANG_LEVELS)},
+proved AS (SELECT r.doc_id, r.leaf, r.other, s.h AS subroot, (SELECT h FROM r{_LANG_LEVELS}) AS root,
+  list_concat(coalesce(p.path, []), coalesce(q.path, [])) AS path
+  FROM ranked r JOIN subroots s USING (tree) LEFT JOIN t_path p ON p.tree = r.tree AND p.pos = r.pos LEFT JOIN r_path q ON q.pos = s.pos),
+folded AS (SELECT *, list_reduce(list_prepend(coalesce(other, leaf), list_transform(path, lambda x: x.b || ' ' || x.a)),
+  lambda acc, x: sha256(split_part(x, ' ', 1) || acc || split_part(x, ' ', 2))) AS folded_root FROM proved)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM folded"""
+
 ORACLE_SQL = {
     "op3_warc": OP3,
     "op4_exact_dedup": OP4,
     "op5_jaccard_join": OP5,
     "op9_quality_rules": OP9,
+    "op13_merkle_manifest": OP13,
 }
