@@ -17,6 +17,7 @@ from settleframe.llm import (
     packing,
     quality_rules,
     sharding,
+    token_files,
     warc,
 )
 from settleframe.llm.oracles import ORACLE_SQL
@@ -26,11 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """Place of the vocabulary file, given by the installed package."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a vocabulary file, given by the installed package."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_test(_table(spark, sf_dir, "documents"))
 
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op12_token_files": op12_token_files,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
