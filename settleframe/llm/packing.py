@@ -37,7 +37,7 @@ END_ID = 0
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _byte_characters() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """Byte of each character that byte-level vocabularies use: printable
     Latin-1 bytes stand for themselves, the others take code points from 256."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -61,7 +61,7 @@ class ByteTokenizer:
         bound = any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
         if model["type"] != "BPE" or spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or bound:
             raise ValueError(f"{path} is not a plain byte-level BPE file")
-        chars = _byte_characters()
+        chars = byte_characters()
         ranks = {bytes(chars[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
         self._encoding = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=added)
 

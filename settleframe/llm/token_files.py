@@ -29,8 +29,12 @@ bound. An empty table gives no files and no rows. Extra columns are not carried.
 from __future__ import annotations
 
 import json
+import os
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,43 +46,62 @@ from pyspark.sql import functions as F
 
 from settleframe.llm.arrays import slices
 from settleframe.llm.elias_fano import EliasFano, from_arrays, pack_file
+from settleframe.llm.packing import byte_characters
 from settleframe.llm.warc import open_shared
 from settleframe.llm.workers import ship
 from settleframe.session import scratch_path
 
 END_ID = 2
 FILE_BYTES = 32 << 20     # ids of a file
-KNOWN = 1 << 18           # pieces a worker remembers
+KNOWN = 1 << 19           # pieces a worker remembers
 KNOWN_BYTES = 64          # length of the longest
+# A word of ASCII or Latin-1 letters and the punctuation behind it.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([.,;:!?]*)").fullmatch
+_UNITS = {b: c for c, b in byte_characters().items()}   # how a byte-level vocabulary writes a byte
 ID_SPAN = 1 << 62         # document ids of a file span less
 
 MANIFEST = "part int, nth int, path string, documents long, tokens long"
 
 
-class PieceEncoder:
-    """Ids of texts as packed little-endian numbers, by the ``tokenizers`` library."""
+class PieceEncoder(dict):
+    """Ids of texts as packed little-endian numbers, by the ``tokenizers`` library.
+
+    The dictionary holds the pieces met so far. The splitting rules make two of a word
+    of Latin letters with punctuation behind it; such a word alone, in lower case, is
+    one unit for the library's model. All other pieces are encoded by the library."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark deals out the work
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self.kind = "<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self._known: dict[bytes, bytes] = {}
-
-    def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        found = self._tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return zip(pieces, (np.array(e.ids, self.kind).tobytes() for e in found), strict=True)
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]   # bytes: at [\x20\x09-\x0D] only
-        if len(self._known) > KNOWN:
-            self._known.clear()
-        new = set().union(*split).difference(self._known)
-        long = dict(self._encode([p for p in new if len(p) > KNOWN_BYTES]))
-        self._known.update(self._encode([p for p in new if len(p) <= KNOWN_BYTES]))
-        if not long:
-            return [b"".join(map(self._known.__getitem__, pieces)) for pieces in split]
-        return [b"".join(long[p] if p in long else self._known[p] for p in pieces) for pieces in split]
+    def _pack(self, ids: list[int]) -> bytes:
+        packed = array("H" if self.kind == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def __missing__(self, piece: bytes) -> bytes:
+        plain = _PLAIN(piece)
+        if plain is None:
+            ids = self._pack(self._tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
+        elif plain[2]:
+            ids = self[plain[1]] + self[plain[2]]
+        else:
+            unit = piece.decode().lower().encode().decode("latin-1").translate(_UNITS)
+            ids = self._pack([t.id for t in self._model.tokenize(unit)])
+        if len(piece) <= KNOWN_BYTES:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        # bytes: split at [\x20\x09-\x0D] only
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -145,8 +168,9 @@ class TokenFile:
 def _writer(folder: str, tokenizer_path: str, end_id: int, file_size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_shared(folder)
-        encode = encoder(tokenizer_path)
-        end, part = np.array([end_id], encode.kind).tobytes(), TaskContext.get().partitionId()
+        pieces = encoder(tokenizer_path)
+        encode, kind = pieces.encode, pieces.kind
+        end, part = np.array([end_id], kind).tobytes(), TaskContext.get().partitionId()
         held: list[tuple[int | None, bytes]] = []
         size = nth = 0
         first = None
@@ -154,7 +178,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, file_size: int):
         def done() -> pa.RecordBatch:
             path = f"{uuid.uuid4().hex}.ids"
             with fs.open_output_stream(f"{base}/{path}", compression=None) as out:
-                out.write(file_bytes(held, encode.kind))
+                out.write(file_bytes(held, kind))
             row = [part], [nth], [path], [len(held)], [size // len(end)]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)],
@@ -162,8 +186,8 @@ def _writer(folder: str, tokenizer_path: str, end_id: int, file_size: int):
 
         for batch in batches:
             for piece in slices(batch):
-                texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in piece.column("text")]
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode(texts), strict=True):
+                for doc_id, text in zip(piece.column("doc_id").to_pylist(), piece.column("text"), strict=True):
+                    ids = encode(text.as_buffer().to_pybytes()) if text.is_valid else b""
                     if held and (size >= file_size or first is not None and doc_id - first >= ID_SPAN):
                         yield done()
                         size, nth, first = 0, nth + 1, None
