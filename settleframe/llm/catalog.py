@@ -15,6 +15,7 @@ from settleframe.llm import (
     merkle,
     mixing,
     packing,
+    phrases,
     quality_rules,
     sharding,
     token_files,
@@ -80,6 +81,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
     "op12_token_files": op12_token_files,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -65,6 +65,25 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed_rules = '' AS kept, failed_rules FROM judged"""
 
+OP11 = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+totals AS (SELECT lang, CAST(count(*) AS HUGEINT) AS n FROM placed GROUP BY lang),
+counted AS (SELECT lang, p, len(p) AS k, CAST(count(*) AS HUGEINT) AS a
+  FROM (SELECT lang, w[i:i + d] AS p FROM placed, range(5) AS r(d) WHERE i + d <= len(w)) GROUP BY lang, p HAVING count(*) >= 100),
+candidates AS (SELECT * FROM counted WHERE k > 1),
+inside AS (SELECT DISTINCT s.lang, s.p FROM candidates s JOIN
+  (SELECT lang, a, k, p[i:i + d - 1] AS part FROM candidates, range(1, 5) AS x(i), range(2, 5) AS y(d) WHERE d < k AND i + d - 1 <= k) c
+  ON c.lang = s.lang AND c.part = s.p AND 100 * c.a >= 100 * s.a),
+cuts AS (SELECT c.lang, c.p, c.a, t.n, x.k, l.a AS l, r.a AS r, 1000 * c.a * t.n // (l.a * r.a) AS score
+  FROM candidates c JOIN totals t USING (lang) JOIN range(1, 5) AS x(k) ON x.k < c.k
+  JOIN counted l ON l.lang = c.lang AND l.p = c.p[1:x.k] JOIN counted r ON r.lang = c.lang AND r.p = c.p[x.k + 1:]),
+lowest AS (SELECT *, array_to_string(p, ' ') AS phrase FROM cuts WHERE (lang, p) NOT IN (SELECT (lang, p) FROM inside)
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
 # A tree's nodes of level k are the runs of eight of level k - 1, as long as there are several.
 _LEAF_LEVELS, _LANG_LEVELS = 8, 4   # enough for 8**8 rows of a language and 8**4 languages
 
@@ -115,5 +134,6 @@ ORACLE_SQL = {
     "op4_exact_dedup": OP4,
     "op5_jaccard_join": OP5,
     "op9_quality_rules": OP9,
+    "op11_phrases": OP11,
     "op13_merkle_manifest": OP13,
 }
