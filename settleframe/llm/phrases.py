@@ -18,8 +18,8 @@ counts come from sorted streams that are read once, side by side.
    begins with a copy of the rows that its first phrase still needs, at most four.
 4. The two passes meet phrase by phrase, and built-in decimals give the scores.
 
-A window holds only words and pairs and triples that may be frequent: passes before
-add up their occurrences in cells, a table whose size follows the corpus up to 2**27
+A window holds only pairs and triples that may be frequent: passes before add up their
+occurrences in cells, a table whose size follows the corpus up to 2**27
 cells. A cell below the threshold proves that everything in it is rare; a cell at
 or above it proves nothing and only lets more windows travel. Results do not depend on
 the table.
@@ -51,7 +51,7 @@ from settleframe.llm.workers import ship
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-SIEVED = 3                 # lengths that the sieves cover
+SIEVED = 3                 # longest phrases that the sieves cover, from two words on
 CELL_BITS = (16, 27)       # least and greatest size of the table
 SEGMENT_BITS = 16
 HELD_CELLS = 3_000_000     # cells a task holds before it sends them
@@ -138,14 +138,13 @@ def _cells(words: Pieces, langs: list[str], length: int, bits: int) -> tuple[np.
 
 
 def _passes(words: Pieces, langs: list[str], sieves: list[np.ndarray], bits: int) -> list[np.ndarray]:
-    """For each sieved length: whether the phrase from a word may be frequent. All
-    phrases within it may be, too."""
-    out = []
-    for length, sieve in enumerate(sieves, start=1):
+    """For each length up to the longest sieved one: whether the phrase from a word
+    may be frequent (single words always). All phrases within it may be, too."""
+    out = [np.ones(len(words.start), bool)]
+    for length, sieve in enumerate(sieves, start=2):
         at, cells = _cells(words, langs, length, bits)
-        if out:
-            shorter = out[-1][at] & out[-1][np.minimum(at + 1, len(words.start) - 1)]
-            at, cells = at[shorter], cells[shorter]
+        shorter = out[-1][at] & out[-1][at + 1]
+        at, cells = at[shorter], cells[shorter]
         ok = np.zeros(len(words.start), bool)
         ok[at] = (sieve[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
         out.append(ok)
@@ -166,7 +165,7 @@ def _pack_cells(segment: int, part: int, cells: np.ndarray, counts: np.ndarray)
             zlib.compress(np.minimum(counts, 65535).astype(np.uint16).tobytes(), 1))
 
 
-def _cell_counter(lengths: tuple[int, ...], sieves: list[Broadcast], bits: int):
+def _cell_counter(length: int, sieves: list[Broadcast], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         part = TaskContext.get().partitionId()
@@ -184,12 +183,10 @@ def _cell_counter(lengths: tuple[int, ...], sieves: list[Broadcast], bits: int):
 
         for words, langs in _split(batches):
             known = _passes(words, langs, [s.value for s in sieves], bits)
-            for length in lengths:
-                at, cells = _cells(words, langs, length, bits)
-                if known:
-                    cells = cells[known[-1][at] & known[-1][at + 1]]
-                if len(cells):
-                    held.append(cells)
+            at, cells = _cells(words, langs, length, bits)
+            cells = cells[known[-1][at] & known[-1][at + 1]]
+            if len(cells):
+                held.append(cells)
             if sum(map(len, held)) > HELD_CELLS:
                 yield flush()
         if held:
@@ -212,25 +209,22 @@ def _add_cells(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row], columns=["segment", "part", "cells", "counts"])
 
 
-def _sieve(slim: DataFrame, lengths: tuple[int, ...], sieves: list[Broadcast], bits: int, min_count: int) -> list[np.ndarray]:
+def _sieve(slim: DataFrame, length: int, sieves: list[Broadcast], bits: int, min_count: int) -> np.ndarray:
     """One bit a cell: whether the phrases of a length that fall into it add up to
     the threshold. Cells are added in two steps, so no group is as long as there are
     tasks."""
     def full(rows: pd.DataFrame) -> pd.DataFrame:
-        bits_ = np.packbits(_segment_counts(rows) >= min(min_count, 65535), bitorder="little")
-        return pd.DataFrame({"segment": [int(rows["segment"].iloc[0])], "bits": [bits_.tobytes()]})
-
-    found = []
-    for one in lengths:
-        sent = slim.mapInArrow(_cell_counter((one,), sieves, bits), _CELLS)
-        fan = max(1, math.isqrt(slim.rdd.getNumPartitions()))
-        half = sent.withColumn("part", F.col("part") % fan).groupBy("segment", "part").applyInPandas(_add_cells, _CELLS)
-        table = np.zeros(1 << max(bits - 3, SEGMENT_BITS - 3), np.uint8)
-        for r in half.groupBy("segment").applyInPandas(full, "segment int, bits binary").toLocalIterator():   # 2**24 bytes at most
-            at = r.segment << (SEGMENT_BITS - 3)
-            table[at: at + len(r.bits)] = np.frombuffer(bytes(r.bits), np.uint8)
-        found.append(table)
-    return found
+        enough = np.packbits(_segment_counts(rows) >= min(min_count, 65535), bitorder="little")
+        return pd.DataFrame({"segment": [int(rows["segment"].iloc[0])], "bits": [enough.tobytes()]})
+
+    sent = slim.mapInArrow(_cell_counter(length, sieves, bits), _CELLS)
+    fan = max(1, math.isqrt(slim.rdd.getNumPartitions()))
+    half = sent.withColumn("part", F.col("part") % fan).groupBy("segment", "part").applyInPandas(_add_cells, _CELLS)
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    for r in half.groupBy("segment").applyInPandas(full, "segment int, bits binary").toLocalIterator():   # 2**24 bytes at most
+        at = r.segment << (SEGMENT_BITS - 3)
+        table[at: at + len(r.bits)] = np.frombuffer(bytes(r.bits), np.uint8)
+    return table
 
 
 def _phrase_texts(words: Pieces, at: np.ndarray, length: np.ndarray) -> pa.Array:
@@ -414,9 +408,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
     slim = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first().b
     bits = min(max((size // 16).bit_length(), CELL_BITS[0]), CELL_BITS[1])
-    sieves = [spark.sparkContext.broadcast(s) for s in _sieve(slim, (1, 2), [], bits, min_count)]
-    for length in range(3, SIEVED + 1):
-        sieves += [spark.sparkContext.broadcast(s) for s in _sieve(slim, (length,), sieves, bits, min_count)]
+    sieves: list[Broadcast] = []
+    for length in range(2, SIEVED + 1):
+        sieves.append(spark.sparkContext.broadcast(_sieve(slim, length, sieves, bits, min_count)))
     windows = stored(slim.mapInArrow(_windows(sieves, bits), _STREAM), "phrases-windows")
     counted = stored(_counted(windows, min_count), "phrases-counted")
     return counted, windows.filter("phrase = ''").groupBy("lang").agg(F.sum("n").alias("n"))

@@ -110,7 +110,7 @@ def test_windows_flushed_early(spark, monkeypatch, docs):
 
     def count():
         total = Counter()
-        for b in phrases._windows([Held] * 3, 16)(iter([batch.slice(i, 5) for i in range(0, len(texts), 5)])):
+        for b in phrases._windows([Held] * 2, 16)(iter([batch.slice(i, 5) for i in range(0, len(texts), 5)])):
             for p, n in zip(b.column("phrase").to_pylist(), b.column("n").to_pylist(), strict=True):
                 total[p] += n
         return total
