@@ -4,13 +4,15 @@ A document's ids (with the end id) are cut into pieces whose lengths are powers
 of two: as many whole ``max_length`` pieces as fit, then the binary digits of the
 rest, longest first. Pieces of equal length form a bucket; every piece is a
 sequence of its own, so no sequence crosses documents and, the lengths being
-powers of two, none is padded. Work is one pass over the documents without a
-shuffle; ``write_buckets`` lays the sequences out by length.
+powers of two, none is padded. Sequences are numbered bucket by bucket. Work is one
+pass over the documents without a shuffle; ``write_buckets`` lays the sequences out
+by length, one folder for each bucket.
 
 Defined results: a null or empty text is the end id alone (one piece of length
-1). Repeated rows are packed each. A very long text is tokenised alone. An empty
-table gives no rows. Sequence ids are the task's number and a count within it,
-so they are unique and the same in a rerun over the same splits.
+1). Repeated rows are packed each. A very long text is tokenised alone; one with a
+blank run that is too long for the faster encoder is left to the slower one. An empty
+table gives no rows. Sequence ids are the bucket, the task's number and a count within
+both, so they are unique and the same in a rerun over the same splits.
 """
 
 from __future__ import annotations
@@ -64,11 +66,22 @@ class ByteTokenizer:
         chars = byte_characters()
         ranks = {bytes(chars[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
         self._encoding = tiktoken.Encoding("file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        self._path, self._slower = path, None
 
     def encode(self, text: str) -> bytes:
-        ids = self._encoding.encode(text, allowed_special="all")
+        try:
+            ids = self._encoding.encode(text, allowed_special="all")
+        except ValueError:   # its pattern tracks back over blanks, some 400,000 at most
+            ids = self._encode_slower(text)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _encode_slower(self, text: str) -> list[int]:
+        if self._slower is None:
+            from tokenizers import Tokenizer
+
+            self._slower = Tokenizer.from_file(self._path)
+        return self._slower.encode(text, add_special_tokens=False).ids
+
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ByteTokenizer:
@@ -88,7 +101,8 @@ _FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 def _packer(path: str, max_length: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = tokenizer(path).encode, struct.pack("<I", end_id)
-        sequence = TaskContext.get().partitionId() << 33
+        task = TaskContext.get().partitionId() << 33
+        count = dict.fromkeys((1 << k for k in range(max_length.bit_length())), 0)   # sequences of each bucket
         for batch in batches:
             for piece in slices(batch):
                 rows: dict[str, list] = {f: [] for f in _FIELDS}
@@ -99,6 +113,8 @@ def _packer(path: str, max_length: int, end_id: int, keep_ids: bool):
                     at = 0
                     for n in lengths:
                         own = raw[4 * at: 4 * (at + n)]
+                        rows["sequence_id"].append((n.bit_length() - 1) << 57 | task | count[n])
+                        count[n] += 1
                         rows["start"].append(at)
                         rows["ids_crc32"].append(zlib.crc32(own))
                         if keep_ids:
@@ -108,9 +124,7 @@ def _packer(path: str, max_length: int, end_id: int, keep_ids: bool):
                     rows["doc_id"] += [doc_id] * k
                     rows["length"] += lengths
                     rows["doc_tokens"] += [at] * k
-                    rows["sequence_id"] += range(sequence, sequence + k)
                     rows["offset"] += [0] * k
-                    sequence += k
                 arrays = [pa.array(rows[f], pa.int64()) for f in _FIELDS] + ([pa.array(ids, pa.binary())] if keep_ids else [])
                 yield pa.RecordBatch.from_arrays(arrays, [*_FIELDS, *(["ids"] if keep_ids else [])])
     return run

@@ -176,7 +176,7 @@ def test_pipeline_stages(spark, docs):
     assert set(pairs(seen["quality_rules"])) <= set(pairs(docs))
     kept = {k[0] for k in plain_dedup(pairs(seen["quality_rules"])) if k[3]}
     assert Counter(d for d, _ in pairs(seen["exact_dedup"])) == Counter(kept)
-    groups = plain_components(pairs(seen["exact_dedup"]), k=5)
+    groups = plain_components(pairs(seen["exact_dedup"]), k=5, percent=80)
     assert Counter(d for d, _ in pairs(seen["jaccard_join"])) == Counter({c for (_, n, c) in groups if n} | {d for (d, n, _) in groups if not n})
     want = Counter({r.doc_id: len(r.shards) for r in check_mix(seen["jaccard_join"], lambda *a: 10**9) if r.shards})
     assert Counter(d for d, _ in pairs(seen["mixing"])) == want

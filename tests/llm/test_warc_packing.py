@@ -95,9 +95,7 @@ def recompress(data, old, new, times=-1):
 
 @pytest.fixture(scope="module")
 def reference_tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokenizer, text):
@@ -111,9 +109,11 @@ def check_packing(df, tokenizer):
         texts[r.doc_id, tuple(ids_of(tokenizer, r.text))] += 1
     assert all(r.length & (r.length - 1) == 0 and 0 < r.length <= 1024 and r.offset == 0 for r in rows)
     assert len({r.sequence_id for r in rows}) == len(rows)
+    ordered = [r.length for r in sorted(rows, key=lambda r: r.sequence_id)]
+    assert ordered == sorted(ordered)                          # sequences are numbered bucket by bucket
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
     found, at = Counter(), []
-    for r in sorted(rows, key=lambda r: r.sequence_id):       # a document's pieces follow each other
+    for r in rows:                                             # a document's pieces follow each other
         assert r.start == sum(len(x) for x in at)
         at.append(np.frombuffer(r.ids, "<u4").tolist())
         if r.start + r.length == r.doc_tokens:
@@ -132,7 +132,6 @@ def test_packing(odd, docs, no_docs, reference_tokenizer):
 @given(st.text(alphabet=st.sampled_from(list("abZ é'sdtlv019.,!\n\t  　日ß\x00<|>")), max_size=40))
 def test_same_ids_as_the_tokenizers_library(text):
     t = Tokenizer.from_file(PATH) if not hasattr(test_same_ids_as_the_tokenizers_library, "t") else test_same_ids_as_the_tokenizers_library.t
-    t.encode_special_tokens = True
     test_same_ids_as_the_tokenizers_library.t = t
     own = np.frombuffer(packing.tokenizer(PATH).encode(text), "<u4").tolist()
     assert own == t.encode(text, add_special_tokens=False).ids
@@ -156,3 +155,19 @@ def test_packing_text_with_added_token(spark):
     df = spark.createDataFrame([(1, "end of one <|endoftext|> start"), (2, "<|endoftext|>"), (3, None)], "doc_id long, text string")
     check_packing(df, Tokenizer.from_file(PATH))
     assert packing.pack(df, PATH).filter("doc_id = 1").first().doc_tokens == 7
+
+
+@pytest.mark.parametrize("text", ["x" + " " * 1_000_000 + "y", "\n" * 1_000_000, "a" * 1_000_000, " \t" * 600_000 + "<|endoftext|>"])
+def test_packing_of_very_long_runs(spark, reference_tokenizer, text):
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    check_packing(df, reference_tokenizer)
+
+
+def test_buckets_are_folders(spark, docs, reference_tokenizer, tmp_path):
+    packing.write_buckets(docs, str(tmp_path / "out"), PATH)
+    found = Counter()
+    for k in range(11):
+        for r in spark.read.parquet(str(tmp_path / "out" / f"length={1 << k}")).collect():
+            assert len(r.ids) == 4 << k
+            found[r.doc_id] += 1 << k
+    assert found == Counter({r.doc_id: len(ids_of(reference_tokenizer, r.text)) for r in docs.collect()})
