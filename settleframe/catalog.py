@@ -32,6 +32,7 @@ from settleframe.operators import (
     top_ranked,
     trade_counts_cube,
 )
+from settleframe.operators.money import exact_sums
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
@@ -232,6 +233,15 @@ def q_gold_notional_usd_fx(spark, sf):
     return daily_usd_notional(convert_to_usd(valid_trades(_silver(spark, sf)), rates))
 
 
+def q_gold_exact_totals(spark, sf):
+    """Sums far above and far below the usual amounts, per counterparty."""
+    trades = valid_trades(_silver(spark, sf)).withColumns({"Huge": F.col("Notional") * 1e14, "Tiny": F.col("Notional") * 1e-19})
+    huge = exact_sums(trades, ["Counterparty"], "Huge", {"HugeTotal": None, "HugeUSD": F.col("Currency") == "USD"})
+    tiny = exact_sums(trades, ["Counterparty"], "Tiny", {"TinyTotal": None}, {"TradeCount": ("count", "Tiny")})
+    return huge.join(tiny, huge["Counterparty"].eqNullSafe(tiny["Counterparty"])).select(
+        huge["Counterparty"], "HugeTotal", "HugeUSD", "TinyTotal", "TradeCount")
+
+
 def q_gold_trade_counts_cube(spark, sf):
     return trade_counts_cube(valid_trades(_silver(spark, sf)))
 
@@ -360,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "gold_period_rollup": q_gold_period_rollup,
     "gold_running_notional": q_gold_running_notional,
     "gold_notional_usd_fx": q_gold_notional_usd_fx,
+    "gold_exact_totals": q_gold_exact_totals,
     "gold_trade_counts_cube": q_gold_trade_counts_cube,
     "layer_row_counts": q_layer_row_counts,
     "gold_partition_pruned_read": q_gold_partition_pruned_read,
@@ -379,6 +390,7 @@ QUERIES: dict[str, Query] = {
 
 # A double as text keeps its digits; their decimals are summed, and the sum read back.
 _MONEY = "CAST(CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE)"
+_WIDE_MONEY = "CAST(CAST(sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,{places}))) AS VARCHAR) AS DOUBLE)"
 _ORDER_COPIES = ", ".join(f"{c} DESC NULLS LAST" for c in ["ingestion_timestamp"] + TRADE_BUSINESS_COLUMNS[1:])
 _REQUIRED_OK = " AND ".join(f"{c} IS NOT NULL" for c in TRADE_REQUIRED)
 _NORMALIZED = ("CASE WHEN regexp_full_match(upper(trim(Currency)), '[A-Z]{3}') "
@@ -527,6 +539,11 @@ ORACLE_SQL: dict[str, str] = {
         "FROM (SELECT v.*, CAST(CAST(round(CAST(CAST(v.Notional AS VARCHAR) AS DECIMAL(24,9)) * CAST(r.Rate AS DECIMAL(14,12)), 2) "
         f"AS VARCHAR) AS DOUBLE) AS NotionalUSD FROM valid v LEFT JOIN {_RATES} ON v.Currency = r.Currency) "
         "GROUP BY Counterparty, TradeDateYYYYMMDD"),
+    "gold_exact_totals": _sql(
+        f"SELECT Counterparty, {_WIDE_MONEY.format(c='Notional * 1e14', places=2)} AS HugeTotal, "
+        f"""{_WIDE_MONEY.format(c="CASE WHEN Currency = 'USD' THEN Notional * 1e14 END", places=2)} AS HugeUSD, """
+        f"{_WIDE_MONEY.format(c='Notional * 1e-19', places=37)} AS TinyTotal, count(Notional) AS TradeCount "
+        "FROM valid GROUP BY Counterparty"),
     "gold_trade_counts_cube": _sql(
         f"SELECT Currency, Status, count(TradeID) AS TradeCount, {_MONEY.format(c='Notional')} AS TotalNotional, "
         "CAST(GROUPING(Currency, Status) AS INTEGER) AS grouping_id FROM valid GROUP BY CUBE (Currency, Status)"),

@@ -1,8 +1,6 @@
 from settleframe.functions.columns import (
     as_timestamp,
     desc_nulls_last,
-    money_avg,
-    money_sum,
     normalize_currency,
     time_dimensions,
     volume_category,
@@ -11,8 +9,6 @@ from settleframe.functions.columns import (
 __all__ = [
     "as_timestamp",
     "desc_nulls_last",
-    "money_avg",
-    "money_sum",
     "normalize_currency",
     "time_dimensions",
     "volume_category",

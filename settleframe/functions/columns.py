@@ -13,16 +13,6 @@ SMALL, MEDIUM, LARGE = "SMALL", "MEDIUM", "LARGE"
 SMALL_BELOW = 1_000_000
 MEDIUM_BELOW = 10_000_000
 
-# Money is held as double at rest; sums run exactly in decimals. A double's
-# shortest text has at most 17 digits, so each range keeps all of them:
-# (below this magnitude, decimal type of one value).
-MONEY_RANGES = (
-    (1e10, T.DecimalType(28, 18)),
-    (1e22, T.DecimalType(28, 6)),
-    (1e28, T.DecimalType(28, 0)),
-)
-
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -76,42 +66,5 @@ def time_dimensions(date_col: str, prefix: str = "Trade") -> dict[str, Column]:
     }
 
 
-def money_parts(c: str | Column) -> dict[str, Column]:
-    """A money value spread over one decimal per magnitude range, and ``rest`` for
-    what no range holds: NaN, infinities and magnitudes of 1e28 and more."""
-    v = _col(c)
-    size, low, parts = F.abs(v), 0.0, {}
-    for i, (below, kind) in enumerate(MONEY_RANGES):
-        parts[f"part{i}"] = F.when((size >= low) & (size < below), v.cast(kind))
-        low = below
-    parts["rest"] = F.when(~(size < low), v)
-    return parts
-
-
-def money_total(sums: dict[str, Column]) -> Column:
-    """One double from the sums of ``money_parts``. Ranges are added in a fixed
-    order, so the result does not depend on the order of rows; ``rest`` wins as in
-    a plain double sum. Null if nothing was summed."""
-    parts = [sums[k].cast(T.DoubleType()) for k in sorted(sums) if k != "rest"]
-    present = F.coalesce(*parts, sums["rest"]).isNotNull()
-    total = F.lit(0.0)
-    for x in parts[::-1]:
-        total = total + F.coalesce(x, F.lit(0.0))
-    return F.when(present, F.coalesce(sums["rest"], F.lit(0.0)) + total)
-
-
-def money_sum(c: str | Column) -> Column:
-    """Order-independent sum of a double money column: every digit of every value
-    counts, whatever the order of rows or tasks. All-null input gives null."""
-    return money_total({k: F.sum(x) for k, x in money_parts(c).items()})
-
-
-def money_avg(c: str | Column) -> Column:
-    """``money_sum / count``; null (not an error) when no value is present."""
-    v = _col(c)
-    n = F.count(v)
-    return F.when(n > 0, money_sum(v) / n)
-
-
 def desc_nulls_last(cols: list[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in cols]

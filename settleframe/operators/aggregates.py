@@ -1,23 +1,17 @@
-"""Business aggregates. Every measure is a built-in aggregate, so Spark runs
-partial aggregation before the shuffle (map-side combine). Instruments are
-counted by the one exact distinct count of a plan; currencies as the size of
-their set (three-letter codes, so at most 17,576 members), which spares the
-Expand that two distinct counts would put over every row.
-"""
+"""Business aggregates: exact sums and distinct counts by plain hash aggregates, each
+with partial aggregation before the shuffle (``operators.money``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleframe.functions.columns import money_sum, time_dimensions, volume_category
+from settleframe.functions.columns import time_dimensions, volume_category
+from settleframe.operators.money import exact_sums
 
 
 _PRICED = "__priced"  # trades with a notional
 
-def _currency_count(c: str = "Currency") -> Column:
-    return F.size(F.collect_set(c)).cast("long")
-
 
 DAILY_OUTPUT = ["Counterparty", "TradeDateYYYYMMDD", "DailyNotional", "TradeCount", "AverageTradeSize",
                 "LargestTradeSize", "SmallestTradeSize", "UniqueInstruments", "UniqueCurrencies", "NotionalUSD"]
@@ -39,17 +33,13 @@ def daily_metrics(df: DataFrame, keep_empty: bool = False) -> DataFrame:
     the group has none). Groups whose notionals are all null are dropped
     unless ``keep_empty``.
     """
-    n = F.col("Notional")
-    out = df.groupBy("Counterparty", "TradeDateYYYYMMDD").agg(
-        money_sum(n).alias("DailyNotional"),
-        F.count("TradeID").alias("TradeCount"),
-        F.count(n).alias(_PRICED),
-        F.max(n).alias("LargestTradeSize"),
-        F.min(n).alias("SmallestTradeSize"),
-        F.count_distinct("InstrumentID").alias("UniqueInstruments"),
-        _currency_count().alias("UniqueCurrencies"),
-        money_sum(F.when(F.col("Currency") == "USD", n)).alias("NotionalUSD"),
-    )
+    out = exact_sums(df, ["Counterparty", "TradeDateYYYYMMDD"], "Notional",
+                     {"DailyNotional": None, "NotionalUSD": F.col("Currency") == "USD"}, {
+        "TradeCount": ("count", "TradeID"),
+        _PRICED: ("count", "Notional"),
+        "LargestTradeSize": ("max", "Notional"),
+        "SmallestTradeSize": ("min", "Notional"),
+    }, {"UniqueInstruments": "InstrumentID", "UniqueCurrencies": "Currency"})
     out = _with_average(out, "DailyNotional").select(*DAILY_OUTPUT)
     if not keep_empty:
         out = out.filter(F.col("DailyNotional").isNotNull())
@@ -67,14 +57,10 @@ def with_time_dimensions(df: DataFrame, date_col: str = "TradeDateYYYYMMDD") ->
 
 def counterparty_totals(df: DataFrame) -> DataFrame:
     """One row per counterparty (null counterparty included)."""
-    n = F.col("Notional")
-    out = df.groupBy("Counterparty").agg(
-        F.count("TradeID").alias("TotalTrades"),
-        money_sum(n).alias("TotalNotional"),
-        F.count(n).alias(_PRICED),
-        F.min("TradeDateYYYYMMDD").alias("FirstTradeDate"),
-        F.max("TradeDateYYYYMMDD").alias("LastTradeDate"),
-        F.count_distinct("InstrumentID").alias("UniqueInstrumentsTraded"),
-        _currency_count().alias("CurrenciesTraded"),
-    )
+    out = exact_sums(df, ["Counterparty"], "Notional", {"TotalNotional": None}, {
+        "TotalTrades": ("count", "TradeID"),
+        _PRICED: ("count", "Notional"),
+        "FirstTradeDate": ("min", "TradeDateYYYYMMDD"),
+        "LastTradeDate": ("max", "TradeDateYYYYMMDD"),
+    }, {"UniqueInstrumentsTraded": "InstrumentID", "CurrenciesTraded": "Currency"})
     return _with_average(out, "TotalNotional").select(*SUMMARY_OUTPUT)

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from settleframe.functions.columns import money_sum, normalize_currency
+from settleframe.functions.columns import normalize_currency
 from settleframe.operators.dedup import keep_latest
+from settleframe.operators.money import exact_sums, with_cents_product
 from settleframe.schemas import INSTRUMENT_FIELDS
 
-# One conversion is a decimal product: 9 places of the notional, 12 of the rate.
-AMOUNT, RATE = T.DecimalType(25, 9), T.DecimalType(18, 12)
-
 
 def latest_instruments(bronze_instruments: DataFrame) -> DataFrame:
     """Silver instruments: one row per InstrumentID, latest ingestion first,
@@ -56,23 +53,17 @@ def fx_rates(rates: DataFrame, currency: str = "Currency", rate: str = "Rate") -
 
 
 def convert_to_usd(trades: DataFrame, rates: DataFrame, out: str = "NotionalUSD") -> DataFrame:
-    """Add ``out`` = Notional x rate to USD, rounded half-up to the cent. The
-    product is one of decimals; non-finite values and magnitudes that the decimals
-    do not hold (notional from 1e16, rate from 1e6) use the double product. Each
-    row is converted by itself, so results do not depend on row order. Unknown
-    currency or missing rate -> null; no rate is invented.
+    """Add ``out`` = Notional x rate to USD, rounded half-up to the cent: all digits of
+    both are multiplied, whatever their size. NaN and infinities follow the rules of
+    doubles. Each row is converted by itself, so results do not depend on row order.
+    Unknown currency or missing rate -> null; no rate is invented.
     """
     r = F.broadcast(fx_rates(rates).withColumnRenamed("Rate", "__rate"))
-    n, rate = F.col("Notional"), F.col("__rate")
-    fits = (F.abs(n) < 1e16) & (F.abs(rate) < 1e6)
-    cents = F.round(n.cast(AMOUNT) * rate.cast(RATE), 2).cast("double")
-    return trades.join(r, "Currency", "left").withColumn(out, F.when(fits, cents).otherwise(n * rate)).drop("__rate")
+    return with_cents_product(trades.join(r, "Currency", "left"), "Notional", "__rate", out).drop("__rate")
 
 
 def daily_usd_notional(converted: DataFrame, amount: str = "NotionalUSD") -> DataFrame:
     """Per (Counterparty, day): USD notional of the priced trades;
     ``UnpricedTrades`` counts trades with a notional but no rate."""
-    return converted.groupBy("Counterparty", "TradeDateYYYYMMDD").agg(
-        money_sum(amount).alias(amount),
-        F.count_if(F.col("Notional").isNotNull() & F.col(amount).isNull()).cast("long").alias("UnpricedTrades"),
-    )
+    return exact_sums(converted, ["Counterparty", "TradeDateYYYYMMDD"], amount, {amount: None}, {
+        "UnpricedTrades": ("count", F.when(F.col("Notional").isNotNull() & F.col(amount).isNull(), F.lit(1)))})

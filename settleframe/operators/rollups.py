@@ -1,8 +1,8 @@
 """Period rollups, running totals and multi-dimensional trade counts.
 
-GROUPING SETS / CUBE run as one Expand + partial aggregate + one shuffle, not one
-job per level; the period rollup first sums per day, so only one row per
-counterparty and day goes through the Expand.
+GROUPING SETS run as one Expand + partial aggregate, not one job per level. Both
+first sum per smallest cell (a day, a pair of codes), so trades are grouped once and
+only one row per cell goes through the Expand; sums stay mergeable until the end.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from settleframe.functions.columns import money_parts, money_sum, money_total, time_dimensions
+from settleframe.functions.columns import time_dimensions
+from settleframe.operators.money import merge_states, money_states, running_sum
 
 # Period level labels.
 YEAR, QUARTER, MONTH = "YEAR", "QUARTER", "MONTH"
@@ -19,31 +20,24 @@ YEAR, QUARTER, MONTH = "YEAR", "QUARTER", "MONTH"
 def period_rollup(trades: DataFrame, date_col: str = "TradeDateYYYYMMDD") -> DataFrame:
     """Per counterparty: yearly, quarterly and monthly totals
     (``GROUPING SETS ((cp, y), (cp, y, q), (cp, y, m))``) from daily sums that
-    are still decimals, so no digit is lost on the way up."""
-    parts = money_parts("Notional")
-    daily = trades.groupBy("Counterparty", date_col).agg(
-        F.count("TradeID").alias("__trades"), F.count("Notional").alias("__priced"),
-        *(F.sum(x).alias(f"__{k}") for k, x in parts.items()))
-    dims = time_dimensions(date_col)
-    src = daily.select("Counterparty", "__trades", "__priced", *(f"__{k}" for k in parts),
-                       *(dims[c].alias(c) for c in ("TradeYear", "TradeQuarter", "TradeMonth")))
-    priced, total = F.sum("__priced"), money_total({k: F.sum(f"__{k}") for k in parts})
-    out = src.groupingSets(
-        [["Counterparty", "TradeYear"],
-         ["Counterparty", "TradeYear", "TradeQuarter"],
-         ["Counterparty", "TradeYear", "TradeMonth"]],
-        "Counterparty", "TradeYear", "TradeQuarter", "TradeMonth",
-    ).agg(
-        F.sum("__trades").alias("TradeCount"),
-        total.alias("TotalNotional"),
-        F.when(priced > 0, total / priced).alias("AverageTradeSize"),
-        F.grouping("TradeQuarter").alias("__gq"),
-        F.grouping("TradeMonth").alias("__gm"),
-    )
+    are still mergeable, so no digit is lost on the way up."""
+    daily = money_states(trades, ["Counterparty", date_col], "Notional", {"TotalNotional": None},
+                         {"__trades": ("count", "TradeID"), "__priced": ("count", "Notional")})
+    dims = ["TradeYear", "TradeQuarter", "TradeMonth"]
+    calendar = time_dimensions(date_col)
+    out = merge_states(
+        daily.withColumns({c: calendar[c] for c in dims}), ["Counterparty", *dims], ["TotalNotional"],
+        {"TradeCount": F.sum("__trades"), "__priced": F.sum("__priced"),
+         "__gq": F.grouping("TradeQuarter"), "__gm": F.grouping("TradeMonth")},
+        sets=[["Counterparty", "TradeYear"],
+              ["Counterparty", "TradeYear", "TradeQuarter"],
+              ["Counterparty", "TradeYear", "TradeMonth"]],
+        told_by=["__gq", "__gm"])
     level = (F.when(F.col("__gq") == 0, F.lit(QUARTER))
              .when(F.col("__gm") == 0, F.lit(MONTH))
              .otherwise(F.lit(YEAR)))
-    return out.withColumn("PeriodLevel", level).drop("__gq", "__gm")
+    average = F.when(F.col("__priced") > 0, F.col("TotalNotional") / F.col("__priced"))
+    return out.select("Counterparty", *dims, "TradeCount", "TotalNotional", average.alias("AverageTradeSize"), level.alias("PeriodLevel"))
 
 
 def running_total(daily: DataFrame, amount: str = "DailyNotional", key: str = "Counterparty",
@@ -56,14 +50,16 @@ def running_total(daily: DataFrame, amount: str = "DailyNotional", key: str = "C
     """
     w = (Window.partitionBy(key).orderBy(F.col(order_col).asc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return daily.withColumn(out, money_total({k: F.sum(x).over(w) for k, x in money_parts(amount).items()}))
+    return running_sum(daily, amount, w, out)
 
 
 def trade_counts_cube(trades: DataFrame, dims: tuple[str, ...] = ("Currency", "Status")) -> DataFrame:
     """Trade counts and notional for every combination of ``dims``
     (``CUBE``), with ``grouping_id`` telling subtotal rows from data nulls."""
-    return trades.cube(*dims).agg(
-        F.count("TradeID").alias("TradeCount"),
-        money_sum("Notional").alias("TotalNotional"),
-        F.grouping_id().cast("int").alias("grouping_id"),
-    )
+    cells = money_states(trades, list(dims), "Notional", {"TotalNotional": None}, {"__trades": ("count", "TradeID")})
+    sets = [[d for i, d in enumerate(dims) if not left_out >> i & 1] for left_out in range(1 << len(dims))]
+    # the bin is the last key of every set, so it is the lowest digit of the id
+    out = merge_states(cells, list(dims), ["TotalNotional"],
+                       {"TradeCount": F.sum("__trades"), "grouping_id": F.shiftright(F.grouping_id(), 1).cast("int")},
+                       sets=sets, told_by=["grouping_id"])
+    return out.select(*dims, "TradeCount", "TotalNotional", "grouping_id")

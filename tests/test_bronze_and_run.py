@@ -16,7 +16,7 @@ from settleframe.sources.readers import read_table
 from settleframe.sources.sinks import current_version, register_table, write_table
 from settleframe.streaming import start_trades_stream
 
-from conftest import INSTRUMENT_ROWS, TRADE_ROWS
+from settlement_rows import INSTRUMENT_ROWS, TRADE_ROWS
 
 
 def _write_landing(root, extra_lines=()):

@@ -5,7 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from settleframe.functions.columns import money_avg, money_sum, normalize_currency, volume_category
+from settleframe.functions.columns import normalize_currency, volume_category
+from settleframe.operators.money import exact_sums
 
 
 @pytest.mark.parametrize("raw, expected", [
@@ -29,7 +30,8 @@ def test_volume_category_bounds(spark, amount, expected):
 
 def _agg(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    return df.agg(money_sum("v").alias("s"), money_avg("v").alias("a")).first()
+    out = exact_sums(df.withColumn("g", F.lit(1)), ["g"], "v", {"s": None}, {"n": ("count", "v")})
+    return out.withColumn("a", F.when(F.col("n") > 0, F.col("s") / F.col("n"))).first()
 
 
 def test_money_sum_exact_and_order_free(spark):
@@ -148,5 +150,60 @@ def test_money_sum_matches_decimal_model_any_order(spark):
     df = spark.createDataFrame(rows, "g int, v double")
     for seed in (1, 2):
         shuffled = df.orderBy(F.rand(seed)).repartition(7)
-        got = {r.g: r.s for r in shuffled.groupBy("g").agg(money_sum("v").alias("s")).collect()}
+        got = {r.g: r.s for r in exact_sums(shuffled, ["g"], "v", {"s": None}).collect()}
         assert got == expected
+
+
+def _as_decimals(values):
+    from decimal import Decimal
+
+    return [Decimal(repr(v)) for v in values]
+
+
+@pytest.mark.parametrize("values", [
+    [4e-19] * 1000, [0.0012345678901234567], [9e19] * 30, [1e20, -1e20, 0.01], [1e25, -1.0000000000000001e25],
+    [5e-324] * 7, [1.7e308, 1e300, -1.7e308], [-1e-30, 1e30, -1e30], [1e35] * 2000, [-3e-200, 2e-200], [-0.001, 0.0004, 1e21],
+    [1e-18, 1e22, 3e-18], [1e-18] * 3, [123456789e-18, -7e-12, 1e17], [5.540466874999999e18, 2e23, 8.41e21], [-999.5, -0.5, 1e20],
+])
+def test_exact_sum_at_any_size(spark, values):
+    from decimal import localcontext
+
+    with localcontext() as c:
+        c.prec = 900
+        assert _agg(spark, values).s == float(sum(_as_decimals(values)))
+        assert _agg(spark, values[::-1]).s == _agg(spark, values).s
+
+
+def test_running_sum_at_any_size(spark):
+    from decimal import localcontext
+
+    from pyspark.sql import Window
+
+    from settleframe.operators.money import running_sum
+
+    values = [1e25, 0.01, -1e25, 4e-19, None, 1e-300, 5.0, -5.0, -0.01]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double").withColumn("g", F.lit(1))
+    w = Window.partitionBy("g").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    got = [r.s for r in running_sum(df, "v", w, "s").orderBy("i").collect()]
+    exact = _as_decimals([0.0 if v is None else v for v in values])
+    with localcontext() as c:
+        c.prec = 900
+        assert got == [float(sum(exact[:i + 1])) for i in range(len(values))]
+
+
+def test_product_rounds_once_at_any_size(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from settleframe.operators.money import with_cents_product
+
+    rnd = random.Random(4)
+    pairs = [(rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-40, 40), rnd.uniform(0, 1) * 10.0 ** rnd.randint(-40, 20)) for _ in range(300)]
+    pairs += [(1e16, 1.5), (123456789012345680.0, 1.1), (0.005, 1.0), (-0.005, 1.0), (0.00499999999999999, 1.0), (1e300, 1e-290)]
+    df = spark.createDataFrame(pairs, "a double, b double")
+    got = [r.p for r in with_cents_product(df, "a", "b", "p").collect()]
+    with localcontext() as c:
+        c.prec = 700
+        cents = lambda x: float(x.quantize(Decimal("0.01"), ROUND_HALF_UP))
+        expected = [cents(a * b) for a, b in zip(_as_decimals([p[0] for p in pairs]), _as_decimals([p[1] for p in pairs]), strict=True)]
+    assert got == expected
