@@ -41,6 +41,7 @@ from settleframe.plans.silver import cleanse_trades, latest_trades, with_normali
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
 from settleframe.session import scratch_path
 from settleframe.sources import testbed
+from settleframe.sources.files import exists
 from settleframe.sources.readers import read_table
 from settleframe.sources.sinks import register_table, write_table
 
@@ -284,7 +285,7 @@ _RUNS: dict[tuple[str, str], PipelineConfig] = {}
 
 def _finished_run(spark: SparkSession, sf: str) -> PipelineConfig:
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS:
+    if key not in _RUNS or not exists(spark, _RUNS[key].gold_path):   # scratch folders may have been cleaned
         cfg = _landing_config(spark, sf)
         run_medallion(spark, cfg, QUERY_BATCH_ID, reports=True)
         _RUNS[key] = cfg
@@ -312,8 +313,9 @@ def q_run_parquet_source(spark, sf):
 
 
 def q_run_month_removed(spark, sf):
-    """The gold table after a second run whose landing lost the last year: static
-    replacement under a session with dynamic overwrites, read through the catalog."""
+    """The gold table after two more runs, the last without the last year: static
+    replacement under a session with dynamic overwrites, read through the catalog entry
+    made after the first."""
     root = scratch_path(spark, "run-twice")
     daily = _daily(spark, sf)
     path, name = f"{root}/gold", "settleframe_twice_" + root.rsplit("-", 1)[1]
@@ -322,13 +324,21 @@ def q_run_month_removed(spark, sf):
     try:
         write_table(daily, path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
         register_table(spark, name, path)
-        write_table(daily.filter(F.col("TradeYear") < PRUNED_YEAR), path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
-        register_table(spark, name, path)
+        for rows in (daily.filter(F.col("TradeMonth") == 1), daily.filter(F.col("TradeYear") < PRUNED_YEAR)):
+            write_table(rows, path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
     finally:
         spark.conf.set(key, before)
     return spark.table(name).select(*GOLD_COLUMNS)
 
 
+def q_run_overwritten_by_path(spark, sf):
+    """The same table overwritten twice, the second time from itself; any reader's path."""
+    path = f"{scratch_path(spark, 'run-path')}/gold"
+    write_table(_daily(spark, sf), path, partition_cols=["TradeYear", "TradeMonth"], rebalance=True)
+    write_table(spark.read.parquet(path).filter(F.col("TradeYear") < PRUNED_YEAR), path)
+    return spark.read.parquet(path).select(*GOLD_COLUMNS)
+
+
 def q_layer_row_counts(spark, sf):
     cfg = _landing_config(spark, sf)
     log = run_medallion(spark, cfg, QUERY_BATCH_ID)
@@ -383,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "run_gold_trade_counts": _run_table("gold", "gold_trade_counts"),
     "run_parquet_source": q_run_parquet_source,
     "run_month_removed": q_run_month_removed,
+    "run_overwritten_by_path": q_run_overwritten_by_path,
 }
 
 
@@ -579,6 +590,7 @@ ORACLE_SQL: dict[str, str] = {
     "run_gold_daily": _run_sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily"),
     "run_gold_summary": _run_sql("SELECT * FROM ranked"),
     "run_parquet_source": f"WITH {_chain(testbed.TRADES_SQL, _RUN_ORDER)}\nSELECT {_cols(GOLD_COLUMNS)} FROM daily",
+    "run_overwritten_by_path": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear < {PRUNED_YEAR}"),
     "run_month_removed": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear < {PRUNED_YEAR}"),
 }
 # The run's reports: the same statements over the run's landing lines.

@@ -1,11 +1,9 @@
 """Small file-system helpers on the driver, through the Hadoop file system of the
-session, so any store that Spark reads works: header lines, small JSON files,
-deletes. Bulk data never passes here."""
+session, so any store that Spark reads works: header lines, renames, deletes. Bulk
+data never passes here."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import SparkSession
 
 
@@ -36,26 +34,26 @@ def first_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def read_json(spark: SparkSession, path: str) -> dict | None:
-    """A small one-line JSON file, or None if there is none."""
+def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
-    return json.loads(first_line(spark, path)) if fs.exists(p) else None
+    return fs.exists(p)
 
 
-def replace_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Write a small JSON file under a new name, then move it over the old one."""
-    jvm = spark._jvm
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder that Spark wrote holds any data file."""
     p, fs = _fs(spark, path)
-    new = jvm.org.apache.hadoop.fs.Path(path + ".new")
-    out = fs.create(new, True)
-    try:
-        out.write(bytearray(json.dumps(value).encode()))
-    finally:
-        out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fs.makeQualified(new), fs.makeQualified(p), options)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, if there is one."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p) and not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be moved to {to}")
 
 
 def delete(spark: SparkSession, path: str) -> None:

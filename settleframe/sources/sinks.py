@@ -1,11 +1,12 @@
-"""Layer-table writers. Each call runs exactly one Spark action.
+"""Layer-table writers. Each call runs exactly one Spark action (one more, without
+rows, for an empty partitioned table).
 
-A table path holds versions: every overwrite writes a folder of its own and then
-moves a small pointer file (which also keeps the schema), so readers see the old
-table or the new one and a failed write leaves the old one in place. The version
-before the current one is kept for readers that still use it, older ones are
-deleted. Transactional formats (Delta and the like) do this themselves and are
-written plainly.
+A table is a plain folder in its format, so any reader opens it by its path. An
+overwrite first writes a folder beside it, out of sight of readers, and then puts it in
+the table's place by two renames: a failed write leaves the old table as it was, and a
+frame may be written over the table that it is read from. Readers that have listed the
+old files and still read them fail then, as with any plain overwrite; formats with a
+log of their own (Delta and the like) spare them, and are written plainly.
 """
 
 from __future__ import annotations
@@ -14,23 +15,12 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from settleframe.sources.files import delete, read_json, replace_json
+from settleframe.sources.files import delete, has_data, move
 
-POINTER = "_current.json"
 TRANSACTIONAL = ("delta", "iceberg", "hudi")
 
 
-def current_version(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[str, T.StructType] | None:
-    """(data folder, schema) of a table's current version; None for plain folders."""
-    if fmt in TRANSACTIONAL:
-        return None
-    base = path.rstrip("/")
-    pointer = read_json(spark, f"{base}/{POINTER}")
-    return None if pointer is None else (f"{base}/{pointer['version']}", T.StructType.fromJson(pointer["schema"]))
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_cols: Sequence[str] | None = None, rebalance: bool = False,
                 max_records_per_file: int | None = None,
@@ -44,8 +34,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     directory gets few files; AQE splits an oversized value over several
     tasks and merges small ones. ``finish`` is applied behind that exchange, in
     the stage that writes (for observations, which a repeated map stage would
-    count twice). An overwrite replaces the whole table, whatever the session's
-    partition overwrite mode; ``append`` adds to the current version.
+    count twice). An overwrite replaces the whole table and its schema, whatever the
+    session's partition overwrite mode; ``append`` adds files to the folder.
     """
     spark, base = df.sparkSession, path.rstrip("/")
     cols = list(partition_cols or [])
@@ -61,32 +51,28 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if fmt in TRANSACTIONAL:
         writer.mode(mode).option("overwriteSchema" if mode == "overwrite" else "mergeSchema", True).save(base)
         return
-    pointer = read_json(spark, f"{base}/{POINTER}")
-    if mode == "append" and pointer is not None:
-        writer.mode("append").save(f"{base}/{pointer['version']}")
+    if mode == "append":
+        writer.mode("append").save(base)
         return
-    version = f"version-{uuid.uuid4().hex[:12]}"
-    writer.mode("errorifexists").save(f"{base}/{version}")
-    # Readers get partition columns behind the others, as a hive-style layout has them.
-    fields = [f for f in df.schema.fields if f.name not in cols] + [df.schema[c] for c in cols]
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-    replace_json(spark, f"{base}/{POINTER}", {"version": version, "before": (pointer or {}).get("version"),
-                                             "schema": nullable.jsonValue()})
-    if pointer and pointer.get("before"):
-        delete(spark, f"{base}/{pointer['before']}")
+    parent, _, name = base.rpartition("/")
+    run = uuid.uuid4().hex[:12]
+    new, old = (f"{parent}/_{name}-{run}-{part}" for part in ("new", "old"))
+    try:
+        writer.mode("errorifexists").save(new)
+        if cols and not has_data(spark, new):   # one empty file keeps the columns
+            spark.createDataFrame([], df.schema).coalesce(1).write.format(fmt).mode("append").save(new)
+        move(spark, base, old)
+        move(spark, new, base)
+    finally:
+        delete(spark, new)
+    delete(spark, old)
+    spark.catalog.refreshByPath(base)
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Catalog entry over a table's current version, its partitions included.
-    Call it again after an overwrite to move the entry to the new version."""
+    """Catalog entry over a table's path, its partitions included: a view, so every
+    query lists the folder anew and no overwrite leaves the entry behind. Register
+    again after the table's columns have changed."""
     if not name.replace("_", "").replace(".", "").isalnum():
         raise ValueError(f"bad table name {name!r}")
-    version = current_version(spark, path, fmt)
-    location = (version[0] if version else path).replace("'", "\\'")
-    known = spark.catalog.tableExists(name)
-    if known and version is not None:
-        spark.sql(f"DROP TABLE {name}")  # external: only the entry goes
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-    spark.catalog.refreshTable(name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{path.rstrip('/')}`")

@@ -13,7 +13,7 @@ from settleframe.config import PipelineConfig
 from settleframe.plans.bronze import accepted, ingest_instruments, quarantined
 from settleframe.plans.medallion import run_medallion
 from settleframe.sources.readers import read_table
-from settleframe.sources.sinks import current_version, register_table, write_table
+from settleframe.sources.sinks import register_table, write_table
 from settleframe.streaming import start_trades_stream
 
 from settlement_rows import INSTRUMENT_ROWS, TRADE_ROWS
@@ -83,8 +83,7 @@ def test_full_run_through_storage(spark, tmp_path):
     assert bronze.filter(F.col("record_status") == "ACCEPTED").select("processing_batch_id").distinct().first()[0] \
         == "batch-1"
     gold_dir = cfgo.table_path("gold", "gold_trade_aggregates")
-    data, _ = current_version(spark, gold_dir)
-    assert sorted(os.listdir(os.path.join(data, "TradeYear=2024")))[:2] == ["TradeMonth=3", "TradeMonth=4"]
+    assert sorted(os.listdir(os.path.join(gold_dir, "TradeYear=2024")))[:2] == ["TradeMonth=3", "TradeMonth=4"]
     gold = read_table(spark, gold_dir)
     assert gold.count() == 4
     summary = read_table(spark, cfgo.table_path("gold", "gold_counterparty_summary"))
@@ -124,7 +123,7 @@ def test_register_table(spark, tmp_path, trades):
     write_table(trades, path)
     register_table(spark, "settleframe_fixture_trades", path)
     assert spark.table("settleframe_fixture_trades").count() == 7
-    spark.sql("DROP TABLE IF EXISTS settleframe_fixture_trades")
+    spark.sql("DROP VIEW settleframe_fixture_trades")
 
 
 def test_incremental_bronze_stream(spark, tmp_path):
@@ -206,10 +205,13 @@ def test_register_partitioned_table_and_new_version(spark, tmp_path):
     write_table(df, path, partition_cols=["month"])
     register_table(spark, name, path)
     assert spark.table(name).count() == 100
-    write_table(df.filter("month < 2"), path, partition_cols=["month"])
-    register_table(spark, name, path)
-    assert {r.month for r in spark.table(name).select("month").distinct().collect()} == {0, 1}
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for months in (2, 1):   # the entry follows every overwrite
+        write_table(df.filter(F.col("month") < months), path, partition_cols=["month"])
+        assert {r.month for r in spark.table(name).select("month").distinct().collect()} == set(range(months))
+        assert spark.read.parquet(path).count() == spark.table(name).count()   # any reader's path
+    plan = spark.table(name).filter("month = 0")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    spark.sql(f"DROP VIEW {name}")
 
 
 def test_overwrite_replaces_all_partitions_in_any_session_mode(spark, tmp_path):
@@ -231,18 +233,33 @@ def test_failed_write_leaves_the_table_in_place(spark, tmp_path):
     broken = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
     with pytest.raises(Exception, match="broken"):
         write_table(broken, path)
-    assert read_table(spark, path).count() == 10
+    assert read_table(spark, path).count() == 10 and os.listdir(tmp_path) == ["t"]
 
 
-def test_old_versions_go_and_appends_stay(spark, tmp_path):
+def test_nothing_is_left_beside_the_table_and_appends_stay(spark, tmp_path):
     path = tmp_path / "t"
     for n in (1, 2, 3, 4):
         write_table(spark.range(n), str(path))
-    assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
+    assert os.listdir(tmp_path) == ["t"]
     write_table(spark.range(5), str(path), mode="append")
     assert read_table(spark, str(path)).count() == 9
 
 
+def test_a_table_can_be_written_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    write_table(read_table(spark, path).filter("id < 4").withColumn("twice", F.col("id") * 2), path)
+    assert [tuple(r) for r in read_table(spark, path).orderBy("id").collect()] == [(i, 2 * i) for i in range(4)]
+
+
+def test_empty_partitioned_table_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(10).select("id", (F.col("id") % 3).alias("month"))
+    write_table(df, path, partition_cols=["month"])
+    write_table(df.filter("id < 0"), path, partition_cols=["month"])
+    assert spark.read.parquet(path).columns == ["id", "month"] and spark.read.parquet(path).count() == 0
+
+
 def test_run_on_empty_landing(spark, tmp_path):
     cfg = _write_landing(tmp_path)
     for f in (tmp_path / "landing").rglob("*.*"):
@@ -366,7 +383,7 @@ def test_strict_quality_run_excludes_rejected_from_gold(spark, tmp_path):
 def test_max_records_per_file(spark, tmp_path):
     path = tmp_path / "capped"
     write_table(spark.range(1000).coalesce(1), str(path), max_records_per_file=300)
-    files = [f for f in os.listdir(current_version(spark, str(path))[0]) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     assert len(files) == 4 and read_table(spark, str(path)).count() == 1000
 
 
