@@ -33,6 +33,7 @@ from settleframe.operators import (
     trade_counts_cube,
 )
 from settleframe.operators.money import exact_sums
+from settleframe.operators.ranking import global_rank
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
@@ -42,7 +43,7 @@ from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQU
 from settleframe.session import scratch_path
 from settleframe.sources import testbed
 from settleframe.sources.files import exists
-from settleframe.sources.readers import read_table
+from settleframe.sources.readers import read_instruments, read_table
 from settleframe.sources.sinks import register_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +118,13 @@ def q_gold_summary_sorted(spark, sf):
     return sorted_summary(counterparty_totals(valid_trades(_silver(spark, sf))))
 
 
+def q_gold_summary_positions(spark, sf):
+    """The presented summary with each row's place in it."""
+    shown = sorted_summary(counterparty_totals(valid_trades(_silver(spark, sf)))).select("Counterparty", "TotalNotional")
+    placed = shown.withColumn("__at", F.monotonically_increasing_id())   # ascends along the sorted parts
+    return global_rank(placed, "__at", "Position", descending=False).select("Counterparty", "TotalNotional", "Position")
+
+
 def q_silver_trades(spark, sf):
     return _silver(spark, sf).select(*SILVER_COLUMNS)
 
@@ -183,6 +191,55 @@ def q_bronze_trades_csv(spark, sf):
         .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source")
 
 
+def q_bronze_csv_headers(spark, sf):
+    """Trades from CSV files whose headers begin with a byte-order mark, are quoted, or
+    have another order and a column more."""
+    landing, trades = scratch_path(spark, "landing-csv-headers"), testbed.trades(spark, sf, with_ingestion_time=False)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    third = F.crc32(F.col("TradeID").cast("binary")) % 3
+    trades.filter(third == 0).withColumnRenamed("TradeID", "\ufeffTradeID").write.options(**options).csv(landing)
+    trades.filter(third == 1).write.mode("append").options(quoteAll=True, **options).csv(landing)
+    trades.filter(third == 2).select(F.lit("x").alias("Desk, or book"), *reversed(trades.columns)).write.mode("append").options(**options).csv(landing)
+    return accepted(ingest_trades(spark, landing, "csv", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID)) \
+        .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source")
+
+
+def q_bronze_instruments_inferred(spark, sf):
+    """Instruments with more columns, their types inferred by name over files of two
+    column orders; some ids are numbers only."""
+    landing, part = scratch_path(spark, "landing-inferred"), spark.read.parquet(f"{sf}/part.parquet")
+    key = F.col("p_partkey")
+    rows = part.select(F.when(key % 3 == 0, F.lpad(key.cast("string"), 12, "0")).otherwise(F.concat(F.lit("P"), key)).alias("InstrumentID"),
+                       F.col("p_name").alias("InstrumentName"), F.col("p_size").alias("LotSize"),
+                       (key * 10_000_000_000).alias("Serial"), F.col("p_retailprice").alias("ListPrice"),
+                       (key % 2 == 0).alias("Listed"), F.lit(None).cast("string").alias("Remark"))
+    rows.filter(key % 2 == 0).write.option("header", True).csv(landing)
+    rows.filter(key % 2 == 1).select(*reversed(rows.columns)).write.mode("append").option("header", True).csv(landing)
+    found = read_instruments(spark, landing, infer_schema=True)
+    kinds = dict(found.dtypes)
+    return found.select(*rows.columns, F.lit(", ".join(f"{c} {kinds[c]}" for c in rows.columns)).alias("Types"))
+
+
+def q_bronze_refusals(spark, sf):
+    """Per landing: rows read, or why the whole landing is refused."""
+    root = scratch_path(spark, "landing-refusals")
+    trades, inst = testbed.trades(spark, sf, with_ingestion_time=False), testbed.instruments(spark, sf)
+    variants = {
+        "trades csv": (trades, "csv", ingest_trades), "trades csv without TradeID": (trades.drop("TradeID"), "csv", ingest_trades),
+        "trades parquet": (trades, "parquet", ingest_trades),
+        "trades parquet without Currency, InstrumentID": (trades.drop("Currency", "InstrumentID"), "parquet", ingest_trades),
+        "instruments csv": (inst, "csv", ingest_instruments), "instruments csv without id": (inst.drop("InstrumentID"), "csv", ingest_instruments),
+    }
+    rows = []
+    for i, (name, (df, fmt, ingest)) in enumerate(variants.items()):
+        df.write.option("header", True).format(fmt).save(f"{root}/{i}")
+        try:
+            rows.append((name, ingest(spark, f"{root}/{i}", fmt).count(), None))
+        except ValueError as e:
+            rows.append((name, None, str(e)))
+    return spark.createDataFrame(rows, "Landing string, RowsRead long, Refusal string")
+
+
 def q_bronze_instruments_validated(spark, sf):
     """Instruments with an id, from Parquet landing files (some ids are null)."""
     landing = scratch_path(spark, "landing-instruments-parquet")
@@ -372,6 +429,10 @@ QUERIES: dict[str, Query] = {
     "bronze_trades_json": q_bronze_trades_json,
     "bronze_trades_csv": q_bronze_trades_csv,
     "bronze_instruments_csv": q_bronze_instruments_csv,
+    "bronze_csv_headers": q_bronze_csv_headers,
+    "bronze_instruments_inferred": q_bronze_instruments_inferred,
+    "bronze_refusals": q_bronze_refusals,
+    "gold_summary_positions": q_gold_summary_positions,
     "bronze_instruments_validated": q_bronze_instruments_validated,
     "silver_instruments": q_silver_instruments,
     "trades_enriched": q_trades_enriched,
@@ -582,6 +643,22 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'gold', 'gold_trade_aggregates', 'rows_written', count(*) FILTER (WHERE DailyNotional IS NOT NULL) FROM groups"),
     "gold_partition_pruned_read": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily WHERE TradeYear = {PRUNED_YEAR}"),
     "gold_summary_sorted": _sql("SELECT * FROM totals ORDER BY TotalNotional DESC NULLS LAST, Counterparty"),
+    "bronze_csv_headers": _sql(
+        f"SELECT {_cols(TRADE_BUSINESS_COLUMNS)}, 'landing_zone_csv' AS ingestion_source FROM bronze"),
+    "bronze_instruments_inferred": (
+        "SELECT CASE WHEN p_partkey % 3 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 12, '0') ELSE concat('P', p_partkey) END AS InstrumentID, "
+        "p_name AS InstrumentName, p_size AS LotSize, p_partkey * 10000000000 AS Serial, p_retailprice AS ListPrice, "
+        "p_partkey % 2 = 0 AS Listed, CAST(NULL AS VARCHAR) AS Remark, "
+        "'InstrumentID string, InstrumentName string, LotSize int, Serial bigint, ListPrice double, Listed boolean, Remark string' AS Types FROM part"),
+    "bronze_refusals": _sql(
+        "SELECT 'trades csv' AS Landing, count(*) AS RowsRead, CAST(NULL AS VARCHAR) AS Refusal FROM trades "
+        "UNION ALL SELECT 'trades parquet', count(*), NULL FROM trades "
+        "UNION ALL SELECT 'instruments csv', count(*), NULL FROM instruments "
+        "UNION ALL VALUES ('trades csv without TradeID', NULL, 'required field(s) [''TradeID''] missing from trades data'), "
+        "('trades parquet without Currency, InstrumentID', NULL, 'required field(s) [''InstrumentID'', ''Currency''] missing from trades data'), "
+        "('instruments csv without id', NULL, 'instrument identifier field missing from instruments data')"),
+    "gold_summary_positions": _sql(
+        "SELECT Counterparty, TotalNotional, CAST(row_number() OVER (ORDER BY TotalNotional DESC NULLS LAST, Counterparty) AS INTEGER) AS Position FROM totals"),
     "bronze_trades_csv": _sql(
         f"SELECT {_cols(TRADE_BUSINESS_COLUMNS)}, 'landing_zone_csv' AS ingestion_source FROM bronze"),
     "bronze_instruments_validated": _sql(

@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from settleframe.schemas import CORRUPT_COLUMN
+from settleframe.schemas import CORRUPT_COLUMN, PROBLEM_COLUMN
 
 ACCEPTED = "ACCEPTED"
 MALFORMED = "MALFORMED"
@@ -51,7 +51,8 @@ def classify_records(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """Add ``record_status`` and ``reject_reason``.
 
     * MALFORMED: the reader kept raw text in ``_corrupt_record`` and the row
-      lacks a required field (typically an unparseable line).
+      lacks a required field (an unparseable line, or a file whose header cannot be
+      used; the reason says which).
     * MISSING_REQUIRED: a parsed row with a null required field.
     * ACCEPTED: every required field present. A field whose value did not fit
       its type is null, as in a plain PERMISSIVE read; the raw text stays in
@@ -64,9 +65,10 @@ def classify_records(df: DataFrame, required: Iterable[str]) -> DataFrame:
     status = (F.when(incomplete & corrupt, F.lit(MALFORMED))
               .when(incomplete, F.lit(MISSING_REQUIRED))
               .otherwise(F.lit(ACCEPTED)))
-    reason = (F.when(incomplete & corrupt, F.lit("unparseable record"))
+    problem = F.coalesce(F.col(PROBLEM_COLUMN), F.lit("unparseable record")) if PROBLEM_COLUMN in df.columns else F.lit("unparseable record")
+    reason = (F.when(incomplete & corrupt, problem)
               .when(incomplete, F.concat(F.lit("null required field(s): "), missing)))
-    return df.withColumns({"record_status": status, "reject_reason": reason})
+    return df.withColumns({"record_status": status, "reject_reason": reason}).drop(PROBLEM_COLUMN)
 
 
 def drop_missing(df: DataFrame, required: Iterable[str]) -> DataFrame:

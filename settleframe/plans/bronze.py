@@ -21,7 +21,7 @@ from settleframe.operators.validation import (
     rename_alias,
     require_columns,
 )
-from settleframe.schemas import CORRUPT_COLUMN, INSTRUMENT_FIELDS, TRADE_REQUIRED
+from settleframe.schemas import CORRUPT_COLUMN, INSTRUMENT_FIELDS, PROBLEM_COLUMN, TRADE_REQUIRED
 from settleframe.sources.readers import read_instruments, read_table, read_trades
 from settleframe.sources.sinks import write_table
 
@@ -53,7 +53,9 @@ def ingest_instruments(spark: SparkSession, path: str, fmt: str = "csv", infer_s
                        ingested_at: Column | None = None) -> DataFrame:
     raw = read_instruments(spark, path, fmt, infer_schema)
     if "InstrumentID" not in raw.columns and "instrument_id" not in raw.columns:
-        raise ValueError("instrument identifier field missing from instruments data")
+        if PROBLEM_COLUMN not in raw.columns:
+            raise ValueError("instrument identifier field missing from instruments data")
+        raw = raw.withColumn("InstrumentID", F.lit(None).cast("string"))   # all of it goes to quarantine
     df = rename_alias(raw, "instrument_id", "InstrumentID")
     df = df.withColumns({c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
                          for c in INSTRUMENT_FIELDS if infer_schema and c == "InstrumentID" or c not in df.columns})

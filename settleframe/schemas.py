@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+PROBLEM_COLUMN = "_file_problem"   # why a file's rows could not be read
 
 # Landing trade schema (column names and types as published by
 # the source system), instrument header columns.

@@ -1,6 +1,5 @@
 """Small file-system helpers on the driver, through the Hadoop file system of the
-session, so any store that Spark reads works: header lines, renames, deletes. Bulk
-data never passes here."""
+session, so any store that Spark reads works: renames and deletes."""
 
 from __future__ import annotations
 
@@ -13,27 +12,6 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-_BLANK = "".join(map(chr, range(33)))   # what Spark's CSV reader trims to tell a blank line
-
-
-def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file that is not blank ('' if there is none),
-    decompressed by its extension."""
-    jvm = spark._jvm
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
-        source = codec.createInputStream(stream) if codec is not None else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        while (line := reader.readLine()) is not None and not line.strip(_BLANK):
-            pass
-        return line or ""
-    finally:
-        stream.close()
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return fs.exists(p)

@@ -404,3 +404,51 @@ def test_csv_files_that_begin_with_blank_lines(spark, tmp_path):
     (i / "a.csv").write_text("\nInstrumentID,InstrumentType\nA1,Bond\n")
     (i / "b.csv").write_text("\n\nInstrumentType,instrument_id\nShare,B1\n")
     assert {(r.InstrumentID, r.InstrumentType) for r in read_instruments(spark, str(i)).collect()} == {("A1", "Bond"), ("B1", "Share")}
+
+
+def test_csv_headers_that_cannot_be_used_send_the_file_to_quarantine(spark, tmp_path):
+    from settleframe.plans.bronze import ingest_trades
+
+    d = tmp_path / "c s v"
+    d.mkdir()
+    (d / "a b.csv").write_text("\ufeffTradeID,InstrumentID,Currency\nT1,I1,usd\n", encoding="utf-8")
+    (d / "quoted.csv").write_text('"TradeID","Desk, or book","InstrumentID",,"Currency"\nT2,x,I2,y,"eur"\n')
+    (d / "twice.csv").write_text("TradeID,InstrumentID,TradeID,Currency\nT3,I3,T4,gbp\n")
+    (d / "broken.csv").write_text('"Trade\nID",InstrumentID,Currency\nT5,I5,chf\n')
+    rows = ingest_trades(spark, str(d), "csv", batch_id="b").collect()
+    good = {r.TradeID: (r.InstrumentID, r.Currency) for r in rows if r.record_status == "ACCEPTED"}
+    assert good == {"T1": ("I1", "usd"), "T2": ("I2", "eur")}
+    bad = {(r._corrupt_record, r.reject_reason) for r in rows if r.record_status == "MALFORMED"}
+    assert {b for b, _ in bad if "T3" in b or "T5" in b} == {"T3,I3,T4,gbp", "T5,I5,chf"}
+    assert {p for _, p in bad} == {"header names TradeID twice", "header goes on behind a line break"} and len(bad) == 5
+    (d / "a b.csv").write_text("InstrumentID,InstrumentID\nI1,I1\n")
+    for f in ("quoted.csv", "broken.csv", "twice.csv"):
+        (d / f).write_text("")
+    found = ingest_instruments(spark, str(d)).collect()
+    assert {(r.record_status, r.reject_reason) for r in found} == {("MALFORMED", "header names InstrumentID twice")} and len(found) == 2
+
+
+def test_inference_goes_by_name(spark, tmp_path):
+    from settleframe.sources.readers import read_instruments
+
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_text("InstrumentID,Lot,Price,Live,Since,Big\n001,5,1.5,true,2024-01-02 03:04:05,9999999999\n")
+    (d / "b.csv").write_text("Since,Live,InstrumentID,Price,Big,Lot\n2024-02-03 00:00:00,false,A1,2,1,7\n")
+    df = read_instruments(spark, str(d), infer_schema=True)
+    kinds = dict(df.dtypes)
+    assert [kinds[c] for c in ("InstrumentID", "Lot", "Price", "Live", "Since", "Big")] == ["string", "int", "double", "boolean", "timestamp", "bigint"]
+    assert {(r.InstrumentID, r.Lot, r.Price, r.Live) for r in df.collect()} == {("001", 5, 1.5, True), ("A1", 7, 2.0, False)}
+
+
+def test_landing_without_a_required_column_is_refused(spark, tmp_path, trades):
+    from settleframe.plans.bronze import ingest_trades
+
+    trades.drop("TradeID").write.parquet(str(tmp_path / "p"))
+    trades.drop("Currency").write.option("header", True).csv(str(tmp_path / "c"))
+    for fmt, column in (("parquet", "TradeID"), ("csv", "Currency")):
+        with pytest.raises(ValueError, match=column):
+            ingest_trades(spark, str(tmp_path / fmt[0]), fmt)
+    with pytest.raises(ValueError, match="identifier"):
+        (tmp_path / "i.csv").write_text("Name\nx\n")
+        ingest_instruments(spark, str(tmp_path / "i.csv"))
