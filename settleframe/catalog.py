@@ -20,20 +20,24 @@ from settleframe.operators import (
     apply_rules,
     classify_records,
     convert_to_usd,
+    convert_to_usd_as_of,
     counterparty_totals,
     daily_metrics,
+    daily_sketches,
     daily_usd_notional,
     drop_missing,
     enrich_trades,
     latest_instruments,
     orphan_trades,
     period_rollup,
+    period_statistics,
     running_total,
     top_ranked,
     trade_counts_cube,
 )
 from settleframe.operators.money import exact_sums
 from settleframe.operators.ranking import global_rank
+from settleframe.operators.sketches import RANK_ERROR
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
@@ -51,6 +55,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Demonstration FX rates to USD (a caller-supplied parameter
 # table; currencies without a row stay unconverted).
 DEMO_USD_RATES = [("USD", 1.0), ("EUR", 1.0842), ("GBP", 1.271634875), ("JPY", 0.0000671345)]
+DEMO_DATED_RATES = [
+    ("usd", "1990-01-01", 1.0), ("EUR", "1992-06-30", 1.1), ("EUR", "1995-01-02", 1.0842), ("EUR", "1997-07-01", 1.123456789),
+    ("GBP", "1993-03-15", 1.5), ("GBP", "1996-02-29", 1.271634875), ("JPY", "1994-12-31", 0.0000671345), ("JPY", "1998-08-01", 0.0071),
+]
 TOP_COUNTERPARTIES = 3
 PRUNED_YEAR = 1998
 QUERY_BATCH_ID = "batch-query"
@@ -291,6 +299,29 @@ def q_gold_notional_usd_fx(spark, sf):
     return daily_usd_notional(convert_to_usd(valid_trades(_silver(spark, sf)), rates))
 
 
+def q_gold_notional_usd_as_of(spark, sf):
+    rates = spark.createDataFrame(DEMO_DATED_RATES, "Currency string, RateDate string, Rate double")
+    return daily_usd_notional(convert_to_usd_as_of(valid_trades(_silver(spark, sf)), rates))
+
+
+def q_gold_period_statistics(spark, sf):
+    """Distinct counts and sizes of periods from stored daily sketches. Quantiles are
+    checked against the trades: whether their ranks lie within the stated error."""
+    path = scratch_path(spark, "daily-sketches")
+    trades = valid_trades(_silver(spark, sf))
+    daily_sketches(trades).write.parquet(path)
+    found = period_statistics(spark.read.parquet(path)).filter("PeriodLevel = 'YEAR'")
+    year = F.year("TradeDateYYYYMMDD").alias("y")
+    sizes = trades.select(F.col("Counterparty").alias("cp"), year, "Notional").filter("Notional is not null")
+    same = found["Counterparty"].eqNullSafe(sizes["cp"]) & found["TradeYear"].eqNullSafe(sizes["y"])
+    keys = ["Counterparty", "TradeYear", "UniqueInstruments", "UniqueCurrencies", "PricedTrades"]
+    ranks = found.join(sizes, same, "left").groupBy(*keys).agg(*(
+        F.avg((F.col("Notional") < F.col(c)).cast("double")).alias(f"{c}_lo") for c in ("MedianTradeSize", "TradeSize95")), *(
+        F.avg((F.col("Notional") <= F.col(c)).cast("double")).alias(f"{c}_hi") for c in ("MedianTradeSize", "TradeSize95")))
+    within = lambda c, q: F.coalesce((F.col(f"{c}_lo") <= q + RANK_ERROR) & (F.col(f"{c}_hi") >= q - RANK_ERROR), F.lit(True))
+    return ranks.select(*keys, within("MedianTradeSize", 0.5).alias("MedianWithin"), within("TradeSize95", 0.95).alias("TopWithin"))
+
+
 def q_gold_exact_totals(spark, sf):
     """Sums far above and far below the usual amounts, per counterparty."""
     trades = valid_trades(_silver(spark, sf)).withColumns({"Huge": F.col("Notional") * 1e14, "Tiny": F.col("Notional") * 1e-19})
@@ -442,6 +473,8 @@ QUERIES: dict[str, Query] = {
     "gold_running_notional": q_gold_running_notional,
     "gold_notional_usd_fx": q_gold_notional_usd_fx,
     "gold_exact_totals": q_gold_exact_totals,
+    "gold_notional_usd_as_of": q_gold_notional_usd_as_of,
+    "gold_period_statistics": q_gold_period_statistics,
     "gold_trade_counts_cube": q_gold_trade_counts_cube,
     "layer_row_counts": q_layer_row_counts,
     "gold_partition_pruned_read": q_gold_partition_pruned_read,
@@ -547,6 +580,8 @@ _RULE_NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN {p} THEN '{n}' END" for
 _RULE_COUNT = "CAST(" + " + ".join(f"(CASE WHEN {p} THEN 1 ELSE 0 END)" for _, p in _RULES) + " AS INTEGER)"
 _RATES = "(VALUES " + ", ".join(f"('{c}', {r})" for c, r in DEMO_USD_RATES) + ") AS r(Currency, Rate)"
 
+_DATED = "(VALUES " + ", ".join(f"('{c.upper()}', DATE '{d}', {r})" for c, d, r in DEMO_DATED_RATES) + ") AS r(Currency, RateDate, Rate)"
+
 ORACLE_SQL: dict[str, str] = {
     "gold_trade_aggregates": _sql(f"SELECT {_cols(GOLD_COLUMNS)} FROM daily"),
     "gold_daily_notional": _sql(f"SELECT {_cols(DAILY_COLUMNS)} FROM groups WHERE DailyNotional IS NOT NULL"),
@@ -611,6 +646,18 @@ ORACLE_SQL: dict[str, str] = {
         "FROM (SELECT v.*, CAST(CAST(round(CAST(CAST(v.Notional AS VARCHAR) AS DECIMAL(24,9)) * CAST(r.Rate AS DECIMAL(14,12)), 2) "
         f"AS VARCHAR) AS DOUBLE) AS NotionalUSD FROM valid v LEFT JOIN {_RATES} ON v.Currency = r.Currency) "
         "GROUP BY Counterparty, TradeDateYYYYMMDD"),
+    "gold_notional_usd_as_of": _sql(
+        "SELECT Counterparty, TradeDateYYYYMMDD, "
+        f"{_MONEY.format(c='NotionalUSD')} AS NotionalUSD, "
+        "count(*) FILTER (WHERE Notional IS NOT NULL AND NotionalUSD IS NULL) AS UnpricedTrades "
+        "FROM (SELECT v.*, CAST(CAST(round(CAST(CAST(v.Notional AS VARCHAR) AS DECIMAL(24,9)) * "
+        f"(SELECT CAST(r.Rate AS DECIMAL(14,12)) FROM {_DATED} WHERE r.Currency = v.Currency AND r.RateDate = "
+        f"(SELECT max(q.RateDate) FROM {_DATED.replace('AS r(', 'AS q(')} WHERE q.Currency = v.Currency AND q.RateDate <= v.TradeDateYYYYMMDD)), 2) "
+        "AS VARCHAR) AS DOUBLE) AS NotionalUSD FROM valid v) GROUP BY Counterparty, TradeDateYYYYMMDD"),
+    "gold_period_statistics": _sql(
+        "SELECT Counterparty, CAST(year(TradeDateYYYYMMDD) AS INTEGER) AS TradeYear, count(DISTINCT InstrumentID) AS UniqueInstruments, "
+        "count(DISTINCT Currency) AS UniqueCurrencies, count(Notional) AS PricedTrades, true AS MedianWithin, true AS TopWithin "
+        "FROM valid GROUP BY Counterparty, year(TradeDateYYYYMMDD)"),
     "gold_exact_totals": _sql(
         f"SELECT Counterparty, {_WIDE_MONEY.format(c='Notional * 1e14', places=2)} AS HugeTotal, "
         f"""{_WIDE_MONEY.format(c="CASE WHEN Currency = 'USD' THEN Notional * 1e14 END", places=2)} AS HugeUSD, """

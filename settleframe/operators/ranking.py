@@ -16,7 +16,7 @@ nulls last) without that funnel:
    a broadcast only when the runtime size allows it, and splits a hot value's
    partition with its skew-join handling.
 
-``top_ranked`` is the top-k report: the rows of that rank up to ``n``, ties kept.
+``top_ranked`` is the top-k report. It needs none of this: a heap per task.
 """
 
 from __future__ import annotations
@@ -68,9 +68,16 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", descendin
     return base.join(ranks, base[order_col].eqNullSafe(ranks[key])).drop(key)
 
 
-def top_ranked(df: DataFrame, order_col: str, n: int, rank_col: str = "rank",
-               descending: bool = True, **options) -> DataFrame:
-    """Rows whose ``rank()`` is at most ``n``; ties at the boundary are kept."""
+def top_ranked(df: DataFrame, order_col: str, n: int, rank_col: str = "rank", descending: bool = True) -> DataFrame:
+    """Rows whose ``rank()`` is at most ``n``; ties at the boundary are kept.
+
+    Every task keeps its best ``n`` values on a heap, the best of those are at most ``n``
+    rows, and their ranks among themselves are those among all, as every better row is
+    one of them. Joining them back on the value (a broadcast of ``n`` rows) keeps
+    all ties, however many. Nothing is ranked or sorted as a whole."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    return global_rank(df, order_col, rank_col, descending, **options).filter(F.col(rank_col) <= n)
+    order = _order("__key", descending)
+    best = df.select(F.col(order_col).alias("__key")).orderBy(order).limit(n)
+    ranks = best.select("__key", F.rank().over(Window.orderBy(order)).alias(rank_col)).distinct()
+    return df.join(F.broadcast(ranks), df[order_col].eqNullSafe(ranks["__key"])).drop("__key")
