@@ -20,8 +20,10 @@ Large groups are never expanded into all pairs:
   is lost; only pairs already connected are left out.
 
 Rows that travel are (token, set id, size, position) for tokens that occur in at
-least two sets (a Bloom filter drops the rest where they arise); whole sets only
-of documents that share such a token.
+least two sets (a Bloom filter drops the rest where they arise). Sets that share such
+a token are stored where they arise, with a signature of some bits for each token: the
+bits in which two signatures differ are a lower bound of the sets' difference, so
+most candidates fall by their signatures, and whole sets travel only for the others.
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing: their component is their own id. Repeated rows are equal sets; null ids
@@ -56,6 +58,7 @@ ORDERS = 3
 STAR_ROUNDS = 2
 CELL_BITS = 22             # count table: 2**22 cells of one byte, whatever the corpus
 SEGMENT = 1 << 16
+SIGNATURE_BITS = 1 << 17   # longest signature of a set; those of larger sets still tell, less sharply
 _FACTORS = seeds(64, 11)
 
 
@@ -180,14 +183,25 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int, seed: int) -> Iter
             yield sid, tokens
 
 
-_INDEX = "kind int, token long, sid long, n int, at int, filters array<array<int>>"
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """One bit per bucket of tokens, four to eight buckets a token. Where two
+    signatures differ, a token of one set is not in the other, so their differing bits
+    never exceed the sets' difference."""
+    size = min(max(1 << (4 * len(tokens) - 1).bit_length(), 64), SIGNATURE_BITS)
+    bits = np.zeros(size, np.uint8)
+    bits[(mix(tokens ^ _FACTORS[63]) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+_INDEX = "kind int, token long, sid long, n int, at int, filters array<array<int>>, signature array<long>, tokens array<long>"
 
 
 def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0, bits: int = 0, wanted: Broadcast | None = None):
     """Rows of kind 0: (token, sid, n, at) of the first order's prefixes, with a
     filter only tokens that may be in it. With ``orders``, a row of kind 1 for each
-    set that has such a token: (sid, n, 32-bit prefixes under the other orders)."""
-    names, short = ["kind", "token", "sid", "n", "at", "filters"], pa.list_(pa.list_(pa.int32()))
+    set that has such a token: (sid, n, 32-bit prefixes under the other orders,
+    signature, tokens)."""
+    names, short, long = ["kind", "token", "sid", "n", "at", "filters", "signature", "tokens"], pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, out, rows, held = levels.value, [], [], 0
@@ -196,12 +210,14 @@ def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0
             if out:
                 columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                 n = len(columns[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *map(pa.array, columns), pa.nulls(n, short)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *map(pa.array, columns), pa.nulls(n, short),
+                                                  pa.nulls(n, long), pa.nulls(n, long)], names)
             if rows:
-                sid, n, filters = zip(*rows, strict=True)
+                sid, n, filters, signatures, tokens = zip(*rows, strict=True)
                 none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(rows), np.int32)), none[0], pa.array(sid, pa.int64()),
-                                                  pa.array(n, pa.int32()), none[1], pa.array(filters, short)], names)
+                                                  pa.array(n, pa.int32()), none[1], pa.array(filters, short),
+                                                  pa.array(signatures, long), pa.array(tokens, long)], names)
             out.clear()
             rows.clear()
 
@@ -216,7 +232,8 @@ def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0
             out.append((prefix.view(np.int64), np.full(len(prefix), sid, np.int64), np.full(len(prefix), len(tokens), np.int32), at))
             if orders:
                 rows.append((sid, len(tokens), [np.sort((tokens[_first(tokens, table, o, p)] >> np.uint64(8)).astype(np.uint32).view(np.int32))
-                                                for o in range(1, orders)]))
+                                                for o in range(1, orders)], signature(tokens), tokens.view(np.int64)))
+                held += len(tokens)
             held += p * max(1, orders)
             if held > 200_000:
                 yield from flush()
@@ -225,29 +242,6 @@ def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0
     return run
 
 
-def _set_rows(k: int, seed: int, bits: int, wanted: Broadcast):
-    """Rows (sid, n, tokens): whole sets that may be in a filter of set ids."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, held = [], 0
-
-        def flush() -> pa.RecordBatch:
-            sid, n, tokens = zip(*out, strict=True)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
-                                              ["sid", "n", "tokens"])
-
-        for sid, tokens in _distinct_sets(batches, k, seed):
-            if _member(np.array([sid], np.int64).view(np.uint64), bits, wanted.value)[0]:
-                out.append((sid, len(tokens), tokens.view(np.int64)))
-                held += len(tokens)
-                if held > 100_000:
-                    yield flush()
-                    held = 0
-        if out:
-            yield flush()
-    return run
-
-
 def _stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{label}")
     schema = df.schema
@@ -298,12 +292,26 @@ def _candidates(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
             .select("x", "y"))
 
 
+def _near(found: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Stored candidate pairs whose signatures do not differ in more bits than the
+    difference of two linked sets of their sizes allows."""
+    def folded(a: str, b: str) -> Column:
+        """The signature ``a``, as long as ``b`` or shorter: sizes of sets that can be
+        linked, and so their signatures, are at most a doubling apart."""
+        half = (F.size(a) / 2).cast("int")
+        return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseOR(y))).otherwise(F.col(a))
+
+    differ = F.aggregate(F.zip_with(folded("x_signature", "y_signature"), folded("y_signature", "x_signature"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, c: acc + c)
+    return (found.join(_side(signatures, "y"), "y").join(_side(signatures, "x"), "x")
+            .filter(differ * (100 + percent) <= (F.col("x_n") + F.col("y_n")) * (100 - percent)).select("x", "y"))
+
+
 def _verified(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among stored candidate pairs, by the sets themselves. A Bloom filter
     of the candidates keeps all other sets from being shuffled."""
-    ids = found.select(F.explode(F.array("x", "y")).alias("sid"))
+    ids = found.select("x").unionAll(found.select("y")).toDF("sid")
     bloom = BloomFilter.build(ids, "sid", 2 * found.count())
-    needed = sets.filter(bloom.member(F.col("sid")))
+    needed = sets.filter(bloom.member(F.col("sid"))).groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))   # equal for equal ids
     return (found.join(_side(needed, "y"), "y").join(_side(needed, "x"), "x")
             .filter(_enough(F.size(F.array_intersect("x_tokens", "y_tokens")), F.col("x_n"), F.col("y_n"), percent))
             .select(F.col("x").alias("u"), F.col("y").alias("v")))
@@ -339,24 +347,28 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     index = (both.filter("kind = 0").select("token", "sid", "n", "at")
              .join(shared, "token", "left_semi").distinct())
     index = _stored(index, "index")
-    short = _stored(both.filter("kind = 1").select("sid", "n", "filters").groupBy("sid").agg(
-        F.first("n").alias("n"), F.first("filters").alias("filters")), "short")   # equal for equal ids
+    described = both.filter("kind = 1")
+    once = lambda *c: described.groupBy("sid").agg(*(F.first(x).alias(x) for x in ("n", *c)))  # noqa: E731  equal for equal ids
+    short, signatures = _stored(once("filters"), "short"), _stored(once("signature"), "signatures")
+    sets = described.select("sid", "n", "tokens")
 
     labels = spark.createDataFrame([], "u long, v long")
-    links = sets = None
+    links = None
     for r in range(rounds + 1):
         # Groups still in several components.
         state = index.join(labels, index["sid"] == labels["u"], "left").select(
             "token", "sid", "n", "at", F.coalesce("v", "sid").alias("component"))
-        leader = F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), "sid", "component"))
+        leader = F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), "sid", "component", "n"))
         open_groups = (state.groupBy("token").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"), F.count(F.lit(1)).alias("members"))
-            .filter("lo != hi").select("token", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_component"), "members"))
+            F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"))
+            .filter("lo != hi").select("token", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_component"),
+                                       F.col("lead.n").alias("lead_n")))
         open_groups = _stored(open_groups, "open")
         if open_groups.isEmpty():
             break
         if r < rounds:
             pairs = (state.join(open_groups, "token").filter("component != lead_component")
+                     .filter(_enough(F.least("n", "lead_n"), F.col("n"), F.col("lead_n"), percent))
                      .select(F.least("sid", "lead").alias("x"), F.greatest("sid", "lead").alias("y")))
         else:
             rest = _stored(state.join(open_groups.select("token"), "token", "left_semi"), "rest")
@@ -367,14 +379,7 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                             & _enough(bound, F.col("a.n"), F.col("b.n"), percent))
                      .select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")))
         found = _stored(_candidates(pairs.distinct(), short, percent), "candidates")
-        if sets is None:
-            # Whole sets of those that may still be compared: candidates of the first
-            # round, and members of groups that hold more than the one pair it tests.
-            more = state.join(open_groups.filter("members > 2"), "token", "left_semi").select("sid") if rounds else state.select("sid")
-            ids = _stored(found.select(F.explode(F.array("x", "y")).alias("sid")).unionByName(more).distinct(), "ids")
-            bloom = BloomFilter.build(ids, "sid", ids.count())
-            sets = slim.mapInArrow(_set_rows(shingle, seed, bloom.bits, bloom.seen), "sid long, n int, tokens array<long>")
-            sets = _stored(sets.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "sets")
+        found = _stored(_near(found, signatures, percent), "near")
         new = _stored(_verified(found, sets, percent), "links")
         links = new if links is None else links.unionByName(new)
         labels = components(links)

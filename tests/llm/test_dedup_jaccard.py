@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from settleframe.llm import exact_dedup, jaccard_join
 from settleframe.llm.bloom import SEGMENT_BITS, BloomFilter
@@ -165,3 +166,35 @@ def test_components(spark):
     got = {r.u: r.v for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {i: find(i) for i in range(200) if find(i) != i}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_signatures_bound_the_difference():
+    """Differing bits never exceed the difference of two sets, also folded to the shorter one."""
+    rng = np.random.default_rng(3)
+    for n, m, common in [(1, 1, 0), (3, 4, 3), (100, 120, 90), (900, 1100, 800), (40_000, 45_000, 39_000)]:
+        pool = rng.integers(0, 2**63, n + m, dtype=np.int64).astype(np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:common], pool[n:n + m - common]]))
+        x, y = (np.unpackbits(jaccard_join.signature(s).view(np.uint8), bitorder="little") for s in (a, b))
+        size = min(len(x), len(y))
+        x, y = (s.reshape(-1, size).max(axis=0) for s in (x, y))
+        assert (x != y).sum() <= len(np.setxor1d(a, b))
+        assert not (jaccard_join.signature(a) != jaccard_join.signature(a[::-1])).any()
+
+
+def test_near_keeps_every_link_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    rows, linked = [], set()
+    for i in range(60):
+        n = int(rng.integers(1, 3000))
+        base = np.unique(rng.integers(0, 2**63, n, dtype=np.int64))
+        other = np.unique(np.concatenate([base[: int(len(base) * rng.uniform(0.5, 1))], rng.integers(0, 2**63, int(rng.integers(0, n // 4 + 1)), dtype=np.int64)]))
+        both = len(np.intersect1d(base, other))
+        if 100 * both >= 85 * (len(base) + len(other) - both):
+            linked.add((2 * i, 2 * i + 1))
+        rows += [(2 * i + k, len(s), jaccard_join.signature(s.view(np.uint64)).tolist()) for k, s in ((0, base), (1, other))]
+    signatures = spark.createDataFrame(rows, "sid long, n int, signature array<long>")
+    found = spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(60)], "x long, y long")
+    sizes = {r[0]: r[1] for r in rows}
+    found = found.filter(F.col("x").isin([x for x in range(0, 120, 2) if 100 * min(sizes[x], sizes[x + 1]) >= 85 * max(sizes[x], sizes[x + 1])]))
+    kept = {(r.x, r.y) for r in jaccard_join._near(found, signatures, 85).collect()}
+    assert linked <= kept and len(linked) > 5
