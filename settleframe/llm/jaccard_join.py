@@ -14,8 +14,9 @@ Large groups are never expanded into all pairs:
 * in each index token's group every member is compared with one leader only, the
   links are contracted into components, and groups that have become one
   component are done;
-* this is repeated with other leaders, and what is left, members of a
-  group in different components, is joined pair by pair with the size and
+* this is repeated with other leaders, some at a time, so that a large group whose
+  members are just about similar grows together at a cost in proportion to it;
+* what is left, members of a group in different components, is joined pair by pair with the size and
   position bounds in the join condition. So no link that could join two components
   is lost; only pairs already connected are left out.
 
@@ -55,7 +56,7 @@ from settleframe.session import scratch_path
 SHINGLE = 4
 PERCENT = 85
 ORDERS = 3
-STAR_ROUNDS = 2
+LEADERS = (1, 16)         # of a group, round by round, with which its members are compared
 CELL_BITS = 22             # count table: 2**22 cells of one byte, whatever the corpus
 SEGMENT = 1 << 16
 SIGNATURE_BITS = 1 << 17   # longest signature of a set; those of larger sets still tell, less sharply
@@ -318,7 +319,7 @@ def _verified(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS,
-                 rounds: int = STAR_ROUNDS, text_col: str = "text", id_col: str = "doc_id", seed: int = 0) -> JaccardJoin:
+                 leaders: tuple[int, ...] = LEADERS, text_col: str = "text", id_col: str = "doc_id", seed: int = 0) -> JaccardJoin:
     """Sets, links and components of the documents."""
     spark: SparkSession = docs.sparkSession
     ship(spark)
@@ -354,22 +355,23 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     labels = spark.createDataFrame([], "u long, v long")
     links = None
-    for r in range(rounds + 1):
+    for r in range(len(leaders) + 1):
         # Groups still in several components.
         state = index.join(labels, index["sid"] == labels["u"], "left").select(
             "token", "sid", "n", "at", F.coalesce("v", "sid").alias("component"))
+        several = leaders[r] if r < len(leaders) else 1
+        part = F.pmod(F.xxhash64(F.lit(r), F.lit("part"), "sid"), F.lit(several))
         leader = F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), "sid", "component", "n"))
-        open_groups = (state.groupBy("token").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"))
-            .filter("lo != hi").select("token", F.col("lead.sid").alias("lead"), F.col("lead.component").alias("lead_component"),
-                                       F.col("lead.n").alias("lead_n")))
+        open_groups = (state.groupBy("token", part.alias("part")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"))
+                       .groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("lead").alias("leads"))
+                       .filter("lo != hi").select("token", "leads"))
         open_groups = _stored(open_groups, "open")
         if open_groups.isEmpty():
             break
-        if r < rounds:
-            pairs = (state.join(open_groups, "token").filter("component != lead_component")
-                     .filter(_enough(F.least("n", "lead_n"), F.col("n"), F.col("lead_n"), percent))
-                     .select(F.least("sid", "lead").alias("x"), F.greatest("sid", "lead").alias("y")))
+        if r < len(leaders):
+            pairs = (state.join(open_groups, "token").withColumn("lead", F.explode("leads"))
+                     .filter((F.col("component") != F.col("lead.component")) & _enough(F.least("n", "lead.n"), F.col("n"), F.col("lead.n"), percent))
+                     .select(F.least("sid", "lead.sid").alias("x"), F.greatest("sid", "lead.sid").alias("y")))
         else:
             rest = _stored(state.join(open_groups.select("token"), "token", "left_semi"), "rest")
             a, b = rest.alias("a"), rest.alias("b")
