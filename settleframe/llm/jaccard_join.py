@@ -17,8 +17,9 @@ Large groups are never expanded into all pairs:
 * this is repeated with other leaders, some at a time, so that a large group whose
   members are just about similar grows together at a cost in proportion to it;
 * what is left, members of a group in different components, is joined pair by pair with the size and
-  position bounds in the join condition. So no link that could join two components
-  is lost; only pairs already connected are left out.
+  position bounds in the join condition, each pair at the first token that both sets have rather
+  than at every one. So no link that could join two components is lost; only pairs
+  already connected are left out.
 
 Rows that travel are (token, set id, size, position) for tokens that occur in at
 least two sets (a Bloom filter drops the rest where they arise). Sets that share such
@@ -57,6 +58,7 @@ SHINGLE = 4
 PERCENT = 85
 ORDERS = 3
 LEADERS = (1, 16)         # of a group, round by round, with which its members are compared
+BEFORE = 8                # tokens in front of a token by which a pair is known to have met before
 CELL_BITS = 22             # count table: 2**22 cells of one byte, whatever the corpus
 SEGMENT = 1 << 16
 SIGNATURE_BITS = 1 << 17   # longest signature of a set; those of larger sets still tell, less sharply
@@ -166,8 +168,8 @@ def _levels(sketch: DataFrame) -> np.ndarray:
 def _first(tokens: np.ndarray, levels: np.ndarray, order: int, p: int) -> np.ndarray:
     """Places of the first ``p`` tokens under an order, in that order."""
     keys = order_keys(tokens, levels, order)
-    first = np.argpartition(keys, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
-    return first[np.argsort(keys[first])]
+    first = np.sort(np.argpartition(keys, p - 1)[:p]) if p < len(tokens) else np.arange(len(tokens))
+    return first[np.argsort(keys[first], kind="stable")]
 
 
 def _member(values: np.ndarray, bits: int, bitmap: np.ndarray) -> np.ndarray:
@@ -318,6 +320,27 @@ def _verified(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select(F.col("x").alias("u"), F.col("y").alias("v")))
 
 
+def _preceded(rows: DataFrame) -> DataFrame:
+    """With ``before``: the ``BEFORE`` tokens in front of each in its set's prefix. Two
+    rows of a token that share one of them have met at that token already, so their
+    pair need not be made again; at the first token that both sets have it always is."""
+    along = Window.partitionBy("sid").orderBy("at").rowsBetween(-BEFORE, -1)
+    return rows.withColumn("before", F.collect_list("token").over(along))
+
+
+def _apart(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of rows of a token in different components that can reach the
+    threshold by their sizes and places, from the first token that both sets have (and
+    others only where neither has one of the other's last ``BEFORE`` tokens)."""
+    a, b = rows.alias("a"), rows.alias("b")
+    bound = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid"))
+                   & (F.col("a.component") != F.col("b.component"))
+                   & _enough(bound, F.col("a.n"), F.col("b.n"), percent)
+                   & ~F.arrays_overlap("a.before", "b.before"))
+            .select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")))
+
+
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS,
                  leaders: tuple[int, ...] = LEADERS, text_col: str = "text", id_col: str = "doc_id", seed: int = 0) -> JaccardJoin:
     """Sets, links and components of the documents."""
@@ -373,13 +396,8 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                      .filter((F.col("component") != F.col("lead.component")) & _enough(F.least("n", "lead.n"), F.col("n"), F.col("lead.n"), percent))
                      .select(F.least("sid", "lead.sid").alias("x"), F.greatest("sid", "lead.sid").alias("y")))
         else:
-            rest = _stored(state.join(open_groups.select("token"), "token", "left_semi"), "rest")
-            a, b = rest.alias("a"), rest.alias("b")
-            bound = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-            pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid"))
-                            & (F.col("a.component") != F.col("b.component"))
-                            & _enough(bound, F.col("a.n"), F.col("b.n"), percent))
-                     .select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")))
+            rest = _stored(_preceded(state.join(open_groups.select("token"), "token", "left_semi")), "rest")
+            pairs = _apart(rest, percent)
         found = _stored(_candidates(pairs.distinct(), short, percent), "candidates")
         found = _stored(_near(found, signatures, percent), "near")
         new = _stored(_verified(found, sets, percent), "links")

@@ -198,3 +198,21 @@ def test_near_keeps_every_link_of_any_size(spark):
     found = found.filter(F.col("x").isin([x for x in range(0, 120, 2) if 100 * min(sizes[x], sizes[x + 1]) >= 85 * max(sizes[x], sizes[x + 1])]))
     kept = {(r.x, r.y) for r in jaccard_join._near(found, signatures, 85).collect()}
     assert linked <= kept and len(linked) > 5
+
+
+def test_pairs_of_a_group_are_made_at_their_first_common_token(spark):
+    """Sets that share runs of tokens, with own tokens between, also more than the
+    remembered ones: every pair is made at its first common token, and again only
+    behind a run of own tokens longer than that."""
+    rng, sets = random.Random(5), {}
+    for sid in range(30):
+        own = {t: 1000 * (sid + 1) + t for t in range(60) if rng.random() < 0.3 or (sid % 3 == 0 and 20 <= t < 35)}
+        sets[sid] = [own.get(t, t) for t in range(60)]
+    rows = [(t, sid, 400, at, sid) for sid, tokens in sets.items() for at, t in enumerate(tokens)]
+    df = spark.createDataFrame(rows, "token long, sid long, n int, at int, component long")
+    made = Counter((r.x, r.y) for r in jaccard_join._apart(jaccard_join._preceded(df), 60).collect())
+    before = lambda sid, at: set(sets[sid][max(0, at - jaccard_join.BEFORE):at])
+    assert made == Counter((x, y) for x in sets for y in sets if x < y
+                           for at in range(60) if sets[x][at] == sets[y][at] and not before(x, at) & before(y, at))
+    assert set(made) == {(x, y) for x in sets for y in sets if x < y and set(sets[x]) & set(sets[y])}
+    assert sum(made.values()) < sum(len(set(sets[x]) & set(sets[y])) for x, y in made) / 5
