@@ -5,10 +5,12 @@ rolling word k-grams of every whole text, by their 64-bit hash, are joined to th
 template positions with the same hash (the k-gram itself is compared too, so a
 vote is exact). A match at document word ``p`` and template word ``t`` votes for
 the diagonal ``p - t``. Votes are counted per document, template and diagonal
-(map-side combined), neighbouring diagonals of a notice are merged, since a word
-put in or left out moves the rest to the next diagonal, and each merged span is
-verified: the share of the template's k-grams it holds must reach ``coverage``
-and the span must not be more than twice as long as the template.
+(map-side combined). Words put into a notice or left out move the rest to another
+diagonal, so diagonals less than the template's length apart are merged, from every
+diagonal on, and each merged span is verified: the share of the template's k-grams it
+holds must reach ``coverage``. It is less than twice as long as the template. Of spans of
+a template that start less than its length apart the one that holds most stays (the
+first of equals), and a diagonal with no k-gram of its own does not stretch it.
 
 A phrase is a template of coverage 1 whose diagonals are not merged: its words
 stand consecutively at a place exactly when all its 2-grams vote for it.
@@ -33,7 +35,6 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASE_K = 2
 NOTICE_K = 5
-MERGE_GAP = 4            # diagonals of a notice at most this far apart are one span
 COVERAGE = 0.6
 PHRASE_SCORE = 0.5       # a mention counts less than a whole notice
 MAX_TEMPLATE_GRAMS = 200_000   # bound of the broadcast side
@@ -140,18 +141,29 @@ def spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text_col
              .agg(F.count("at").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
                   F.collect_set("at").alias("ats")))
     votes = votes.join(F.broadcast(_template_facts(spark, templates)), "template", "left")
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = (~F.col("notice") | (F.col("diagonal") - F.lag("diagonal").over(along) > MERGE_GAP)
-             | F.lag("diagonal").over(along).isNull() | F.col("notice").isNull())
-    merged = (votes.withColumn("opens", apart.cast("int")).withColumn("span", F.sum("opens").over(along))
-              .groupBy("row", "doc_id", "n_words", "template", "label", "base", "notice", "k", "words", "grams", "span")
-              .agg(F.min("lo").alias("first"), (F.max("hi") + F.max("k") - 1).alias("last"),
-                   F.min("diagonal").alias("diagonal"),
-                   F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("held"))
-              .withColumn("cover", F.col("held") / F.col("grams")))
-    length = F.col("last") - F.col("first") + 1
-    whole = F.when(F.col("notice"), (F.col("cover") >= coverage) & (length <= F.col("words") * 2)).otherwise(F.col("held") == F.col("grams"))
-    return merged.filter(F.col("template").isNull() | whole)
+    # Diagonals from each one on, less than a template's length away (a phrase: itself alone).
+    longest = max((len(t.words) for t in templates), default=1)
+    along = F.when(F.col("notice"), F.col("diagonal")).otherwise(F.col("diagonal") * longest).cast("long")
+    onward = Window.partitionBy("row", "template").orderBy("along").rangeBetween(0, longest - 1)
+    near = F.filter(F.collect_list(F.struct((-F.col("votes")).alias("fewer"), "diagonal", "lo", "hi", "ats")).over(onward),
+                    lambda d: d["diagonal"] - F.col("diagonal") < F.col("words"))
+    none = F.struct(F.array().cast("array<int>").alias("held"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
+    union = F.aggregate(F.array_sort("near"), none, lambda acc, d: F.when(
+        F.size(F.array_except(d["ats"], acc["held"])) > 0,
+        F.struct(F.array_union(acc["held"], d["ats"]).alias("held"), F.least(acc["lo"], d["lo"]).alias("lo"),
+                 F.greatest(acc["hi"], d["hi"]).alias("hi"))).otherwise(acc))
+    merged = (votes.withColumn("along", along).withColumn("near", near).withColumn("span", union)
+              .withColumn("cover", F.size("span.held") / F.col("grams")))
+    whole = F.when(F.col("notice"), F.col("cover") >= coverage).otherwise(F.size("span.held") == F.col("grams"))
+    facts = ["row", "doc_id", "n_words", "template", "label", "base", "notice"]
+    places = (merged.filter(F.col("template").isNull() | whole)
+              .select(*facts, "words", F.struct((-F.col("cover")).alias("less"), "diagonal", F.col("span.lo").alias("first"),
+                                                (F.col("span.hi") + F.col("k") - 1).alias("last"), "cover").alias("place"))
+              .groupBy(*facts, "words").agg(F.collect_list("place").alias("places")))
+    apart = F.aggregate(F.array_sort("places"), F.slice("places", F.lit(1), F.lit(0)), lambda kept, p: F.when(
+        F.exists(kept, lambda q: F.abs(q["diagonal"] - p["diagonal"]) < F.col("words")), kept).otherwise(F.concat(kept, F.array(p))))
+    return (places.withColumn("place", F.explode(F.when(F.col("notice"), apart).otherwise(F.col("places"))))
+            .select(*facts, "place.first", "place.last", "place.cover"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, text_col: str = "text", id_col: str = "doc_id",

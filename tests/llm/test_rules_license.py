@@ -91,3 +91,30 @@ def test_license_notice_with_edits(spark):
     spans = [r for r in license_scan.spans(df).filter("template is not null and doc_id = 2").collect()]
     assert [(r.first, r["last"]) for r in spans] == [(1, len(inserted))]
     assert license_scan.spans(df).filter("template is not null and doc_id = 5").count() == 2
+
+
+def test_license_notice_with_long_insertions(spark):
+    """Up to the template's own length put in, at one place or several; whole notices
+    that follow each other stay spans of their own."""
+    mit = next(t for t in license_scan.TEMPLATES if t.name == "notice-mit")
+    ws, other = mit.words, [f"w{i}" for i in range(200)]
+    put = lambda n, *at: [w for i, x in enumerate(ws) for w in (other[:n] if i in at else []) + [x]]
+    texts = {n: put(n, 33) for n in (1, 4, 5, 10, 20, 60)} | {
+        100: put(150, 33),                      # two halves far apart: neither is a notice
+        101: put(12, 15, 30, 45), 102: ws + ws, 103: ws + put(20, 33) + ws, 104: ["x"] + ws[:33] + ws[40:]}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(df).collect()}
+    held = (len(ws) - 4 - 4) / (len(ws) - 4)    # an insertion breaks four 5-grams
+    for n in (1, 4, 5, 10, 20, 60):
+        assert found[n] == ("mit", held)
+    assert found[100] == ("", 0.0)
+    assert found[101] == ("mit", (len(ws) - 16) / (len(ws) - 4))
+    spans = Counter()
+    for r in license_scan.spans(df).filter("notice").collect():
+        spans[r.doc_id, r.first, r["last"]] += 1
+    n = len(ws)
+    assert set(spans.values()) == {1}
+    assert {k[1:] for k in spans if k[0] == 20} == {(0, n + 19)}
+    assert {k[1:] for k in spans if k[0] == 102} == {(0, n - 1), (n, 2 * n - 1)}
+    assert {k[1:] for k in spans if k[0] == 103} == {(0, n - 1), (n, 2 * n + 19), (2 * n + 20, 3 * n + 19)}
+    assert {k[1:] for k in spans if k[0] == 104} == {(1, n - 7)}
