@@ -41,6 +41,7 @@ from settleframe.operators.sketches import RANK_ERROR
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
+from settleframe.plans.incremental import IncrementalSilver
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
@@ -137,6 +138,16 @@ def q_silver_trades(spark, sf):
     return _silver(spark, sf).select(*SILVER_COLUMNS)
 
 
+def q_silver_merged_batches(spark, sf):
+    """Silver from three batches, the copies of a trade dealt over them in no order."""
+    path = scratch_path(spark, "silver-batches")
+    table = IncrementalSilver(spark, path.rstrip("/").rpartition("/")[2].replace("-", "_"), path, buckets=2)   # some 80 months of few rows each
+    bronze = _bronze(spark, sf).withColumn("batch", F.pmod(F.xxhash64(*TRADE_BUSINESS_COLUMNS), F.lit(3)))
+    for batch in range(3):
+        table.merge(bronze.filter(F.col("batch") == batch).drop("batch"))
+    return table.read().select(*SILVER_COLUMNS)
+
+
 def q_silver_currency(spark, sf):
     b = _bronze(spark, sf)
     return with_normalized_currency(b.withColumn("CurrencyRaw", F.col("Currency"))) \
@@ -450,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "gold_top_counterparties": q_gold_top_counterparties,
     "gold_summary_sorted": q_gold_summary_sorted,
     "silver_trades": q_silver_trades,
+    "silver_merged_batches": q_silver_merged_batches,
     "silver_currency": q_silver_currency,
     "silver_dedup_latest": q_silver_dedup_latest,
     "silver_invalid_currency_count": q_silver_invalid_currency_count,
@@ -596,6 +608,7 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT Counterparty, TotalTrades, TotalNotional, NotionalRank FROM ranked "
         f"WHERE NotionalRank <= {TOP_COUNTERPARTIES}"),
     "silver_trades": _sql(f"SELECT {_cols(SILVER_COLUMNS)} FROM silver"),
+    "silver_merged_batches": _sql(f"SELECT {_cols(SILVER_COLUMNS)} FROM silver"),
     "silver_currency": _sql(f"SELECT TradeID, Currency AS CurrencyRaw, {_NORMALIZED} AS Currency FROM bronze"),
     "silver_dedup_latest": _sql(f"SELECT {_cols(TRADE_BUSINESS_COLUMNS)} FROM copies WHERE rn = 1"),
     "silver_invalid_currency_count": _sql(
