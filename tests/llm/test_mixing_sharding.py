@@ -1,8 +1,9 @@
 """Mixing and sharding."""
 
+import bisect
 import random
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 from fractions import Fraction
 
 import pytest
@@ -142,3 +143,42 @@ def test_sharding_limited_movement(spark):
     b = {r.doc_id: r.shard for r in check_shards(df, 17)}
     assert sum(s == h for s, h in a.values()) > 0.85 * len(a)      # most rows stay on the ring's own shard
     assert sum(a[d][0] != b[d] for d in a) < 0.35 * len(a)          # naive modulo would move 94 %
+
+
+def plain_ring_walk(spark, df, shards, virtual):
+    """Row by row: each to the first virtual node clockwise of its hash, if that node's
+    shard has room; what overflows waits in a queue that the next nodes with room empty."""
+    nodes = [(r.point, r.shard) for r in sharding.ring(spark, shards, virtual).orderBy("arc").collect()]
+    points = [p for p, _ in nodes]
+    rows = df.select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size"),
+                     F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"),
+                     F.xxhash64(F.lit(sharding.SEED), "doc_id").alias("h")).collect()
+    rows = sorted(rows, key=lambda r: (r.h, r.doc_id is not None, r.doc_id or 0, r.size, r.crc))
+    arcs = [[] for _ in nodes]
+    for r in rows:
+        arcs[bisect.bisect_left(points, r.h) % len(nodes)].append(r)
+    bound = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    used, queue, placed = [0] * shards, deque(), Counter()
+
+    def put(r, home, shard):
+        placed[r.doc_id, r.size, r.crc, shard, used[shard], home] += 1
+        used[shard] += 1
+
+    for lap in range(2):
+        for (_, shard), own in zip(nodes, arcs, strict=True):
+            for r in own if lap == 0 else []:
+                if used[shard] < bound[shard]:
+                    put(r, shard, shard)
+                else:
+                    queue.append((r, shard))
+            while queue and used[shard] < bound[shard]:
+                put(*queue.popleft(), shard)
+    assert not queue
+    return placed
+
+
+def test_sharding_equals_a_plain_walk_round_the_ring(spark, docs, odd, no_docs):
+    one_key = spark.createDataFrame([(5, "x" * (i % 3)) for i in range(90)] + [(i, "y") for i in range(60)], "doc_id long, text string")
+    for df, shards, virtual in ((docs, 16, 64), (docs, 5, 3), (odd, 16, 64), (one_key, 4, 8), (no_docs, 16, 64)):
+        got = Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot, r.home_shard) for r in sharding.assign(df, shards, virtual).collect())
+        assert got == plain_ring_walk(spark, df, shards, virtual)
