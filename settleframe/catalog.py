@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from settleframe.config import DEFAULT_RULES, PipelineConfig, SourceSpec
@@ -63,6 +63,9 @@ DEMO_DATED_RATES = [
 TOP_COUNTERPARTIES = 3
 PRUNED_YEAR = 1998
 QUERY_BATCH_ID = "batch-query"
+# A compressed landing file is read by one task, and so is what fits into one split
+# together, so files are kept small: some 10 MB of JSON lines, 1 to 2 MB compressed.
+LANDING_FILE_ROWS = 50_000
 # The landing files written from the test tables carry zone-less wall-clock
 # times, so their schema declares them timestamp_ntz (no session-zone
 # reinterpretation, no DST gaps).
@@ -183,9 +186,15 @@ def q_bronze_quarantine(spark, sf):
         .select("TradeID", "InstrumentID", "Currency", "record_status", "reject_reason")
 
 
+def _landing(df: DataFrame) -> DataFrameWriter:
+    """Landing files of a text format, compressed: as plain text they would be most of
+    what a run writes."""
+    return df.write.option("compression", "gzip").option("maxRecordsPerFile", LANDING_FILE_ROWS)
+
+
 def q_bronze_trades_json(spark, sf):
     landing = scratch_path(spark, "landing-trades-json")
-    testbed.trades(spark, sf, with_ingestion_time=False).write.mode("overwrite").json(landing)
+    _landing(testbed.trades(spark, sf, with_ingestion_time=False)).mode("overwrite").json(landing)
     bronze = accepted(ingest_trades(spark, landing, "json", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID))
     return bronze.select(*TRADE_BUSINESS_COLUMNS, "ingestion_source", "processing_batch_id")
 
@@ -194,9 +203,9 @@ def _instruments_csv(spark: SparkSession, sf: str) -> str:
     """Instruments as CSV files of two kinds: other column order, other id name."""
     landing, inst = scratch_path(spark, "landing-instruments-csv"), testbed.instruments(spark, sf)
     nasdaq = F.col("Exchange") == "XNAS"
-    inst.filter(nasdaq).withColumnRenamed("InstrumentID", "instrument_id").write.option("header", True).csv(landing)
-    inst.filter(~nasdaq).select("Ticker", "Exchange", "InstrumentName", "InstrumentType", "InstrumentID") \
-        .write.mode("append").option("header", True).csv(landing)
+    _landing(inst.filter(nasdaq).withColumnRenamed("InstrumentID", "instrument_id")).option("header", True).csv(landing)
+    _landing(inst.filter(~nasdaq).select("Ticker", "Exchange", "InstrumentName", "InstrumentType", "InstrumentID")) \
+        .mode("append").option("header", True).csv(landing)
     return landing
 
 
@@ -204,8 +213,8 @@ def q_bronze_trades_csv(spark, sf):
     landing, trades = scratch_path(spark, "landing-trades-csv"), testbed.trades(spark, sf, with_ingestion_time=False)
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     settled = F.col("Status") == "SETTLED"
-    trades.filter(settled).write.options(**options).csv(landing)
-    trades.filter(~settled).select(*reversed(trades.columns)).write.mode("append").options(**options).csv(landing)
+    _landing(trades.filter(settled)).options(**options).csv(landing)
+    _landing(trades.filter(~settled).select(*reversed(trades.columns))).mode("append").options(**options).csv(landing)
     return accepted(ingest_trades(spark, landing, "csv", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID)) \
         .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source")
 
@@ -216,9 +225,9 @@ def q_bronze_csv_headers(spark, sf):
     landing, trades = scratch_path(spark, "landing-csv-headers"), testbed.trades(spark, sf, with_ingestion_time=False)
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     third = F.crc32(F.col("TradeID").cast("binary")) % 3
-    trades.filter(third == 0).withColumnRenamed("TradeID", "\ufeffTradeID").write.options(**options).csv(landing)
-    trades.filter(third == 1).write.mode("append").options(quoteAll=True, **options).csv(landing)
-    trades.filter(third == 2).select(F.lit("x").alias("Desk, or book"), *reversed(trades.columns)).write.mode("append").options(**options).csv(landing)
+    _landing(trades.filter(third == 0).withColumnRenamed("TradeID", "\ufeffTradeID")).options(**options).csv(landing)
+    _landing(trades.filter(third == 1)).mode("append").options(quoteAll=True, **options).csv(landing)
+    _landing(trades.filter(third == 2).select(F.lit("x").alias("Desk, or book"), *reversed(trades.columns))).mode("append").options(**options).csv(landing)
     return accepted(ingest_trades(spark, landing, "csv", LANDING_TRADES_SCHEMA, batch_id=QUERY_BATCH_ID)) \
         .select(*TRADE_BUSINESS_COLUMNS, "ingestion_source")
 
@@ -251,7 +260,7 @@ def q_bronze_refusals(spark, sf):
     }
     rows = []
     for i, (name, (df, fmt, ingest)) in enumerate(variants.items()):
-        df.write.option("header", True).format(fmt).save(f"{root}/{i}")
+        (_landing(df) if fmt == "csv" else df.write).option("header", True).format(fmt).save(f"{root}/{i}")
         try:
             rows.append((name, ingest(spark, f"{root}/{i}", fmt).count(), None))
         except ValueError as e:
@@ -373,8 +382,8 @@ def _run_config(spark: SparkSession, root: str, trades: str, fmt: str) -> Pipeli
 def _landing_config(spark: SparkSession, sf: str) -> PipelineConfig:
     """Write the test tables as landing files and return a config for a run."""
     root = scratch_path(spark, "run")
-    _dirty_lines(testbed.trades(spark, sf, with_ingestion_time=False)).write.text(f"{root}/landing/trades")
-    testbed.instruments(spark, sf).write.option("header", True).csv(f"{root}/landing/instruments")
+    _landing(_dirty_lines(testbed.trades(spark, sf, with_ingestion_time=False))).text(f"{root}/landing/trades")
+    _landing(testbed.instruments(spark, sf)).option("header", True).csv(f"{root}/landing/instruments")
     return _run_config(spark, root, f"{root}/landing/trades", "json")
 
 
@@ -403,7 +412,7 @@ def q_run_parquet_source(spark, sf):
     """A run from Parquet landing files; the daily table through the catalog."""
     root = scratch_path(spark, "run-parquet")
     testbed.trades(spark, sf, with_ingestion_time=False).write.parquet(f"{root}/landing/trades")
-    testbed.instruments(spark, sf).write.option("header", True).csv(f"{root}/landing/instruments")
+    _landing(testbed.instruments(spark, sf)).option("header", True).csv(f"{root}/landing/instruments")
     cfg = _run_config(spark, root, f"{root}/landing/trades", "parquet")
     run_medallion(spark, cfg, QUERY_BATCH_ID)
     name = "settleframe_gold_" + root.rsplit("-", 1)[1]

@@ -2,11 +2,13 @@
 same column names, same multiset of rows."""
 
 import os
+import re
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from settleframe import catalog
 from settleframe.catalog import QUERIES
 from tools.oracle_check import TABLES, _rows
 
@@ -57,3 +59,16 @@ def test_test_table_scans_are_pruned(spark):
     schema = [line for line in out.getvalue().splitlines() if line.startswith("ReadSchema")]
     assert schema == ["ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>"]
     assert "Exchange" not in out.getvalue()
+
+
+def test_landings_are_compressed_in_small_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "LANDING_FILE_ROWS", 1000)
+    plain = str(tmp_path / "plain")
+    lines = catalog._dirty_lines(catalog.testbed.trades(spark, SF, with_ingestion_time=False))
+    lines.write.text(plain)
+    cfg = catalog._landing_config(spark, SF)
+    files = [p.removeprefix("file:") for p in spark.read.text(cfg.trades.source_path).inputFiles()]
+    assert all(p.endswith(".gz") for p in files) and len(files) >= lines.count() / 1000
+    size = lambda paths: sum(os.path.getsize(p) for p in paths)
+    assert 4 * size(re.sub("^/+", "/", p) for p in files) < size(p.path for p in os.scandir(plain) if p.name.endswith(".txt"))
+    assert sorted(spark.read.text(cfg.trades.source_path).collect()) == sorted(spark.read.text(plain).collect())
