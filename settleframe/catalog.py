@@ -47,7 +47,6 @@ from settleframe.plans.silver import cleanse_trades, latest_trades, with_normali
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
 from settleframe.session import scratch_path
 from settleframe.sources import testbed
-from settleframe.sources.files import exists
 from settleframe.sources.readers import read_instruments, read_table
 from settleframe.sources.sinks import register_table, write_table
 
@@ -387,23 +386,12 @@ def _landing_config(spark: SparkSession, sf: str) -> PipelineConfig:
     return _run_config(spark, root, f"{root}/landing/trades", "json")
 
 
-# One whole run per application and data folder serves the queries that read its tables back.
-_RUNS: dict[tuple[str, str], PipelineConfig] = {}
-
-
-def _finished_run(spark: SparkSession, sf: str) -> PipelineConfig:
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS or not exists(spark, _RUNS[key].gold_path):   # scratch folders may have been cleaned
-        cfg = _landing_config(spark, sf)
-        run_medallion(spark, cfg, QUERY_BATCH_ID, reports=True)
-        _RUNS[key] = cfg
-    return _RUNS[key]
-
-
 def _run_table(layer: str, table: str, columns: list[str] | None = None) -> Query:
-    """A query that reads a table of the whole run back."""
+    """A query that makes a whole run, its own at every call, and reads a table of it back."""
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        df = read_table(spark, _finished_run(spark, sf).table_path(layer, table))
+        cfg = _landing_config(spark, sf)
+        run_medallion(spark, cfg, QUERY_BATCH_ID, reports=True)
+        df = read_table(spark, cfg.table_path(layer, table))
         return df.select(*columns) if columns else df
     return query
 

@@ -61,6 +61,12 @@ def test_test_table_scans_are_pruned(spark):
     assert "Exchange" not in out.getvalue()
 
 
+def test_each_query_of_a_run_makes_its_own(spark):
+    """Two queries share no files, so each one's time and traffic are its own work."""
+    first, second = (queries()["run_gold_summary"](spark, SF) for _ in range(2))
+    assert first.inputFiles() and not set(first.inputFiles()) & set(second.inputFiles())
+
+
 def test_landings_are_compressed_in_small_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog, "LANDING_FILE_ROWS", 1000)
     plain = str(tmp_path / "plain")
