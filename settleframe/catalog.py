@@ -41,7 +41,7 @@ from settleframe.operators.sketches import RANK_ERROR
 from settleframe.operators.validation import ACCEPTED
 from settleframe.plans.bronze import accepted, ingest_instruments, ingest_trades
 from settleframe.plans.gold import counterparty_summary, sorted_summary, trade_aggregates, valid_trades
-from settleframe.plans.incremental import IncrementalSilver
+from settleframe.plans.incremental import IncrementalSilver, buckets_for
 from settleframe.plans.medallion import run_medallion
 from settleframe.plans.silver import cleanse_trades, latest_trades, with_normalized_currency, with_standard_timestamps
 from settleframe.schemas import TRADE_BUSINESS_COLUMNS, TRADE_FIELDS, TRADE_REQUIRED
@@ -142,9 +142,9 @@ def q_silver_trades(spark, sf):
 
 def q_silver_merged_batches(spark, sf):
     """Silver from three batches, the copies of a trade dealt over them in no order."""
-    path = scratch_path(spark, "silver-batches")
-    table = IncrementalSilver(spark, path.rstrip("/").rpartition("/")[2].replace("-", "_"), path, buckets=2)   # some 80 months of few rows each
-    bronze = _bronze(spark, sf).withColumn("batch", F.pmod(F.xxhash64(*TRADE_BUSINESS_COLUMNS), F.lit(3)))
+    path, trades = scratch_path(spark, "silver-batches"), _bronze(spark, sf)
+    table = IncrementalSilver(spark, path.rstrip("/").rpartition("/")[2].replace("-", "_"), path, buckets=buckets_for(trades.count()))
+    bronze = trades.withColumn("batch", F.pmod(F.xxhash64(*TRADE_BUSINESS_COLUMNS), F.lit(3)))
     for batch in range(3):
         table.merge(bronze.filter(F.col("batch") == batch).drop("batch"))
     return table.read().select(*SILVER_COLUMNS)

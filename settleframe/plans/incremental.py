@@ -15,7 +15,8 @@ some months before and some after it.
 
 TradeID is required, as everywhere behind bronze. Rows without a trade date are in the
 month ``none``. The number of buckets is part of the folder's name, so a table is never
-read with another number than it was written with.
+read with another number than it was written with. A bucket is one task of every merge,
+so ``buckets_for`` takes the number from the trades that the table is to hold.
 """
 
 from __future__ import annotations
@@ -34,9 +35,16 @@ from settleframe.sources.files import delete, exists, has_data
 
 KEY, MONTH = "TradeID", "trade_month"
 BUCKETS = 64
+MIN_BUCKETS, BUCKET_ROWS = 2, 1_500_000    # some 500 bytes a row are sorted in a task at once
 NO_MONTH = "none"
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets for a table of so many trades: what one task holds stays the same
+    however many there are."""
+    return max(MIN_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 @dataclass(frozen=True)
 class MergeResult:
     """Counts of a merged batch: distinct trades in it, those that replaced a stored

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from settleframe import catalog
 from settleframe.plans import incremental
 from settleframe.plans.incremental import IncrementalSilver
 from settleframe.plans.silver import cleanse_trades
@@ -14,6 +15,8 @@ from settleframe.sources.files import exists
 
 from settlement_rows import TRADES_DDL, at
 
+SF = "/root/testdata/sf0.001"
+
 
 def batch(spark, rows):
     return spark.createDataFrame(rows, TRADES_DDL)
@@ -115,3 +118,13 @@ def test_the_stored_table_is_not_shuffled(spark, tmp_path):
         assert "Exchange" not in stored_side and re.search(r"Bucketed: true", plan)
     read = re.search(r"FileScan parquet \S*?\[(.*?)\]", incremental.meetings(stored, new, 4)._jdf.queryExecution().executedPlan().toString())
     assert "TradeID" in read[1] and "silver_processing_timestamp" not in read[1] and "data_quality_status" not in read[1]
+
+
+def test_buckets_grow_with_the_trades(spark, monkeypatch):
+    """A merge has one task a bucket, so their number follows the rows."""
+    assert [incremental.buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [2, 2, 24, 144]
+    monkeypatch.setattr(incremental, "BUCKET_ROWS", 1000)
+    trades = catalog._bronze(spark, SF)
+    merged = catalog.q_silver_merged_batches(spark, SF)
+    assert all(f"/{-(-trades.count() // 1000)}_buckets/" in f for f in merged.inputFiles())
+    assert trades.count() > 2000 and merged.count() == trades.select("TradeID").distinct().count()
