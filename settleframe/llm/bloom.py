@@ -34,6 +34,7 @@ from settleframe.llm.workers import ship
 SEGMENT_BITS = 1 << 16
 HASHES = 4
 MAX_BITS = 1 << 29
+FETCHES = 8               # jobs in which merged segments reach the driver, each an eighth of them
 _SCHEMA = "segment int, part int, seen binary, again binary"
 
 
@@ -106,7 +107,8 @@ class BloomFilter:
         merged = half.groupBy("segment").applyInPandas(_merge, _SCHEMA)
         seen, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         size = SEGMENT_BITS // 8
-        for r in merged.select("segment", "seen", "again").toLocalIterator():  # at most bits / 8 bytes, bounded above
+        # at most bits / 8 bytes, bounded above; a job per partition, each an entry in the driver's memory
+        for r in merged.select("segment", "seen", "again").coalesce(FETCHES).toLocalIterator():
             at = slice(r.segment * size, (r.segment + 1) * size)
             seen[at] = np.frombuffer(zlib.decompress(bytes(r.seen)), np.uint8)
             again[at] = np.frombuffer(zlib.decompress(bytes(r.again)), np.uint8)

@@ -13,7 +13,7 @@ Large groups are never expanded into all pairs:
 * equal sets are one node from the start (the class);
 * in each index token's group every member is compared with one leader only, the
   links are contracted into components, and groups that have become one
-  component are done;
+  component, or all of whose pairs have been compared, are done;
 * this is repeated with other leaders, some at a time, so that a large group whose
   members are just about similar grows together at a cost in proportion to it;
 * what is left, members of a group in different components, is joined pair by pair with the size and
@@ -23,9 +23,12 @@ Large groups are never expanded into all pairs:
 
 Rows that travel are (token, set id, size, position) for tokens that occur in at
 least two sets (a Bloom filter drops the rest where they arise). Sets that share such
-a token are stored where they arise, with a signature of some bits for each token: the
-bits in which two signatures differ are a lower bound of the sets' difference, so
-most candidates fall by their signatures, and whole sets travel only for the others.
+a token are described where they arise: by a sketch of ``SKETCH_BITS`` parities, by their
+prefixes under the other orders, and by a signature of some bits for each token. The
+bits in which two sketches or signatures differ are a lower bound of the sets'
+difference, so most pairs fall by their sketches (in the remainder where they are made),
+then by prefixes and signatures. Whole sets are not stored: those of the few
+candidates left are made again from their texts.
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing: their component is their own id. Repeated rows are equal sets; null ids
@@ -49,7 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from settleframe.llm.arrays import Words, mix, run_positions, seeds, slices, split_words
-from settleframe.llm.bloom import BloomFilter, bit_positions
+from settleframe.llm.bloom import FETCHES, BloomFilter, bit_positions
 from settleframe.llm.components import components
 from settleframe.llm.workers import ship
 from settleframe.session import scratch_path
@@ -62,6 +65,7 @@ BEFORE = 8                # tokens in front of a token by which a pair is known
 CELL_BITS = 22             # count table: 2**22 cells of one byte, whatever the corpus
 SEGMENT = 1 << 16
 SIGNATURE_BITS = 1 << 17   # longest signature of a set; those of larger sets still tell, less sharply
+SKETCH_BITS = 512
 _FACTORS = seeds(64, 11)
 
 
@@ -159,7 +163,7 @@ def _levels(sketch: DataFrame) -> np.ndarray:
     half = rows.withColumn("part", F.col("part") % fan).groupBy("segment", "part").applyInPandas(_sum_counts, schema)
     merged = half.groupBy("segment").applyInPandas(_sum_counts, schema)
     levels = np.zeros(1 << CELL_BITS, np.uint8)
-    for r in merged.toLocalIterator():  # 2**22 cells at most
+    for r in merged.coalesce(FETCHES).toLocalIterator():  # 2**22 cells at most; a job per partition
         counts = np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint16)
         levels[r.segment * SEGMENT:(r.segment + 1) * SEGMENT] = np.round(8 * np.log2(1.0 + counts))
     return levels
@@ -196,15 +200,23 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
-_INDEX = "kind int, token long, sid long, n int, at int, filters array<array<int>>, signature array<long>, tokens array<long>"
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of tokens falls in each of ``SKETCH_BITS`` buckets. A token of
+    one of two sets changes one bit, so the bits in which their sketches differ never
+    exceed the sets' difference."""
+    held = np.bincount((mix(tokens ^ _FACTORS[62]) & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+_INDEX = "kind int, token long, sid long, n int, at int, filters array<array<int>>, signature array<long>, sketch array<long>"
 
 
 def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0, bits: int = 0, wanted: Broadcast | None = None):
     """Rows of kind 0: (token, sid, n, at) of the first order's prefixes, with a
     filter only tokens that may be in it. With ``orders``, a row of kind 1 for each
     set that has such a token: (sid, n, 32-bit prefixes under the other orders,
-    signature, tokens)."""
-    names, short, long = ["kind", "token", "sid", "n", "at", "filters", "signature", "tokens"], pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())
+    signature, sketch)."""
+    names, short, long = ["kind", "token", "sid", "n", "at", "filters", "signature", "sketch"], pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, out, rows, held = levels.value, [], [], 0
@@ -216,11 +228,11 @@ def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *map(pa.array, columns), pa.nulls(n, short),
                                                   pa.nulls(n, long), pa.nulls(n, long)], names)
             if rows:
-                sid, n, filters, signatures, tokens = zip(*rows, strict=True)
+                sid, n, filters, signatures, sketches = zip(*rows, strict=True)
                 none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(rows), np.int32)), none[0], pa.array(sid, pa.int64()),
                                                   pa.array(n, pa.int32()), none[1], pa.array(filters, short),
-                                                  pa.array(signatures, long), pa.array(tokens, long)], names)
+                                                  pa.array(signatures, long), pa.array(sketches, long)], names)
             out.clear()
             rows.clear()
 
@@ -235,8 +247,8 @@ def _indexer(k: int, seed: int, percent: int, levels: Broadcast, orders: int = 0
             out.append((prefix.view(np.int64), np.full(len(prefix), sid, np.int64), np.full(len(prefix), len(tokens), np.int32), at))
             if orders:
                 rows.append((sid, len(tokens), [np.sort((tokens[_first(tokens, table, o, p)] >> np.uint64(8)).astype(np.uint32).view(np.int32))
-                                                for o in range(1, orders)], signature(tokens), tokens.view(np.int64)))
-                held += len(tokens)
+                                                for o in range(1, orders)], signature(tokens), parity_sketch(tokens)))
+                held += len(tokens) // 8
             held += p * max(1, orders)
             if held > 200_000:
                 yield from flush()
@@ -285,19 +297,36 @@ def _side(df: DataFrame, c: str) -> DataFrame:
     return df.select(F.col("sid").alias(c), *(F.col(f).alias(f"{c}_{f}") for f in df.columns if f != "sid"))
 
 
-def _candidates(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) that can reach the threshold by their sizes and share prefix
-    tokens under every other order."""
-    return (pairs.join(_side(short, "y"), "y").join(_side(short, "x"), "x")
+def _unlike(a: str, b: str) -> Column:
+    """In how many bits two sketches differ."""
+    return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(1, SKETCH_BITS // 64)),
+               F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+
+
+def _within(differ: Column, nx: Column, ny: Column, percent: int) -> Column:
+    """May sets of these sizes that differ in so many tokens or more be linked?"""
+    return differ * (100 + percent) <= (nx + ny) * (100 - percent)
+
+
+def _candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) that can reach the threshold by their sizes and sketches."""
+    return (pairs.join(_side(sketches, "y"), "y").join(_side(sketches, "x"), "x")
             .filter(_enough(F.least("x_n", "y_n"), F.col("x_n"), F.col("y_n"), percent))
-            .filter(F.forall(F.arrays_zip(F.col("x_filters").alias("a"), F.col("y_filters").alias("b")),
-                             lambda z: F.arrays_overlap(z["a"], z["b"])))
-            .select("x", "y"))
+            .filter(_within(_unlike("x_sketch", "y_sketch"), F.col("x_n"), F.col("y_n"), percent)).select("x", "y"))
+
+
+def _of(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of the sets in stored pairs (and a few others): a Bloom filter
+    keeps the rest from being shuffled."""
+    ids = found.select("x").unionAll(found.select("y")).toDF("sid")
+    bloom = BloomFilter.build(ids, "sid", 2 * found.count())
+    return rows.filter(F.col("sid").isNotNull() & bloom.member(F.coalesce("sid", F.lit(0))))   # a null would make the column inexact
 
 
 def _near(found: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Stored candidate pairs whose signatures do not differ in more bits than the
-    difference of two linked sets of their sizes allows."""
+    """Candidate pairs that share prefix tokens under every other order, where
+    ``signatures`` has the ``filters``, and whose signatures do not differ in more bits
+    than the difference of two linked sets of their sizes allows."""
     def folded(a: str, b: str) -> Column:
         """The signature ``a``, as long as ``b`` or shorter: sizes of sets that can be
         linked, and so their signatures, are at most a doubling apart."""
@@ -305,17 +334,45 @@ def _near(found: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
         return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseOR(y))).otherwise(F.col(a))
 
     differ = F.aggregate(F.zip_with(folded("x_signature", "y_signature"), folded("y_signature", "x_signature"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, c: acc + c)
+    met = F.forall(F.arrays_zip(F.col("x_filters").alias("a"), F.col("y_filters").alias("b")),
+                   lambda z: F.arrays_overlap(z["a"], z["b"])) if "filters" in signatures.columns else F.lit(True)
     return (found.join(_side(signatures, "y"), "y").join(_side(signatures, "x"), "x")
-            .filter(differ * (100 + percent) <= (F.col("x_n") + F.col("y_n")) * (100 - percent)).select("x", "y"))
+            .filter(met & _within(differ, F.col("x_n"), F.col("y_n"), percent)).select("x", "y"))
+
+
+def _set_maker(k: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+
+        def pack() -> pa.RecordBatch:
+            sid, tokens = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(map(len, tokens), pa.int32()),
+                                               pa.array(tokens, pa.list_(pa.int64()))], ["sid", "n", "tokens"])
+
+        for sid, tokens in _distinct_sets(batches, k, seed):
+            rows.append((sid, tokens.view(np.int64)))
+            held += len(tokens)
+            if held > 200_000:
+                yield pack()
+                rows, held = [], 0
+        if rows:
+            yield pack()
+    return run
+
+
+def _sets_of(found: DataFrame, documents: DataFrame, slim: DataFrame, k: int, seed: int) -> DataFrame:
+    """(sid, n, tokens) of the sets in stored pairs, made again from one text of each; a
+    Bloom filter of those rows keeps all other texts from being split."""
+    row = F.xxhash64("doc_id", "th")
+    wanted = _stored(_of(found, documents).groupBy("sid").agg(F.min(row).alias("row")).select("row"), "wanted")
+    bloom = BloomFilter.build(wanted, "row", wanted.count())
+    made = slim.filter(bloom.member(row)).mapInArrow(_set_maker(k, seed), "sid long, n int, tokens array<long>")
+    return made.groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))   # equal for equal ids
 
 
 def _verified(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among stored candidate pairs, by the sets themselves. A Bloom filter
-    of the candidates keeps all other sets from being shuffled."""
-    ids = found.select("x").unionAll(found.select("y")).toDF("sid")
-    bloom = BloomFilter.build(ids, "sid", 2 * found.count())
-    needed = sets.filter(bloom.member(F.col("sid"))).groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))   # equal for equal ids
-    return (found.join(_side(needed, "y"), "y").join(_side(needed, "x"), "x")
+    """Links among candidate pairs, by the sets themselves."""
+    return (found.join(_side(sets, "y"), "y").join(_side(sets, "x"), "x")
             .filter(_enough(F.size(F.array_intersect("x_tokens", "y_tokens")), F.col("x_n"), F.col("y_n"), percent))
             .select(F.col("x").alias("u"), F.col("y").alias("v")))
 
@@ -330,13 +387,15 @@ def _preceded(rows: DataFrame) -> DataFrame:
 
 def _apart(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of rows of a token in different components that can reach the
-    threshold by their sizes and places, from the first token that both sets have (and
-    others only where neither has one of the other's last ``BEFORE`` tokens)."""
+    threshold by their sizes, places and (where ``rows`` has them) sketches, from the
+    first token that both sets have (and others only where neither has one of the other's
+    last ``BEFORE`` tokens)."""
     a, b = rows.alias("a"), rows.alias("b")
+    alike = _within(_unlike("a.sketch", "b.sketch"), F.col("a.n"), F.col("b.n"), percent) if "sketch" in rows.columns else F.lit(True)
     bound = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid"))
                    & (F.col("a.component") != F.col("b.component"))
-                   & _enough(bound, F.col("a.n"), F.col("b.n"), percent)
+                   & _enough(bound, F.col("a.n"), F.col("b.n"), percent) & alike
                    & ~F.arrays_overlap("a.before", "b.before"))
             .select(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")))
 
@@ -372,9 +431,9 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
              .join(shared, "token", "left_semi").distinct())
     index = _stored(index, "index")
     described = both.filter("kind = 1")
-    once = lambda *c: described.groupBy("sid").agg(*(F.first(x).alias(x) for x in ("n", *c)))  # noqa: E731  equal for equal ids
-    short, signatures = _stored(once("filters"), "short"), _stored(once("signature"), "signatures")
-    sets = described.select("sid", "n", "tokens")
+    once = lambda rows, *c: rows.groupBy("sid").agg(*(F.first(x).alias(x) for x in ("n", *c)))  # noqa: E731  equal for equal ids
+    parts = F.struct(*(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_BITS // 64))).alias("sketch")
+    sketches = _stored(once(described.select("sid", "n", parts), "sketch"), "sketches")
 
     labels = spark.createDataFrame([], "u long, v long")
     links = None
@@ -385,9 +444,9 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
         several = leaders[r] if r < len(leaders) else 1
         part = F.pmod(F.xxhash64(F.lit(r), F.lit("part"), "sid"), F.lit(several))
         leader = F.min(F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), "sid", "component", "n"))
-        open_groups = (state.groupBy("token", part.alias("part")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"))
-                       .groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("lead").alias("leads"))
-                       .filter("lo != hi").select("token", "leads"))
+        open_groups = (state.groupBy("token", part.alias("part")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), leader.alias("lead"), F.count(F.lit(1)).alias("rows"))
+                       .groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("lead").alias("leads"), F.sum("rows").alias("rows"))
+                       .filter("lo != hi").select("token", "leads", "rows"))
         open_groups = _stored(open_groups, "open")
         if open_groups.isEmpty():
             break
@@ -396,13 +455,16 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
                      .filter((F.col("component") != F.col("lead.component")) & _enough(F.least("n", "lead.n"), F.col("n"), F.col("lead.n"), percent))
                      .select(F.least("sid", "lead.sid").alias("x"), F.greatest("sid", "lead.sid").alias("y")))
         else:
-            rest = _stored(_preceded(state.join(open_groups.select("token"), "token", "left_semi")), "rest")
+            rest = _preceded(state.join(open_groups.select("token"), "token", "left_semi"))
+            rest = _stored(rest.join(sketches.drop("n"), "sid"), "rest")
             pairs = _apart(rest, percent)
-        found = _stored(_candidates(pairs.distinct(), short, percent), "candidates")
-        found = _stored(_near(found, signatures, percent), "near")
-        new = _stored(_verified(found, sets, percent), "links")
+        found = _stored(_candidates(pairs.distinct(), sketches, percent), "candidates")
+        found = _stored(_near(found, once(_of(found, described), "filters", "signature"), percent), "near")
+        new = _stored(_verified(found, _sets_of(found, documents, slim, shingle, seed), percent), "links")
         links = new if links is None else links.unionByName(new)
         labels = components(links)
+        if r < len(leaders):   # with at most one member that leads nothing, all pairs of a group have been compared
+            index = _stored(index.join(open_groups.filter(F.col("rows") - F.size("leads") > 1).select("token"), "token", "left_semi"), "index")
     return JaccardJoin(documents, labels)
 
 

@@ -216,3 +216,87 @@ def test_pairs_of_a_group_are_made_at_their_first_common_token(spark):
                            for at in range(60) if sets[x][at] == sets[y][at] and not before(x, at) & before(y, at))
     assert set(made) == {(x, y) for x in sets for y in sets if x < y and set(sets[x]) & set(sets[y])}
     assert sum(made.values()) < sum(len(set(sets[x]) & set(sets[y])) for x, y in made) / 5
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for n, m, common in [(1, 1, 0), (3, 4, 3), (100, 120, 90), (900, 1100, 800), (5000, 5000, 0)]:
+        pool = rng.integers(0, 2**63, n + m, dtype=np.int64).astype(np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:common], pool[n:n + m - common]]))
+        x, y = jaccard_join.parity_sketch(a), jaccard_join.parity_sketch(b)
+        assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+        assert not (x != jaccard_join.parity_sketch(a[::-1])).any()
+
+
+def test_remainder_makes_only_pairs_with_near_sketches(spark):
+    """Sets about one base that are just too far from each other, and a few that are linked."""
+    rng = np.random.default_rng(7)
+    base, sets = rng.integers(0, 2**63, 100, dtype=np.int64), {}
+    for sid in range(60):
+        edits = 20 if sid < 50 else 4     # 40 or 8 tokens differ between two, of 200: 17 may at 85
+        sets[sid] = np.unique(np.concatenate([rng.permutation(base)[edits:], rng.integers(0, 2**63, edits, dtype=np.int64)])).view(np.uint64)
+    struct = lambda s: {f"s{i}": int(x) for i, x in enumerate(jaccard_join.parity_sketch(s))}
+    ddl = ", ".join(f"s{i}: long" for i in range(jaccard_join.SKETCH_BITS // 64))
+    rows = [(1, sid, len(s), 0, sid, struct(s)) for sid, s in sets.items()]
+    df = spark.createDataFrame(rows, f"token long, sid long, n int, at int, component long, sketch struct<{ddl}>")
+    made = {(r.x, r.y) for r in jaccard_join._apart(jaccard_join._preceded(df), 85).collect()}
+    alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+    linked = {(x, y) for x in sets for y in sets if x < y and alike(sets[x], sets[y])}
+    assert linked <= made and len(linked) >= 40
+    assert len(made) < 200                # of 1,770
+
+
+def recorded(monkeypatch):
+    kept, stored = {}, jaccard_join._stored
+
+    def record(df, label, *args):
+        out = stored(df, label, *args)
+        kept.setdefault(label, []).append(out)
+        return out
+    monkeypatch.setattr(jaccard_join, "_stored", record)
+    return kept
+
+
+def test_groups_whose_pairs_have_been_compared_are_left_out(spark, monkeypatch):
+    """Pairs of documents that share most of their text, but not enough, are compared once."""
+    rng, rows = random.Random(8), []
+    for i in range(30):
+        passage = prose(rng, 88, 10**6)      # 85 of 105 shingles
+        rows += [(2 * i + j, f"{passage} {prose(rng, 10, 10**6)}") for j in (0, 1)]
+    kept = recorded(monkeypatch)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_components(df)
+    groups = [x.count() for x in kept["open"]]
+    assert groups[0] > 30 and not any(groups[1:])
+
+
+def test_only_sets_of_candidates_are_made_again(spark, monkeypatch):
+    """Whole sets are neither stored nor made for documents that share a passage only."""
+    rng, rows = random.Random(9), []
+    passage = prose(rng, 40, 10**6)
+    rows = [(i, f"{passage} {prose(rng, 60, 10**6)}") for i in range(40)]
+    words_ = prose(rng, 100, 10**6).split()
+    rows += [(100 + i, " ".join([*words_[:-1], f"x{i}"])) for i in range(3)]
+    made, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda found, sets, percent: made.append(sets.count()) or verified(found, sets, percent))
+    kept = recorded(monkeypatch)
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert max(made) <= 8
+    assert not any("tokens" in x.columns for tables in kept.values() for x in tables)
+
+
+def test_filters_reach_the_driver_in_a_few_jobs(spark):
+    """Not in one for each of the shuffle's partitions."""
+    df = spark.range(0, 2000, 1, 4).select(F.xxhash64("id").alias("h"))
+    was, sc = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}, spark.sparkContext
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sc.setJobGroup("filter-test", "filter-test")
+        bloom = BloomFilter.build(df, "h", 2000)
+        assert len(sc.statusTracker().getJobIdsForGroup("filter-test")) < 20
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert df.filter(~bloom.member(F.col("h"))).count() == 0
