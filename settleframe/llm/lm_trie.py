@@ -60,8 +60,8 @@ from settleframe.session import scratch_path
 ORDER = 3
 MIN_COUNT = 2
 DISCOUNT = 0.75
-RANGE = 1 << 21            # parent nodes per segment
-CLASSES = 8                # child classes per range
+RANGE = 1 << 21            # parent nodes per segment, a power of two
+CLASSES = 8                # child classes per range, a power of two
 WORD_SEGMENT_BYTES = 1 << 25   # text bytes per segment of level 1
 MAX_HELD = 1_500_000       # counted keys a task holds before it sends them
 SLICE = 1 << 21
@@ -97,6 +97,31 @@ def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _split(parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """File (range and class), parent in its range, child in its class."""
+    bits, classes = (RANGE - 1).bit_length(), (CLASSES - 1).bit_length()   # shifts: divisions take several times as long
+    return ((parent >> bits) << classes) | (child & (CLASSES - 1)), parent & (RANGE - 1), child >> classes
+
+
+def _packed(file: np.ndarray, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray | None, int]:
+    """One number for each (file, parent in its range, child), in that order, and the
+    bits of the child; none where they do not fit 63 bits."""
+    bits = int(child.max()).bit_length()
+    both = bits + (RANGE - 1).bit_length()
+    if int(file.max()).bit_length() + both > 63:
+        return None, bits
+    return (file << both) | (parent << bits) | child, bits
+
+
+def _sum_by_file(file: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (file, key), in that order."""
+    packed, _ = _packed(file, (keys >> np.uint64(42)).astype(np.int64), (keys & np.uint64((1 << 42) - 1)).astype(np.int64))
+    order = np.lexsort((keys, file)) if packed is None else np.argsort(packed)
+    file, keys, counts = file[order], keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (file[1:] != file[:-1]))))
+    return file[first], keys[first], np.add.reduceat(counts, first)
+
+
 def _code(p: np.ndarray, step: float, up: bool) -> np.ndarray:
     """8-bit code of a probability in (0, 1]; ``up``: never a greater value."""
     x = -np.log2(np.maximum(p, 1e-30)) * step
@@ -157,12 +182,19 @@ class Segment:
         pointers, children = self.part("pointers"), self.part("children")
         found = np.full(len(parent), -1, np.int64)
         ok = np.flatnonzero(parent < pointers.n - 1)
-        begin, end = (pointers.access(parent[ok] + d).astype(np.int64) for d in (0, 1))
+        begin, end = (x.astype(np.int64) for x in pointers.access_two(parent[ok]))
         some = begin < end
         ok, begin, end = ok[some], begin[some], end[some]
         if len(ok):
-            base = np.where(begin > 0, children.access(np.maximum(begin - 1, 0)), np.uint64(0))
-            found[ok] = children.search(base + child[ok].astype(np.uint64) + np.uint64(1), begin, end)
+            # the value before the range and its first child lie side by side; most nodes have one child
+            at, opens = np.maximum(begin - 1, 0), begin == 0
+            base, least = children.access_two(at) if children.n > 1 else (children.access(at),) * 2
+            base, least = np.where(opens, np.uint64(0), base), np.where(opens, base, least)
+            x = base + child[ok].astype(np.uint64) + np.uint64(1)
+            got = np.where(least == x, begin, -1)
+            more = np.flatnonzero((least < x) & (end - begin > 1))
+            got[more] = children.search(x[more], begin[more] + 1, end[more])
+            found[ok] = got
         return found
 
 
@@ -193,13 +225,17 @@ class Model:
         out = np.ones(len(nodes))
         known = self.__dict__.setdefault("_backs", {})
         ranges = nodes // RANGE
-        for r in np.unique(ranges):
-            name = self.backs[level - 1].get(int(r))
+        ranges = ranges.astype(np.uint16) if len(ranges) and ranges.max() < 1 << 16 else ranges   # sorted by radix
+        order = np.argsort(ranges, kind="stable")
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(ranges[order]) != 0, [True]))) if len(order) else []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = order[a:b]
+            r = int(ranges[own[0]])
+            name = self.backs[level - 1].get(r)
             if name is None:
                 continue
             if (level, r) not in known:
                 known[level, r] = map_file(_local(self.folder, name))[0]["codes"]
-            own = ranges == r
             out[own] = _BACK_VALUES[known[level, r][nodes[own] % RANGE]]
         return out
 
@@ -232,12 +268,16 @@ class Model:
             return node, value
         # equal questions are asked once, in the order of the files
         p, w = parents[live], words[live]
-        order = np.lexsort((w, p, (p // RANGE) * CLASSES + w % CLASSES))
-        p, w = p[order], w[order]
-        new = np.concatenate(([True], (p[1:] != p[:-1]) | (w[1:] != w[:-1])))
-        first, which = np.flatnonzero(new), np.cumsum(new) - 1
-        p, w = p[first], w[first]
-        file = (p // RANGE) * CLASSES + w % CLASSES
+        file, own, child = _split(p, w)
+        packed, _ = _packed(file, own, child)
+        if packed is None:
+            order = np.lexsort((child, own, file))
+            new = np.concatenate(([True], (np.diff(file[order]) != 0) | (np.diff(own[order]) != 0) | (np.diff(child[order]) != 0)))
+        else:
+            order = np.argsort(packed)
+            new = np.concatenate(([True], np.diff(packed[order]) != 0))
+        first, which = order[new], np.cumsum(new) - 1
+        file, p, w = file[first], own[first], child[first]
         n, v = np.full(len(p), -1, np.int64), np.zeros(len(p), np.int64)
         cuts = np.flatnonzero(np.concatenate(([True], file[1:] != file[:-1], [True])))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -245,7 +285,7 @@ class Model:
             if held is None:
                 continue
             base, seg = held
-            at = seg.find(p[a:b] % RANGE, w[a:b] // CLASSES)
+            at = seg.find(p[a:b], w[a:b])
             hit = at >= 0
             n[a:b] = np.where(hit, at + base, -1)
             v[a:b] = np.where(hit, seg.arrays[want][np.maximum(at, 0)], 0)
@@ -301,9 +341,7 @@ def _count_words(word_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
 
 
 def _blocks_by(segment: np.ndarray, cls: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Blocks per (segment, class); keys ascend within each."""
-    order = np.lexsort((keys, cls, segment))
-    segment, cls, keys, counts = segment[order], cls[order], keys[order], counts[order]
+    """Blocks per (segment, class) of rows in the order of segment, class and key."""
     cuts = np.flatnonzero(np.concatenate(([True], (segment[1:] != segment[:-1]) | (cls[1:] != cls[:-1]), [True]))) if len(keys) else []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         k, c, n = _block(keys[a:b], counts[a:b])
@@ -317,12 +355,9 @@ def _count_ngrams(model, level: int, min_count: int, batches: Iterator[pa.Record
     model, held = model.value, []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        file, keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        file, keys, counts = _sum_by_file(*(np.concatenate(x) for x in zip(*held, strict=True)))
         held.clear()
-        order = np.lexsort((keys, file))
-        file, keys, counts = file[order], keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (file[1:] != file[:-1]))))
-        yield from _blocks_by(file[first] // CLASSES, file[first] % CLASSES, keys[first], np.add.reduceat(counts, first))
+        yield from _blocks_by(file // CLASSES, file % CLASSES, keys, counts)
 
     for batch in batches:
         for piece in slices(batch, limit=SLICE):
@@ -338,12 +373,9 @@ def _count_ngrams(model, level: int, min_count: int, batches: Iterator[pa.Record
             if not len(live):
                 continue
             p, w = parent[live], ids[live]
-            file = (p // RANGE) * CLASSES + w % CLASSES
-            key = ((p % RANGE).astype(np.uint64) << np.uint64(42)) | (w // CLASSES).astype(np.uint64)
-            order = np.lexsort((key, file))
-            file, key = file[order], key[order]
-            at = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (file[1:] != file[:-1]))))
-            held.append((file[at], key[at], np.diff(np.append(at, len(key)))))
+            file, own, child = _split(p, w)
+            key = (own.astype(np.uint64) << np.uint64(42)) | child.astype(np.uint64)
+            held.append(_sum_by_file(file, key, np.ones(len(key), np.int64)))
             if sum(len(x[0]) for x in held) > MAX_HELD:
                 yield from flush()
     if held:

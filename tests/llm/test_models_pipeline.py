@@ -225,3 +225,31 @@ def test_registered_lm_keeps_every_ngram(spark, docs):
     got = {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in op6_lm_trie(spark, SF).collect()}
     assert got.keys() == want.keys() and len(got) == len(rows)
     assert all(g[:3] == want[d][:3] and np.allclose(g[3:], want[d][3:], rtol=1e-7, atol=1e-7) for d, g in got.items())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 2000), min_size=2, max_size=300), st.integers(0, 2**20))
+def test_elias_fano_neighbours_and_ranges(values, more):
+    values = sorted(values)
+    ef = EliasFano.encode(np.array(values, np.uint64), values[-1] + more + 1)
+    one, two = ef.access_two(np.arange(len(values) - 1))
+    assert one.tolist() == values[:-1] and two.tolist() == values[1:]
+    below, through = ef._bucket(np.array([v >> ef.low_bits for v in values]))
+    tops = [v >> ef.low_bits for v in values]
+    assert below.tolist() == [sum(t < x for t in tops) for x in tops]
+    assert through.tolist() == [sum(t <= x for t in tops) for x in tops]
+
+
+@pytest.mark.parametrize("far", [0, 2**60])   # numbers that fit one key, and others
+def test_lm_counts_by_file_and_key(far):
+    rng = np.random.default_rng(5)
+    file = rng.integers(0, 3, 2000) + far
+    keys = (rng.integers(0, 50, 2000).astype(np.uint64) << np.uint64(42)) | rng.integers(0, 20, 2000).astype(np.uint64)
+    counts = rng.integers(1, 9, 2000)
+    assert (lm_trie._packed(file, (keys >> np.uint64(42)).astype(np.int64), np.ones(2000, np.int64))[0] is None) == bool(far)
+    want = Counter()
+    for f, k, c in zip(file.tolist(), keys.tolist(), counts.tolist(), strict=True):
+        want[f, k] += c
+    got = lm_trie._sum_by_file(file, keys, counts)
+    assert list(zip(got[0].tolist(), got[1].tolist(), strict=True)) == sorted(want)
+    assert got[2].tolist() == [want[k] for k in sorted(want)]
